@@ -37,6 +37,7 @@ def local_session(cores: int | str = 8, app: str = "tidemark") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", shuffle)
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "12g"))
     )
