@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from tidemark.queries import model_queries  # noqa: F401
+from tidemark.queries import expression_queries, model_queries, selection_queries  # noqa: F401
 from tidemark.queries.registry import REGISTRY
 
 __all__ = ["REGISTRY"]
