@@ -21,6 +21,7 @@ from tidemark.session import work_dir
 NDJSON_PARTS = r"/part-[0-9]+(-[^/]*)?[.]json([.]gz)?$"
 PARQUET_FILES = r"[.]parquet$"
 MAX_PART_ROWS = 10_000
+ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 
@@ -118,7 +119,7 @@ def to_records(df: DataFrame, record: str = "record", keep: Sequence[str] = ())
     and timestamps travel as ISO text."""
     kept = set(keep)
     wire = [
-        (F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(f.name)
+        (F.date_format(f.name, ISO_MICROS).alias(f.name)
          if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
          else F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
          if isinstance(f.dataType, T.DateType)
@@ -176,7 +177,7 @@ def write_parts(df: DataFrame, path: str, max_rows: int = MAX_PART_ROWS) -> None
         df.select(*sorted(df.columns)).write.mode("errorifexists")
         .option("maxRecordsPerFile", max_rows).option("compression", "gzip")
         .option("ignoreNullFields", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")
+        .option("timestampNTZFormat", ISO_MICROS)
         .json(path)
     )
 
@@ -260,7 +261,10 @@ def write_manifest(
     path = manifest_path(lake, str(planned[0].business_date), planned[0].run_id)
     ordered = lines.select(*[F.col(f.name).cast(f.dataType) for f in MANIFEST.fields])
     # replaced as a whole when a run is tried again: it names one attempt's files
-    ordered.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    (
+        ordered.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False)
+        .option("timestampNTZFormat", ISO_MICROS).json(path)
+    )
     return path
 
 
