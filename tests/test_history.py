@@ -94,11 +94,11 @@ def plain_windows(log):
 def test_lead_in_pieces_equals_plain_lead(spark, hot_log, pieces):
     cut = skew.find_pieces(hot_log, "id", "updated_at", min_rows=40, max_keys=5, pieces=pieces)
     assert cut.cuts.count() == 2
-    got = skew.lead_within(hot_log, cut, "updated_at", "next")
+    got = skew.lead_within(hot_log, "id", "updated_at", "next", cut)
     want = plain_windows(hot_log)
     assert got.exceptAll(want.select(got.columns)).isEmpty()
     assert want.count() == got.count()
-    sizes = skew.with_piece(hot_log, cut, "updated_at").filter("id = 1000").groupBy(skew.PIECE).count()
+    sizes = skew.with_piece(hot_log, "id", cut, "updated_at").filter("id = 1000").groupBy(skew.PIECE).count()
     assert sizes.agg(F.max("count")).first()[0] <= 2 * 300 / min(pieces, 64) + 2
 
 

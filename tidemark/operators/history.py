@@ -18,17 +18,20 @@ def scd2_windows(
     attributes: Sequence[str] | None = None,
     sk: str = "version_sk",
     sk_format: str = SECONDS,
-    pieces: skew.Pieces | None = None,
+    pieces: skew.Pieces | str | None = skew.AUTO,
 ) -> DataFrame:
     """Validity windows [valid_from, valid_to) of a version log.
 
     The log holds each (key, version) once. Windows chain without gaps, the
     last one is open, and a late version falls into place on the next build.
+    ``pieces`` splits keys with very long histories; where the log is not
+    a stored table, find them in the table it comes from.
     """
     if attributes is None:
         attributes = [c for c in log.columns if c not in (key, version)]
-    pieces = pieces or skew.find_pieces(log, key, version)
-    led = skew.lead_within(log.select(key, version, *attributes), pieces, version, "__next")
+    if pieces == skew.AUTO:
+        pieces = skew.find_pieces(log, key, version)
+    led = skew.lead_within(log.select(key, version, *attributes), key, version, "__next", pieces)
     valid_to = F.coalesce("__next", open_end())
     return led.select(
         version_key(key, version, sk_format).alias(sk),
@@ -50,7 +53,7 @@ def point_in_time(
     valid_to: str = "valid_to",
     dim_key: str | None = None,
     how: str = "left",
-    pieces: skew.Pieces | None = None,
+    pieces: skew.Pieces | str | None = skew.AUTO,
 ) -> DataFrame:
     """Add ``columns`` of the dimension version valid at ``ts``.
 
@@ -61,6 +64,8 @@ def point_in_time(
     a fact row meets only the versions of its own piece.
     """
     dim_key = dim_key or key
+    if pieces == skew.AUTO:
+        pieces = skew.find_pieces(dim, dim_key, valid_from)
     ts = F.col(ts) if isinstance(ts, str) else ts
     narrow = dim.select(
         F.col(dim_key).alias("__dim_key"),
@@ -72,11 +77,9 @@ def point_in_time(
     fact_side = fact.withColumn("__ts", ts)
     match = F.col(key) == F.col("__dim_key")
     if pieces is not None:
-        fact_side = skew.with_piece(
-            fact_side, skew.Pieces(key, pieces.cuts, pieces.next_start), "__ts"
-        )
+        fact_side = skew.with_piece(fact_side, key, pieces, "__ts")
         narrow = skew.with_overlapped_pieces(
-            narrow, skew.Pieces("__dim_key", pieces.cuts, pieces.next_start), "__from", "__to"
+            narrow, "__dim_key", pieces, "__from", "__to"
         ).withColumnRenamed(skew.PIECE, "__dim_piece")
         match = match & (F.col(skew.PIECE) == F.col("__dim_piece"))
     joined = fact_side.join(narrow, match & within, how)

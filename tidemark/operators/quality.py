@@ -70,7 +70,7 @@ def rule(df: DataFrame, broken: Column) -> DataFrame:
 
 def scd2_contiguous(
     dim: DataFrame, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
-    pieces=None,
+    pieces: skew.Pieces | str | None = skew.AUTO,
 ) -> DataFrame:
     """Empty or reversed windows, gaps and overlaps."""
     windows = dim.select(
@@ -78,11 +78,9 @@ def scd2_contiguous(
         F.col(valid_from).alias("window_start"),
         F.col(valid_to).alias("window_end"),
     )
-    if pieces is None:
+    if pieces == skew.AUTO:
         pieces = skew.find_pieces(windows, "scd_key", "window_start")
-    else:
-        pieces = skew.Pieces("scd_key", pieces.cuts, pieces.next_start)
-    chained = skew.lead_within(windows, pieces, "window_start", "next_start")
+    chained = skew.lead_within(windows, "scd_key", "window_start", "next_start", pieces)
     return chained.filter(
         (F.col("window_start") >= F.col("window_end"))
         | (F.col("next_start").isNotNull() & (F.col("window_end") != F.col("next_start")))

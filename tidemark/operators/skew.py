@@ -5,11 +5,12 @@ fine until a key owns a large share of the table. Here the largest keys are
 found with a map-side combined count and cut into pieces of similar size along
 the ordering column; every other key stays whole in piece 0.
 
-Everything is lazy and part of the caller's plan. Both lookup tables are
-bounded by ``MAX_HOT_KEYS`` and ``PIECES`` whatever the table size, so
-broadcasting them is safe; a key that misses the table owns less than
-1/MAX_HOT_KEYS of the rows. On a table without hot keys adaptive execution
-sees an empty broadcast and drops the branch.
+The count runs before the query is planned, over two columns of a stored
+table, and brings at most ``MAX_HOT_KEYS`` keys to the driver. Without a hot
+key the query keeps its plain form. With some, the lookup tables are bounded
+by ``MAX_HOT_KEYS`` and ``PIECES`` whatever the table size, so broadcasting
+them is safe. A key that misses the list owns less than 1/MAX_HOT_KEYS of the
+rows and is handled whole.
 """
 
 from __future__ import annotations
@@ -25,12 +26,14 @@ PIECES = 256
 
 PIECE = "__piece"
 
+# Look for hot keys in the table at hand.
+AUTO = "auto"
+
 
 @dataclass(frozen=True)
 class Pieces:
     """Cut points of the hot keys, and the first order value of each next piece."""
 
-    key: str
     cuts: DataFrame  # __hot_key, __cuts
     next_start: DataFrame  # __next_key, __next_piece, __next_start
 
@@ -56,19 +59,24 @@ def find_pieces(
     min_rows: int = MIN_HOT_ROWS,
     max_keys: int = MAX_HOT_KEYS,
     pieces: int = PIECES,
-) -> Pieces:
-    """Cut the hot keys of ``df`` into ``pieces`` along ``order``.
+) -> Pieces | None:
+    """Cut the hot keys of ``df`` into ``pieces`` along ``order``; None if no key is hot.
 
     ``df`` may be any table that holds the same (key, order) pairs as the one
     to be cut, so pass the stored input rather than an expensive derivation.
     """
     narrow = df.select(key, order)
-    hot = hot_keys(narrow, key, min_rows, max_keys)
-    shares = [i / pieces for i in range(1, pieces)]
+    listed = hot_keys(narrow, key, min_rows, max_keys)
+    found = listed.collect()  # at most max_keys rows
+    if not found:
+        return None
+    hot = df.sparkSession.createDataFrame(found, listed.schema)
+    shares = ", ".join(f"{i / pieces}D" for i in range(1, pieces))
+    quantiles = F.expr(f"percentile_approx(`{order}`, array({shares}), {4 * pieces})")
     cuts = (
         narrow.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__hot_key")))
         .groupBy("__hot_key")
-        .agg(F.array_distinct(F.percentile_approx(order, shares, 4 * pieces)).alias("__cuts"))
+        .agg(F.array_distinct(quantiles).alias("__cuts"))
     )
     starts = (
         _with_piece(narrow, key, F.col(order), cuts, "inner")
@@ -82,7 +90,7 @@ def find_pieces(
         F.col("__piece").alias("__next_piece"),
         F.lead("__start").over(following).alias("__next_start"),
     )
-    return Pieces(key, cuts, next_start)
+    return Pieces(cuts, next_start)
 
 
 def _piece_of(value: Column) -> Column:
@@ -95,32 +103,32 @@ def _with_piece(df: DataFrame, key: str, value: Column, cuts: DataFrame, how: st
     return joined.withColumn(PIECE, _piece_of(value)).drop("__hot_key", "__cuts")
 
 
-def with_piece(df: DataFrame, pieces: Pieces, value: Column | str) -> DataFrame:
+def with_piece(df: DataFrame, key: str, pieces: Pieces, value: Column | str) -> DataFrame:
     """Add the piece number of each row; 0 for keys that are not hot."""
     value = F.col(value) if isinstance(value, str) else value
-    return _with_piece(df, pieces.key, value, pieces.cuts, "left")
+    return _with_piece(df, key, value, pieces.cuts, "left")
 
 
-def with_overlapped_pieces(df: DataFrame, pieces: Pieces, start: str, end: str) -> DataFrame:
+def with_overlapped_pieces(df: DataFrame, key: str, pieces: Pieces, start: str, end: str) -> DataFrame:
     """Repeat each [start, end) row once per piece it overlaps.
 
     Windows of one key do not overlap each other, so a hot key gains at most
     one row per piece.
     """
-    joined = df.join(
-        F.broadcast(pieces.cuts), F.col(pieces.key).eqNullSafe(F.col("__hot_key")), "left"
-    )
+    joined = df.join(F.broadcast(pieces.cuts), F.col(key).eqNullSafe(F.col("__hot_key")), "left")
     first, last = _piece_of(F.col(start)), _piece_of(F.col(end))
     return joined.withColumn(PIECE, F.explode(F.sequence(first, last))).drop("__hot_key", "__cuts")
 
 
-def lead_within(df: DataFrame, pieces: Pieces, order: str, name: str) -> DataFrame:
+def lead_within(df: DataFrame, key: str, order: str, name: str, pieces: Pieces | None) -> DataFrame:
     """``lead(order)`` per key, computed piece by piece.
 
     The last row of a piece takes the first value of the key's next piece.
     """
-    key = pieces.key
-    cut = with_piece(df, pieces, order)
+    if pieces is None:
+        whole = Window.partitionBy(key).orderBy(order)
+        return df.withColumn(name, F.lead(order).over(whole))
+    cut = with_piece(df, key, pieces, order)
     per_piece = Window.partitionBy(key, PIECE).orderBy(order)
     led = cut.withColumn("__lead", F.lead(order).over(per_piece))
     return (

@@ -115,10 +115,9 @@ def dim_policy(policies: DataFrame) -> DataFrame:
 
 
 def fct_policies_written(policies: DataFrame, dim_policy_: DataFrame, dim_holder: DataFrame,
-                         pieces: skew.Pieces | None = None) -> DataFrame:
+                         pieces: skew.Pieces | str | None = skew.AUTO) -> DataFrame:
     """One row per policy, with the customer version valid at issue."""
     keyed = facts.lookup(policies, dim_policy_, "policy_id", ["policy_sk"], "inner")
-    pieces = pieces or skew.find_pieces(dim_holder, "policyholder_id", "valid_from")
     rows = history.point_in_time(
         keyed, dim_holder, "policyholder_id", "issued_at", ["policyholder_sk"], pieces=pieces
     )
@@ -136,7 +135,7 @@ def fct_policies_written(policies: DataFrame, dim_policy_: DataFrame, dim_holder
 def fct_claims(
     events: DataFrame, policies: DataFrame, dim_policy_: DataFrame, dim_holder: DataFrame,
     target: DataFrame | None = None, also_changed: DataFrame | None = None,
-    pieces: skew.Pieces | None = None,
+    pieces: skew.Pieces | str | None = skew.AUTO,
 ) -> DataFrame:
     """One row per claim, milestones filled as they are reached.
 
@@ -159,7 +158,6 @@ def fct_claims(
     policy = policies.select("policy_id", "policyholder_id").join(
         dim_policy_.select("policy_id", "policy_sk"), "policy_id", "full_outer"
     )
-    pieces = pieces or skew.find_pieces(dim_holder, "policyholder_id", "valid_from")
     rows = history.point_in_time(
         claims.join(policy, "policy_id", "left"),
         dim_holder, "policyholder_id", F.col("loss_date").cast("timestamp_ntz"),

@@ -544,7 +544,7 @@ def wf07_validity_windows_pieces(t: Lake):
           FROM dim_holder""", "dim_holder")
 def wf08_next_start(t: Lake):
     windows = dim_holder(t).select("policyholder_id", F.col("valid_from").alias("window_start"))
-    return skew.lead_within(windows, feeds.holder_pieces(t), "window_start", "next_start")
+    return skew.lead_within(windows, "policyholder_id", "window_start", "next_start", feeds.holder_pieces(t))
 
 
 @query("wf10_window_filter", "o_orderkey:l o_orderpriority:s",

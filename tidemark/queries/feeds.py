@@ -2,8 +2,9 @@
 
 Customers change with their orders, line items are policies, and the events of
 a user within a week are a claim. Everything is delivered as records, with
-copies as a real feed has them: customer versions and policies arrive twice,
-claim events of the last two hours of a day arrive again with the next day.
+copies as a real feed has them: customer versions arrive twice, a line number
+that repeats within an order is a newer version of the policy, and claim events
+of the last two hours of a day arrive again with the next day.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import skew
 from tidemark.queries.registry import Lake, cte
+from tidemark.session import spread
 from tidemark.sources.landing import to_records
 
 LINEAGE = ("business_date", "run_id", "source_file", "file_row", "loaded_at")
@@ -25,7 +27,7 @@ def _delivered(df: DataFrame, entity: str, cursor: str, ident) -> DataFrame:
     day = F.to_date(cursor)
     run = F.concat(F.lit("r"), F.col("n").cast("string"))
     file = F.concat(
-        F.lit(f"/lake/{entity}/dt="), F.date_format(day, "yyyy-MM-dd"), F.lit("/run="), run,
+        F.lit(f"/lake/{entity}/dt="), day.cast("string"), F.lit("/run="), run,
         F.lit("/attempt=a/part-"), ident, F.lit(".json.gz"),
     )
     loaded = F.date_trunc("day", cursor).cast("timestamp_ntz") + F.make_dt_interval(days=F.col("n") + 1)
@@ -44,7 +46,7 @@ def holder_rows(t: Lake) -> DataFrame:
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "HIGH")
         .when(F.col("o_orderpriority") == "3-MEDIUM", "MEDIUM").otherwise("LOW")
     )
-    rows = t.orders.select(
+    rows = spread(t.orders).select(
         F.col("o_custkey").alias("policyholder_id"),
         F.concat(F.lit("F-"), "o_orderstatus").alias("first_name"),
         F.concat(F.lit("L-"), "o_orderstatus").alias("last_name"),
@@ -65,7 +67,7 @@ def policy_rows(t: Lake) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", "AUTO").when(F.col("l_returnflag") == "N", "HOME")
         .otherwise("LIFE")
     )
-    rows = t.lineitem.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    rows = spread(t.lineitem).join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat(F.lit("POL-"), _text("l_orderkey", "l_linenumber")).alias("policy_id"),
         F.col("o_custkey").alias("policyholder_id"),
         product.alias("product_line"),
@@ -75,7 +77,7 @@ def policy_rows(t: Lake) -> DataFrame:
         F.col("l_linestatus").alias("status"),
         F.col("l_shipdate").alias("issued_at"),
         _text("l_partkey", "l_suppkey").alias("__id"),
-        F.explode(F.array(F.lit(0), F.lit(1))).alias("n"),
+        F.lit(0).alias("n"),
     )
     return _delivered(rows, "policies", "issued_at", F.col("__id")).drop("__id")
 
@@ -88,7 +90,7 @@ def claim_rows(t: Lake) -> DataFrame:
         .when(kind == "purchase", "PAID").otherwise("OPEN")
     )
     copies = F.when(F.hour("ts") >= 22, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = t.events.select(
+    rows = spread(t.events).select(
         F.concat(F.lit("CLM-"), F.col("user_id").cast("string"), F.lit("-"),
                  F.date_format(week, "yyyyMMdd")).alias("claim_id"),
         F.concat(F.lit("POL-"), F.col("user_id").cast("string"), F.lit("-1")).alias("policy_id"),
@@ -115,7 +117,7 @@ def claims(t: Lake) -> DataFrame:
     return to_records(claim_rows(t), keep=LINEAGE)
 
 
-def holder_pieces(t: Lake) -> skew.Pieces:
+def holder_pieces(t: Lake) -> skew.Pieces | None:
     """Cut points of customers with very long histories, from the stored orders."""
     changes = t.orders.select(
         F.col("o_custkey").alias("policyholder_id"), F.col("o_orderdate").alias("updated_at")
@@ -150,7 +152,7 @@ cte("policies_d", f"""
     CAST(l_shipdate AS DATE) AS effective_date, CAST(l_shipdate AS DATE) + 365 AS expiration_date,
     l_linestatus AS policy_status, l_shipdate AS issued_at,
     {_lineage('policies', 'l_shipdate', "l_partkey || '-' || l_suppkey")}
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey CROSS JOIN (VALUES (0), (1)) AS d(n)""")
+  FROM lineitem JOIN orders ON o_orderkey = l_orderkey CROSS JOIN (SELECT 0 AS n)""")
 
 cte("claims_d", f"""
   SELECT 'CLM-' || user_id || '-' || strftime(date_trunc('week', ts), '%Y%m%d') AS claim_id,

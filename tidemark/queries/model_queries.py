@@ -12,7 +12,9 @@ from tidemark.operators.versions import latest_per
 from tidemark.plans import models, reports
 from tidemark.queries import feeds
 from tidemark.queries.registry import Lake, query
+from tidemark.session import spread
 from tidemark.sources.landing import bronze
+from tidemark.sources.tables import stored
 
 # ------------------------------------------------------------ flagship
 
@@ -46,7 +48,7 @@ def revenue_by_tier_at_ship_time(t: Lake):
     dim = history.scd2_windows(
         log, "o_custkey", "o_orderdate", ["o_orderpriority"], sk_format=MICROS, pieces=pieces
     )
-    lines = t.lineitem.select(
+    lines = spread(t.lineitem).select(
         "l_orderkey", "l_shipdate", F.col("l_extendedprice").cast("decimal(12,2)").alias("price")
     ).join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     placed = history.point_in_time(
@@ -282,8 +284,10 @@ _FCT_CLAIMS = ("claim_id:s policy_sk:s policyholder_sk:s loss_date_key:i reporte
 
 
 def star(t: Lake) -> dict:
-    silver = models.slv_policies(feeds.policies(t))
-    return {"policies": silver, "dim_policy": models.dim_policy(silver), "dim_holder": dim_holder(t),
+    """Silver policies and the customer dimension as stored tables: several tables build on them."""
+    silver = stored(t.spark, models.slv_policies(feeds.policies(t)))
+    holder = stored(t.spark, dim_holder(t))
+    return {"policies": silver, "dim_policy": models.dim_policy(silver), "dim_holder": holder,
             "pieces": feeds.holder_pieces(t)}
 
 
@@ -312,9 +316,10 @@ def md14_accumulating_incremental(t: Lake):
     """The first half of the deliveries, then the claims that changed since: equals the full build."""
     s = star(t)
     landing = feeds.claims(t)
+    events = stored(t.spark, models.slv_claim_events(landing))
     early = landing.filter(F.col("loaded_at") <= F.lit("2024-01-15").cast("timestamp_ntz"))
-    target = claim_facts(t, s, models.slv_claim_events(early))
-    rebuilt = claim_facts(t, s, models.slv_claim_events(landing), target)
+    target = stored(t.spark, claim_facts(t, s, models.slv_claim_events(early)))
+    rebuilt = claim_facts(t, s, events, target)
     return merged(target, rebuilt, ["claim_id"])
 
 

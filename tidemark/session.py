@@ -7,7 +7,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. Adaptive execution sizes shuffle
 # partitions, splits skewed join partitions and drops branches that turn out
@@ -48,6 +48,16 @@ def local_session(cores: int | str = 8, app: str = "tidemark") -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table stored in fewer pieces than there are cores.
+
+    A table of many files already has more partitions and stays as it is, so
+    this costs a shuffle only where the data is small.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder the cluster names.
 

@@ -118,14 +118,15 @@ def to_records(df: DataFrame, record: str = "record", keep: Sequence[str] = ())
     """Typed rows as semi-structured records, the way a source sends them: dates
     and timestamps travel as ISO text."""
     kept = set(keep)
-    wire = [
-        (F.date_format(f.name, ISO_MICROS).alias(f.name)
-         if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
-         else F.date_format(f.name, "yyyy-MM-dd").alias(f.name)
-         if isinstance(f.dataType, T.DateType)
-         else F.col(f.name))
-        for f in df.schema.fields if f.name not in kept
-    ]
+    wire = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DateType):
+            c = c.cast("string")
+        elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
+            c = F.concat_ws("T", F.to_date(c).cast("string"), F.substring(c.cast("string"), 12, 15))
+        if f.name not in kept:
+            wire.append(F.when(F.col(f.name).isNotNull(), c).alias(f.name))
     return df.select(F.to_variant_object(F.struct(*wire)).alias(record), *keep)
 
 

@@ -25,6 +25,13 @@ def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = N
         raise
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str = "stored") -> DataFrame:
+    """The same rows as a table in the shared folder: derived once, read often."""
+    path = work_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def empty_like(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame([], df.schema)
 
