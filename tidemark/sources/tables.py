@@ -14,7 +14,7 @@ from tidemark.operators.upsert import assert_same_schema, merged, unique_batch
 from tidemark.session import work_dir
 
 
-def read_or_none(spark: SparkSession, path: str, schema: T.StructType | None = None):
+def read_or_none(spark: SparkSession, path: str, schema: T.StructType | str | None = None):
     """A stored table, or None before its first write."""
     try:
         reader = spark.read.schema(schema) if schema is not None else spark.read
@@ -69,7 +69,7 @@ _LOG = "seq bigint, id string, state string, detail string"
 
 
 def _log(spark: SparkSession, path: str) -> DataFrame | None:
-    return read_or_none(spark, path, T._parse_datatype_string(_LOG))
+    return read_or_none(spark, path, _LOG)
 
 
 def last_entry(spark: SparkSession, path: str):

@@ -80,12 +80,9 @@ MILESTONES = {"approved_at": "APPROVED", "rejected_at": "REJECTED", "paid_at": "
 
 def contract(**columns: str) -> T.StructType:
     """Schema from ``name="type"``; a trailing ``!`` means not null."""
-    return T.StructType(
-        [
-            T.StructField(name, T._parse_datatype_string(kind.rstrip("!")), not kind.endswith("!"))
-            for name, kind in columns.items()
-        ]
-    )
+    ddl = [f"`{name}` {kind[:-1]} NOT NULL" if kind.endswith("!") else f"`{name}` {kind}"
+           for name, kind in columns.items()]
+    return T.StructType.fromDDL(", ".join(ddl))
 
 
 def contracts() -> dict[str, T.StructType]:
