@@ -182,8 +182,8 @@ def test_daily_dumps_build_history_in_order(spark, tmp_path):
                  "policies": wire(fixtures.policies(spark)), "claims": wire(fixtures.claims(spark))}
         report = runs.run_dumps(spark, dumps, dt.date.fromisoformat(day), paths)
         assert {r.status for r in report.reconciled} == {"DONE"}
-    current = tables.last_entry(spark, paths.table("snap_policyholders") + "__log").detail
-    got = content(spark.read.parquet(current), "policyholder_id", "city", "valid_to")
+    history = runs.snapshot_table(spark, paths, "snap_policyholders").read()
+    got = content(history, "policyholder_id", "city", "valid_to")
     assert got == [
         ("1", "Delhi", "2026-09-30 09:00:00"), ("1", "Mumbai", "9999-12-31 00:00:00"),
         ("1", "Pune", "2026-09-29 09:00:00"), ("2", "Delhi", "9999-12-31 00:00:00"),

@@ -105,6 +105,22 @@ def test_crash_before_the_log_entry_changes_nothing(spark, tmp_path, monkeypatch
     assert rows(t.read()) == rows(log(spark, A))
 
 
+def test_snapshot_table_rewrites_open_rows_only(spark, tmp_path):
+    from tidemark.operators.history import snapshot_merge
+    from tidemark.sources.tables import SnapshotTable
+
+    table, plain = SnapshotTable(spark, str(tmp_path / "s"), "id", "at"), None
+    states = ([(1, "2026-01-01", "a"), (2, "2026-01-01", "x")], [(1, "2026-01-02", "b"), (2, "2026-01-01", "x")],
+              [(1, "2026-01-03", "c"), (3, "2026-01-03", "n")])
+    assert table.read() is None
+    for state in states:
+        table.merge(log(spark, state))
+        plain = snapshot_merge(plain, log(spark, state), "id", "at")
+        assert rows(table.read().select(plain.columns)) == rows(plain)
+    closed = spark.read.parquet(str(tmp_path / "s")).filter("not is_open").groupBy("step").count().collect()
+    assert sorted(r["count"] for r in closed) == [1, 1]
+
+
 # ------------------------------------------------------------ incremental selection
 
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.keys import open_end
+from tidemark.operators.history import snapshot_merge
 from tidemark.operators.upsert import assert_same_schema, merged, unique_batch
 from tidemark.session import work_dir
 
@@ -163,6 +165,53 @@ class KeyedTable:
         self._publish(staged, ident)
 
 
+# ------------------------------------------------------------ snapshot history
+
+
+class SnapshotTable:
+    """A snapshot history that rewrites its open rows only.
+
+    Each merge writes one step: the rows it closed, and all rows now open. The
+    history is the closed rows of every committed step plus the open rows of
+    the last one, so closed history is never read or written again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, key: str, updated_at: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.key, self.updated_at = key, updated_at
+        self.log = f"{self.path}__log"
+
+    def _steps(self) -> list[str]:
+        log = _log(self.spark, self.log)
+        # one row per merge ever made
+        return [] if log is None else [r.detail for r in log.orderBy("seq").collect()]
+
+    def _stored(self) -> DataFrame:
+        return self.spark.read.parquet(self.path)
+
+    def read(self) -> DataFrame | None:
+        steps = self._steps()
+        if not steps:
+            return None
+        closed = ~F.col("is_open") & F.col("step").isin(steps)
+        still_open = F.col("is_open") & (F.col("step") == steps[-1])
+        return self._stored().filter(closed | still_open).drop("step", "is_open")
+
+    def merge(self, current: DataFrame) -> None:
+        steps = self._steps()
+        open_rows = None
+        if steps:
+            last = (F.col("step") == steps[-1]) & F.col("is_open")
+            open_rows = self._stored().filter(last).drop("step", "is_open")
+        merged_rows = snapshot_merge(open_rows, current, self.key, self.updated_at)
+        step = f"s{len(steps):06d}_{uuid.uuid4().hex}"
+        (
+            merged_rows.withColumn("is_open", F.col("valid_to") >= open_end())
+            .write.mode("errorifexists").partitionBy("is_open").parquet(f"{self.path}/step={step}")
+        )
+        add_entry(self.spark, self.log, "merged", step)
+
+
 # ------------------------------------------------------------ control tables
 
 
