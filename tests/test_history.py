@@ -102,6 +102,19 @@ def test_lead_in_pieces_equals_plain_lead(spark, hot_log, pieces):
     assert sizes.agg(F.max("count")).first()[0] <= 2 * 300 / min(pieces, 64) + 2
 
 
+def test_gaps_between_windows_match_nothing(spark):
+    dim = versions(spark, [(1, "2026-01-01", "a"), (1, "2026-01-05", "b"), (1, "2026-01-09", "c")]).select(
+        "id", "city", F.col("updated_at").alias("valid_from"),
+        (F.col("updated_at") + F.expr("INTERVAL 2 DAYS")).alias("valid_to"))
+    fact = versions(spark, [(1, f"2026-01-{d:02d}", str(d)) for d in range(1, 13)]).select(
+        "id", F.col("updated_at").alias("at"))
+    cut = skew.find_pieces(dim, "id", "valid_from", min_rows=1, pieces=3)
+    results = [rows(history.point_in_time(fact, dim, "id", "at", ["city"], pieces=p).na.fill("-"), "at", "city")
+               for p in (None, cut)]
+    assert results[0] == results[1]
+    assert [c for _, c in results[0]] == ["a", "a", "-", "-", "b", "b", "-", "-", "c", "c", "-", "-"]
+
+
 def test_point_in_time_in_pieces_equals_plain_join(spark, hot_log):
     log = hot_log.filter("id is not null")
     dim = history.scd2_windows(log, "id", "updated_at")
@@ -118,6 +131,9 @@ def test_point_in_time_in_pieces_equals_plain_join(spark, hot_log):
     assert plain.count() == fact.count() == split.count()
     assert plain.exceptAll(split).isEmpty()
     assert plain.filter("version_sk is null and id = 1000").count() > 0
+    inner = [history.point_in_time(fact, dim, "id", "at", ["city"], how="inner", pieces=p) for p in (None, cut)]
+    assert inner[0].count() == inner[1].count() < fact.count()
+    assert inner[0].exceptAll(inner[1]).isEmpty()
 
 
 def test_point_in_time_edges(spark):

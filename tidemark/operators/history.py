@@ -59,31 +59,39 @@ def point_in_time(
 
     An equi join with the window as its condition: Spark broadcasts the
     dimension below its size threshold and otherwise shuffles both sides by
-    key, where adaptive execution splits a key that is hot in the fact. A key
-    with a long history in the dimension is cut into pieces on both sides, so
-    a fact row meets only the versions of its own piece.
+    key, where adaptive execution splits a key that is hot in the fact. Keys
+    with a long history in the dimension would make that join quadratic; their
+    rows take the latest started window of an ordered pass instead.
     """
     dim_key = dim_key or key
     if pieces == skew.AUTO:
         pieces = skew.find_pieces(dim, dim_key, valid_from)
     ts = F.col(ts) if isinstance(ts, str) else ts
+    timed = fact.withColumn("__ts", ts)
     narrow = dim.select(
         F.col(dim_key).alias("__dim_key"),
         F.col(valid_from).alias("__from"),
         F.col(valid_to).alias("__to"),
         *[F.col(c).alias(f"__dim_{c}") for c in columns],
     )
-    within = (F.col("__ts") >= F.col("__from")) & (F.col("__ts") < F.col("__to"))
-    fact_side = fact.withColumn("__ts", ts)
-    match = F.col(key) == F.col("__dim_key")
-    if pieces is not None:
-        fact_side = skew.with_piece(fact_side, key, pieces, "__ts")
-        narrow = skew.with_overlapped_pieces(
-            narrow, "__dim_key", pieces, "__from", "__to"
-        ).withColumnRenamed(skew.PIECE, "__dim_piece")
-        match = match & (F.col(skew.PIECE) == F.col("__dim_piece"))
-    joined = fact_side.join(narrow, match & within, how)
-    return joined.select(*fact.columns, *[F.col(f"__dim_{c}").alias(c) for c in columns])
+    added = [F.col(f"__dim_{c}").alias(c) for c in columns]
+    match = (
+        (F.col(key) == F.col("__dim_key"))
+        & (F.col("__ts") >= F.col("__from"))
+        & (F.col("__ts") < F.col("__to"))
+    )
+    if pieces is None:
+        return timed.join(narrow, match, how).select(*fact.columns, *added)
+    plain, long_lived = skew.split_hot(timed, key, pieces)
+    few, many = skew.split_hot(narrow, "__dim_key", pieces)
+    joined = plain.join(few, match, how).select(*fact.columns, *added)
+    many = many.withColumnRenamed("__dim_key", key)
+    found = skew.latest_window(long_lived, many, key, "__ts", "__from", "__to", pieces)
+    if how == "inner":
+        found = found.filter(F.col("__window").isNotNull())
+    return joined.unionByName(
+        found.select(*fact.columns, *[F.col(f"__window.__dim_{c}").alias(c) for c in columns])
+    )
 
 
 def current_only(dim: DataFrame, is_current: str = "is_current") -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 MIN_HOT_ROWS = 10_000
 MAX_HOT_KEYS = 4_000
 PIECES = 256
+STEP = 16
 
 PIECE = "__piece"
 
@@ -32,9 +33,11 @@ AUTO = "auto"
 
 @dataclass(frozen=True)
 class Pieces:
-    """Cut points of the hot keys, and the first order value of each next piece."""
+    """The hot keys, their cut points, and the first order value of each next piece."""
 
-    cuts: DataFrame  # __hot_key, __cuts
+    hot: DataFrame  # __hot_key
+    count: int
+    cuts: DataFrame  # __hot_key, __cuts, and every STEP-th cut as __coarse
     next_start: DataFrame  # __next_key, __next_piece, __next_start
 
 
@@ -71,13 +74,7 @@ def find_pieces(
     if not found:
         return None
     hot = df.sparkSession.createDataFrame(found, listed.schema)
-    shares = ", ".join(f"{i / pieces}D" for i in range(1, pieces))
-    quantiles = F.expr(f"percentile_approx(`{order}`, array({shares}), {4 * pieces})")
-    cuts = (
-        narrow.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__hot_key")))
-        .groupBy("__hot_key")
-        .agg(F.array_distinct(quantiles).alias("__cuts"))
-    )
+    cuts = _cut_points(narrow, key, order, hot, pieces)
     starts = (
         _with_piece(narrow, key, F.col(order), cuts, "inner")
         .groupBy(F.col(key).alias("__next_key"), F.col(PIECE).alias("__piece"))
@@ -90,17 +87,31 @@ def find_pieces(
         F.col("__piece").alias("__next_piece"),
         F.lead("__start").over(following).alias("__next_start"),
     )
-    return Pieces(cuts, next_start)
+    return Pieces(hot, pieces, cuts, next_start)
+
+
+def _cut_points(df: DataFrame, key: str, order: str, hot: DataFrame, pieces: int) -> DataFrame:
+    """Quantiles of ``order`` per hot key: a sketch, merged from partial ones."""
+    shares = ", ".join(f"{i / pieces}D" for i in range(1, pieces))
+    quantiles = F.expr(f"percentile_approx(`{order}`, array({shares}), {4 * pieces})")
+    cuts = (
+        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__hot_key")))
+        .groupBy("__hot_key")
+        .agg(F.array_distinct(quantiles).alias("__cuts"))
+    )
+    return cuts.withColumn("__coarse", F.filter("__cuts", lambda cut, i: (i + 1) % STEP == 0))
 
 
 def _piece_of(value: Column) -> Column:
-    passed = F.size(F.filter("__cuts", lambda cut: cut <= value))
-    return F.when(F.col("__cuts").isNull(), 0).otherwise(passed + 1)
+    """Number of cut points passed, plus one: first among every STEP-th, then within one step."""
+    steps = F.size(F.filter("__coarse", lambda cut: cut <= value))
+    rest = F.size(F.filter(F.slice("__cuts", steps * STEP + 1, F.lit(STEP)), lambda cut: cut <= value))
+    return F.when(F.col("__cuts").isNull(), 0).otherwise(steps * STEP + rest + 1)
 
 
 def _with_piece(df: DataFrame, key: str, value: Column, cuts: DataFrame, how: str) -> DataFrame:
     joined = df.join(F.broadcast(cuts), F.col(key).eqNullSafe(F.col("__hot_key")), how)
-    return joined.withColumn(PIECE, _piece_of(value)).drop("__hot_key", "__cuts")
+    return joined.withColumn(PIECE, _piece_of(value)).drop("__hot_key", "__cuts", "__coarse")
 
 
 def with_piece(df: DataFrame, key: str, pieces: Pieces, value: Column | str) -> DataFrame:
@@ -109,15 +120,47 @@ def with_piece(df: DataFrame, key: str, pieces: Pieces, value: Column | str) ->
     return _with_piece(df, key, value, pieces.cuts, "left")
 
 
-def with_overlapped_pieces(df: DataFrame, key: str, pieces: Pieces, start: str, end: str) -> DataFrame:
-    """Repeat each [start, end) row once per piece it overlaps.
+def split_hot(df: DataFrame, key: str, pieces: Pieces) -> tuple[DataFrame, DataFrame]:
+    """Rows of ordinary keys (and of NULL), and rows of hot keys."""
+    on = F.col(key) == F.col("__hot_key")
+    hot = F.broadcast(pieces.hot)
+    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+
+
+def latest_window(
+    left: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str, pieces: Pieces
+) -> DataFrame:
+    """For every row the [start, end) window it falls into, as struct ``__window`` or NULL.
 
-    Windows of one key do not overlap each other, so a hot key gains at most
-    one row per piece.
+    Both sides are put in one order per key and each row takes the window that
+    started last: linear in both, however long the history. Pieces are cut by
+    the times of both sides, so that neither gathers in one task; a window is
+    repeated in every piece it reaches, which adds at most one row per piece.
+    Windows of one key must not overlap.
     """
-    joined = df.join(F.broadcast(pieces.cuts), F.col(key).eqNullSafe(F.col("__hot_key")), "left")
-    first, last = _piece_of(F.col(start)), _piece_of(F.col(end))
-    return joined.withColumn(PIECE, F.explode(F.sequence(first, last))).drop("__hot_key", "__cuts")
+    times = left.select(F.col(key).alias("k"), F.col(at).alias("t")).unionByName(
+        windows.select(F.col(key).alias("k"), F.col(start).alias("t"))
+    )
+    cuts = F.broadcast(_cut_points(times, "k", "t", pieces.hot, pieces.count))
+    on = F.col(key) == F.col("__hot_key")
+    names = F.struct(*windows.columns)
+    reach = F.explode(F.sequence(_piece_of(F.col(start)), _piece_of(F.col(end))))
+    started = windows.join(cuts, on).select(
+        F.col(key).alias("__key"), reach.alias(PIECE), F.col(start).alias("__at"), F.lit(0).alias("__side"),
+        names.alias("__window"),
+    )
+    rows = left.join(cuts, on).select(
+        F.col(key).alias("__key"), _piece_of(F.col(at)).alias(PIECE), F.col(at).alias("__at"),
+        F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"),
+    )
+    both = rows.unionByName(started, allowMissingColumns=True)
+    so_far = (
+        Window.partitionBy("__key", PIECE).orderBy("__at", "__side")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    found = both.withColumn("__window", F.last("__window", ignorenulls=True).over(so_far))
+    inside = F.when(F.col("__at") < F.col(f"__window.{end}"), F.col("__window"))
+    return found.filter("__side = 1").select("__row.*", inside.alias("__window"))
 
 
 def lead_within(df: DataFrame, key: str, order: str, name: str, pieces: Pieces | None) -> DataFrame:
