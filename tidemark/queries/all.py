@@ -4,6 +4,7 @@ from tidemark.queries import (  # noqa: F401
     expression_queries,
     model_queries,
     quality_queries,
+    run_queries,
     selection_queries,
     storage_queries,
 )

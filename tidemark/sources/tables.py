@@ -96,6 +96,11 @@ def day_of(column: str) -> Column:
     return F.to_date(column)
 
 
+def month_of(column: str) -> Column:
+    """The same in months, where a day holds little or the first load spans years."""
+    return F.to_date(F.trunc(column, "MM"))
+
+
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     """Partition of a table whose key carries no time."""
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
