@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing
+from tidemark.llm import mixing, packing
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -25,3 +25,8 @@ def register(name: str):
 @register("op1_mix_sources")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+
+
+@register("op3_pack_sequences")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
