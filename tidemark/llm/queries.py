@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing
+from tidemark.llm import mixing, packing, rules
 from tidemark.llm.common import table
 from tidemark.session import configure
 
@@ -30,3 +30,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op3_pack_sequences")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@register("op7_quality_rules")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
+SQL["op7_quality_rules"] = rules.SQL
