@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, rules
-from tidemark.llm.common import table
+from tidemark.llm import mixing, packing, rules, toxicity
+from tidemark.llm.common import id_remainder, table
 from tidemark.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +38,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op7_quality_rules"] = rules.SQL
+
+
+@register("op10_toxicity")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.split_off(docs), table(spark, sf_dir, "labels"))
+    held_out = (id_remainder("doc_id", 5) == 0).alias("held_out")
+    return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
