@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import mixing, packing, rules, toxicity
+from tidemark.llm import langid, mixing, packing, rules, toxicity
 from tidemark.llm.common import id_remainder, table
 from tidemark.session import configure
 
@@ -46,3 +46,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(toxicity.split_off(docs), table(spark, sf_dir, "labels"))
     held_out = (id_remainder("doc_id", 5) == 0).alias("held_out")
     return toxicity.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@register("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(langid.split_off(docs))
+    held_out = (id_remainder("doc_id", 3) == 1).alias("held_out")
+    return langid.predict(docs, model).select("doc_id", held_out, "lang_pred", "score", "accepted")
