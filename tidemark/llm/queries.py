@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid, mixing, packing, rules, toxicity
+from tidemark.llm import langid, mixing, packing, quality_crf, rules, toxicity
 from tidemark.llm.common import id_remainder, table
 from tidemark.session import configure
 
@@ -54,3 +54,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(langid.split_off(docs))
     held_out = (id_remainder("doc_id", 3) == 1).alias("held_out")
     return langid.predict(docs, model).select("doc_id", held_out, "lang_pred", "score", "accepted")
+
+
+@register("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_crf.fit(quality_crf.split_off(docs), table(spark, sf_dir, "labels"))
+    held_out = (id_remainder("doc_id", 4) == 2).alias("held_out")
+    return quality_crf.score(docs, model).select("doc_id", held_out, "score", "predicted")

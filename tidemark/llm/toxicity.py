@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
     total = known.count()
     if total > max_rows:  # by hash of the id, so reruns agree
         known = known.where(F.pmod(F.xxhash64("label_id", F.lit(seed)), F.lit(1 << 30)) < int((1 << 30) * max_rows / total))
-    rows = docs.select(F.col(id).alias("label_id"), text_of(text).alias("text")).join(known, "label_id").select("text", "y")
+    rows = docs.select(F.col(id).cast("long").alias("label_id"), text_of(text).alias("text")).join(known, "label_id").select("text", "y")
     rows = stored(rows, "toxic-sample")
     table = fold_table()
     n = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
