@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import langid, mixing, packing, quality_crf, rules, toxicity
+from tidemark.llm import html_text, langid, mixing, packing, quality_crf, rules, toxicity
 from tidemark.llm.common import id_remainder, table
 from tidemark.session import configure
 
@@ -62,3 +62,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_crf.fit(quality_crf.split_off(docs), table(spark, sf_dir, "labels"))
     held_out = (id_remainder("doc_id", 4) == 2).alias("held_out")
     return quality_crf.score(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@register("op5_extract_main_text")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
