@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import html_text, langid, mixing, packing, quality_crf, rules, toxicity
+from tidemark.llm import chosen_path, html_text, langid, mixing, packing, quality_crf, rules, toxicity
 from tidemark.llm.common import id_remainder, table
 from tidemark.session import configure
 
@@ -67,3 +67,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op5_extract_main_text")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op8_ngram_jaccard_join")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similar(table(spark, sf_dir, "documents"))
