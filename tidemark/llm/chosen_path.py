@@ -34,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import links
@@ -214,3 +214,14 @@ def similar(docs: DataFrame, *, id: str = "doc_id", text: str = "text", threshol
     out = sketches.select("doc_id", "d1", "d2").join(of_class, ["d1", "d2"])
     back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
     return out.select(back("doc_id"), back("class_id"), "n_links")
+
+
+def distinct(docs: DataFrame, *, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """One row of each class, unchanged: that of the least id, and of rows with equal ids the first by text."""
+    found = similar(docs, id=id, text=text, threshold=threshold, recall=recall)
+    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
+        F.coalesce("doc_id", F.lit(NULL_ID)).alias("keep_id")).distinct()
+    row = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("row_id"), F.xxhash64(text_of(text)).alias("row_hash"), F.struct("*").alias("row"))
+    first = Window.partitionBy("row_id").orderBy("row_hash")
+    kept = row.join(chosen, F.col("row_id") == F.col("keep_id"), "left_semi")
+    return kept.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")

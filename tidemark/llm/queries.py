@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm import chosen_path, html_text, langid, mixing, packing, quality_crf, rules, toxicity
 from tidemark.llm.common import id_remainder, table
 from tidemark.session import configure
@@ -72,3 +73,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_ngram_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.similar(table(spark, sf_dir, "documents"))
+
+
+QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(configure(spark), sf_dir)
+if corpus_pipeline.ORACLE_SQL is not None:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

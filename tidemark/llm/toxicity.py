@@ -39,7 +39,7 @@ MIN_TEXTS = 5
 MIN_RATIO = 1.0
 MIN_Z = 6.0
 SMOOTH = 1.0
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -91,16 +91,16 @@ def bucket_counts(table: np.ndarray):
     """Arrow batches of (text, label) to rows (bucket, texts, toxic texts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << BITS), np.int64)
+        counts = np.zeros((2, 1 << BITS), np.int32)
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False)
             for doc, bucket in presence(batch.column(0).to_pylist(), table, None):
                 for y in (0, 1):
-                    counts[y] += np.bincount(bucket[label[doc] == y], minlength=1 << BITS)
+                    np.add.at(counts[y], bucket[label[doc] == y], 1)
         some = np.flatnonzero(counts.sum(0))
         for k in range(0, len(some), 50_000):
             at = some[k : k + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[0, at]), pa.array(counts[1, at])], ["bucket", "clean", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(counts[0, at].astype(np.int64)), pa.array(counts[1, at].astype(np.int64))], ["bucket", "clean", "toxic"])
 
     return run
 
