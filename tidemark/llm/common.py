@@ -47,6 +47,8 @@ def id_remainder(column: str, modulus: int) -> Column:
 
 _IS_BLANK = np.zeros(256, bool)
 _IS_BLANK[[32, 9, 10, 11, 12, 13]] = True
+_IS_MARK = np.ones(256, bool)
+_IS_MARK[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _P = 0x9E3779B97F4A7C15 | 1
@@ -77,10 +79,11 @@ class Words:
     """The words of a batch of texts as arrays: no Python object per word.
 
     ``start`` and ``end`` are byte offsets into ``data``, ``doc`` the index of
-    each word's text, ``hash`` 64 bits of the word's bytes.
+    each word's text, ``hash`` 64 bits of the word's bytes. With ``bare`` ASCII
+    marks part words as blanks do.
     """
 
-    def __init__(self, texts: list[str | None], lower: bool = False):
+    def __init__(self, texts: list[str | None], lower: bool = False, bare: bool = False):
         raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
         self.n_docs = len(raw)
         sizes = np.fromiter((len(r) + 1 for r in raw), np.int64, len(raw))
@@ -88,7 +91,7 @@ class Words:
         if lower:
             data = _LOWER[data]
         self.data = data
-        inside = ~_IS_BLANK[data]
+        inside = ~(_IS_MARK if bare else _IS_BLANK)[data]
         step = np.diff(inside.astype(np.int8), prepend=0, append=0)
         self.start = np.flatnonzero(step == 1)
         self.end = np.flatnonzero(step == -1)

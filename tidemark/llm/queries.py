@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import chosen_path, html_text, langid, mixing, packing, quality_crf, rules, toxicity
+from tidemark.llm import chosen_path, html_text, langid, mixing, packing, quality_crf, rules, spotsigs, toxicity
 from tidemark.llm.common import id_remainder, table
 from tidemark.session import configure
 
@@ -78,3 +78,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(configure(spark), sf_dir)
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@register("op6_document_fingerprints")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited(table(spark, sf_dir, "documents"))
