@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chosen_path, html_text, langid, mixing, packing, quality_crf, rules, spotsigs, toxicity
+from tidemark.llm import chosen_path, html_text, langid, mixing, nce_lm, packing, quality_crf, rules, spotsigs, toxicity
 from tidemark.llm.common import id_remainder, table
 from tidemark.session import configure
 
@@ -83,3 +84,12 @@ if corpus_pipeline.ORACLE_SQL is not None:
 @register("op6_document_fingerprints")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited(table(spark, sf_dir, "documents"))
+
+
+@register("op2_language_model")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    counts, total, distinct, model = nce_lm.fit(nce_lm.split_off(docs))
+    held_out = (id_remainder("doc_id", 7) == 2).alias("held_out")
+    return nce_lm.score(docs, counts, total, distinct, model).select(
+        "doc_id", held_out, "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
