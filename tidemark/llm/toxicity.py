@@ -36,8 +36,8 @@ BITS = 22
 MAX_ROWS = 60_000
 MAX_FEATURES = 1 << 16
 MIN_TEXTS = 5
-MIN_RATIO = 1.0
-MIN_Z = 6.0
+MIN_RATIO = 0.5
+MIN_Z = 4.0
 SMOOTH = 1.0
 CHUNK = 1 << 19
 
@@ -105,7 +105,7 @@ def bucket_counts(table: np.ndarray):
     return run
 
 
-def _fit(rows: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, rounds: int = 300, held: float = 0.2) -> tuple[np.ndarray, float]:
+def _fit(rows: list[np.ndarray], label: np.ndarray, ratio: np.ndarray, rounds: int = 300, held: float = 0.05) -> tuple[np.ndarray, float]:
     """Logistic weights over ratio-scaled presence, pulled towards one; Adam on all rows."""
     doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     feat = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
