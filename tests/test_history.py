@@ -92,7 +92,7 @@ def plain_windows(log):
 
 @pytest.mark.parametrize("pieces", [2, 7, 64])
 def test_lead_in_pieces_equals_plain_lead(spark, hot_log, pieces):
-    cut = skew.find_pieces(hot_log, "id", "updated_at", min_rows=40, max_keys=5, pieces=pieces)
+    cut = skew.find_pieces(hot_log, "id", "updated_at", min_rows=40, pieces=pieces)
     assert cut.cuts.count() == 2
     got = skew.lead_within(hot_log, "id", "updated_at", "next", cut)
     want = plain_windows(hot_log)
@@ -136,6 +136,38 @@ def test_point_in_time_in_pieces_equals_plain_join(spark, hot_log):
     assert inner[0].exceptAll(inner[1]).isEmpty()
 
 
+def test_overlapping_windows_fan_out_whatever_the_size(spark):
+    spans = [(1, 1, 9, "a"), (1, 2, 4, "b"), (1, 2, 6, "c"), (1, 5, 5, "empty"), (1, 7, 3, "reversed"), (1, 8, 20, "d"),
+             (2, 1, 3, "e"), (2, 1, 3, "e"), (None, 1, 9, "n")]
+    dim = spark.createDataFrame(spans, "id long, a int, b int, city string").selectExpr(
+        "id", "city", "timestamp_ntz'2026-01-01' + make_dt_interval(a) AS valid_from",
+        "timestamp_ntz'2026-01-01' + make_dt_interval(b) AS valid_to")
+    fact = spark.range(0, 44).selectExpr(
+        "CASE WHEN id < 22 THEN 1L WHEN id < 40 THEN 2L END AS id", "timestamp_ntz'2026-01-01' + make_dt_interval(CAST(id % 22 AS INT)) AS at")
+    for how in ("left", "inner"):
+        plain = history.point_in_time(fact, dim, "id", "at", ["city"], how=how, pieces=None)
+        for pieces in (1, 3, 16):
+            cut = skew.find_pieces(dim, "id", "valid_from", min_rows=2, pieces=pieces)
+            split = history.point_in_time(fact, dim, "id", "at", ["city"], how=how, pieces=cut)
+            assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+
+
+def test_many_facts_of_one_key_at_one_time(spark):
+    dim = versions(spark, [(1, f"2026-01-{d:02d}", str(d)) for d in range(1, 29)])
+    dim = history.scd2_windows(dim, "id", "updated_at")
+    fact = spark.range(3000).selectExpr(
+        "id % 3 AS id", "CASE WHEN id % 3 = 1 THEN timestamp_ntz'2026-01-07 12:00:00' ELSE timestamp_ntz'2026-01-09' END AS at")
+    cut = skew.find_pieces(dim, "id", "valid_from", min_rows=5, pieces=8)
+    found = history.point_in_time(fact, dim, "id", "at", ["city"], pieces=cut).groupBy("id", "city").count()
+    assert sorted(map(tuple, found.na.fill("-").collect())) == [(0, "-", 1000), (1, "7", 1000), (2, "-", 1000)]
+
+
+def test_snapshot_of_a_null_key_stays_one_row(spark):
+    state = versions(spark, [(None, "2026-01-01", "a"), (1, "2026-01-01", "b")])
+    once = history.snapshot_merge(None, state, "id", "updated_at")
+    assert history.snapshot_merge(once, state, "id", "updated_at").count() == 2
+
+
 def test_point_in_time_edges(spark):
     dim = history.scd2_windows(
         versions(spark, [(1, "2026-01-10", "a"), (1, "2026-01-20", "b")]), "id", "updated_at"

@@ -61,7 +61,8 @@ def point_in_time(
     dimension below its size threshold and otherwise shuffles both sides by
     key, where adaptive execution splits a key that is hot in the fact. Keys
     with a long history in the dimension would make that join quadratic; their
-    rows take the latest started window of an ordered pass instead.
+    rows meet the windows in an ordered pass instead, with the same result: one
+    row per window that holds the time, also where windows overlap.
     """
     dim_key = dim_key or key
     if pieces == skew.AUTO:
@@ -86,11 +87,16 @@ def point_in_time(
     few, many = skew.split_hot(narrow, "__dim_key", pieces)
     joined = plain.join(few, match, how).select(*fact.columns, *added)
     many = many.withColumnRenamed("__dim_key", key)
-    found = skew.latest_window(long_lived, many, key, "__ts", "__from", "__to", pieces)
-    if how == "inner":
-        found = found.filter(F.col("__window").isNotNull())
+    # each instant once: facts of one key at one time come back by an equi join,
+    # whose hot side adaptive execution splits
+    instants = long_lived.select(key, "__ts").filter(F.col("__ts").isNotNull()).distinct()
+    found = skew.windows_at(instants, many, key, "__ts", "__from", "__to", pieces).select(
+        F.col(key).alias("__at_key"), F.col("__ts").alias("__at_ts"), "__window"
+    )
+    at = (F.col(key) == F.col("__at_key")) & (F.col("__ts") == F.col("__at_ts"))
+    matched = long_lived.join(found, at, how)
     return joined.unionByName(
-        found.select(*fact.columns, *[F.col(f"__window.__dim_{c}").alias(c) for c in columns])
+        matched.select(*fact.columns, *[F.col(f"__window.__dim_{c}").alias(c) for c in columns])
     )
 
 
@@ -133,7 +139,7 @@ def snapshot_merge(
         F.col(key).alias("__old_key"), F.struct(*names).alias("__old")
     )
     new = opened.select(F.col(key).alias("__new_key"), F.struct(*names).alias("__new"))
-    pairs = old.join(new, F.col("__old_key") == F.col("__new_key"), "full_outer")
+    pairs = old.join(new, F.col("__old_key").eqNullSafe(F.col("__new_key")), "full_outer")
     has_old, has_new = F.col("__old").isNotNull(), F.col("__new").isNotNull()
     newer = F.col(f"__new.{updated_at}") > F.col(f"__old.{updated_at}")
     rows = (

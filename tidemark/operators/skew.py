@@ -6,11 +6,10 @@ found with a map-side combined count and cut into pieces of similar size along
 the ordering column; every other key stays whole in piece 0.
 
 The count runs before the query is planned, over two columns of a stored
-table, and brings at most ``MAX_HOT_KEYS`` keys to the driver. Without a hot
-key the query keeps its plain form. With some, the lookup tables are bounded
-by ``MAX_HOT_KEYS`` and ``PIECES`` whatever the table size, so broadcasting
-them is safe. A key that misses the list owns less than 1/MAX_HOT_KEYS of the
-rows and is handled whole.
+table. Without a hot key the query keeps its plain form. The hot keys and their
+cut points are tables, joined like any other, so that neither their number nor
+the table's size is bounded. Both forms give the same rows; the size of a key
+decides how they are found only.
 """
 
 from __future__ import annotations
@@ -20,8 +19,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import work_dir
+
 MIN_HOT_ROWS = 10_000
-MAX_HOT_KEYS = 4_000
 PIECES = 256
 STEP = 16
 
@@ -41,16 +41,12 @@ class Pieces:
     next_start: DataFrame  # __next_key, __next_piece, __next_start
 
 
-def hot_keys(
-    df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS, max_keys: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """At most ``max_keys`` keys that own ``min_rows`` rows or more."""
+def hot_keys(df: DataFrame, key: str, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """The keys that own ``min_rows`` rows or more."""
     return (
         df.groupBy(key)
         .agg(F.count(F.lit(1)).alias("__rows"))
         .filter(F.col("__rows") >= min_rows)
-        .orderBy(F.desc("__rows"), key)
-        .limit(max_keys)
         .select(F.col(key).alias("__hot_key"))
     )
 
@@ -60,7 +56,6 @@ def find_pieces(
     key: str,
     order: str,
     min_rows: int = MIN_HOT_ROWS,
-    max_keys: int = MAX_HOT_KEYS,
     pieces: int = PIECES,
 ) -> Pieces | None:
     """Cut the hot keys of ``df`` into ``pieces`` along ``order``; None if no key is hot.
@@ -69,18 +64,16 @@ def find_pieces(
     to be cut, so pass the stored input rather than an expensive derivation.
     """
     narrow = df.select(key, order)
-    listed = hot_keys(narrow, key, min_rows, max_keys)
-    found = listed.collect()  # at most max_keys rows
-    if not found:
+    hot = _stored(hot_keys(narrow, key, min_rows), "hot-keys")
+    if hot.isEmpty():
         return None
-    hot = df.sparkSession.createDataFrame(found, listed.schema)
-    cuts = _cut_points(narrow, key, order, hot, pieces)
+    cuts = _stored(_cut_points(narrow, key, order, hot, pieces), "hot-cuts")
     starts = (
         _with_piece(narrow, key, F.col(order), cuts, "inner")
         .groupBy(F.col(key).alias("__next_key"), F.col(PIECE).alias("__piece"))
         .agg(F.min(order).alias("__start"))
     )
-    # one row per hot key and piece: at most max_keys * pieces rows
+    # one row per hot key and piece
     following = Window.partitionBy("__next_key").orderBy("__piece")
     next_start = starts.select(
         "__next_key",
@@ -90,12 +83,18 @@ def find_pieces(
     return Pieces(hot, pieces, cuts, next_start)
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _cut_points(df: DataFrame, key: str, order: str, hot: DataFrame, pieces: int) -> DataFrame:
     """Quantiles of ``order`` per hot key: a sketch, merged from partial ones."""
     shares = ", ".join(f"{i / pieces}D" for i in range(1, pieces))
     quantiles = F.expr(f"percentile_approx(`{order}`, array({shares}), {4 * pieces})")
     cuts = (
-        df.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("__hot_key")))
+        df.join(hot, F.col(key).eqNullSafe(F.col("__hot_key")))
         .groupBy("__hot_key")
         .agg(F.array_distinct(quantiles).alias("__cuts"))
     )
@@ -110,7 +109,7 @@ def _piece_of(value: Column) -> Column:
 
 
 def _with_piece(df: DataFrame, key: str, value: Column, cuts: DataFrame, how: str) -> DataFrame:
-    joined = df.join(F.broadcast(cuts), F.col(key).eqNullSafe(F.col("__hot_key")), how)
+    joined = df.join(cuts, F.col(key).eqNullSafe(F.col("__hot_key")), how)
     return joined.withColumn(PIECE, _piece_of(value)).drop("__hot_key", "__cuts", "__coarse")
 
 
@@ -123,44 +122,52 @@ def with_piece(df: DataFrame, key: str, pieces: Pieces, value: Column | str) ->
 def split_hot(df: DataFrame, key: str, pieces: Pieces) -> tuple[DataFrame, DataFrame]:
     """Rows of ordinary keys (and of NULL), and rows of hot keys."""
     on = F.col(key) == F.col("__hot_key")
-    hot = F.broadcast(pieces.hot)
-    return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+    return df.join(pieces.hot, on, "left_anti"), df.join(pieces.hot, on, "left_semi")
 
 
-def latest_window(
-    left: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str, pieces: Pieces
+def windows_at(
+    instants: DataFrame, windows: DataFrame, key: str, at: str, start: str, end: str, pieces: Pieces
 ) -> DataFrame:
-    """For every row the [start, end) window it falls into, as struct ``__window`` or NULL.
+    """(key, at, ``__window``) for every window [start, end) that holds the instant.
 
-    Both sides are put in one order per key and each row takes the window that
-    started last: linear in both, however long the history. Pieces are cut by
-    the times of both sides, so that neither gathers in one task; a window is
-    repeated in every piece it reaches, which adds at most one row per piece.
-    Windows of one key must not overlap.
+    Both sides are put in one order per key, and each instant takes the window
+    that started last: linear in both, however long the history. Where an earlier
+    window reaches past the instant too, a join inside the piece finds all of
+    them, which costs what it yields. Pieces are cut by the times of both sides;
+    a window is repeated in every piece it reaches, so at most once per piece.
     """
-    times = left.select(F.col(key).alias("k"), F.col(at).alias("t")).unionByName(
+    times = instants.select(F.col(key).alias("k"), F.col(at).alias("t")).unionByName(
         windows.select(F.col(key).alias("k"), F.col(start).alias("t"))
     )
-    cuts = F.broadcast(_cut_points(times, "k", "t", pieces.hot, pieces.count))
+    cuts = _cut_points(times, "k", "t", pieces.hot, pieces.count)
     on = F.col(key) == F.col("__hot_key")
-    names = F.struct(*windows.columns)
     reach = F.explode(F.sequence(_piece_of(F.col(start)), _piece_of(F.col(end))))
     started = windows.join(cuts, on).select(
         F.col(key).alias("__key"), reach.alias(PIECE), F.col(start).alias("__at"), F.lit(0).alias("__side"),
-        names.alias("__window"),
+        F.struct(*windows.columns).alias("__window"),
     )
-    rows = left.join(cuts, on).select(
-        F.col(key).alias("__key"), _piece_of(F.col(at)).alias(PIECE), F.col(at).alias("__at"),
-        F.lit(1).alias("__side"), F.struct(*left.columns).alias("__row"),
+    asked = instants.join(cuts, on).select(
+        F.col(key).alias("__key"), _piece_of(F.col(at)).alias(PIECE), F.col(at).alias("__at"), F.lit(1).alias("__side"),
     )
-    both = rows.unionByName(started, allowMissingColumns=True)
-    so_far = (
-        Window.partitionBy("__key", PIECE).orderBy("__at", "__side")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ordered = Window.partitionBy("__key", PIECE).orderBy("__at", "__side")
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    both = asked.unionByName(started, allowMissingColumns=True)
+    reached = both.withColumn("__reached", F.max(f"__window.{end}").over(before))
+    latest = F.when(F.col("__side") == 0, F.struct("__window", "__reached"))
+    found = reached.withColumn("__last", F.last(latest, ignorenulls=True).over(so_far)).filter("__side = 1")
+    overlapped = F.coalesce(F.col("__last.__reached") > F.col("__at"), F.lit(False))
+    one = found.filter(~overlapped & (F.col("__at") < F.col(f"__last.__window.{end}"))).select(
+        F.col("__key").alias(key), F.col("__at").alias(at), F.col("__last.__window").alias("__window")
     )
-    found = both.withColumn("__window", F.last("__window", ignorenulls=True).over(so_far))
-    inside = F.when(F.col("__at") < F.col(f"__window.{end}"), F.col("__window"))
-    return found.filter("__side = 1").select("__row.*", inside.alias("__window"))
+    several = found.filter(overlapped).select(
+        F.col("__key").alias("__k"), F.col(PIECE).alias("__p"), F.col("__at").alias("__t")
+    ).join(
+        started,
+        (F.col("__k") == F.col("__key")) & (F.col("__p") == F.col(PIECE)) & (F.col("__t") >= F.col("__at"))
+        & (F.col("__t") < F.col(f"__window.{end}")),
+    ).select(F.col("__k").alias(key), F.col("__t").alias(at), "__window")
+    return one.unionByName(several)
 
 
 def lead_within(df: DataFrame, key: str, order: str, name: str, pieces: Pieces | None) -> DataFrame:
@@ -176,7 +183,7 @@ def lead_within(df: DataFrame, key: str, order: str, name: str, pieces: Pieces |
     led = cut.withColumn("__lead", F.lead(order).over(per_piece))
     return (
         led.join(
-            F.broadcast(pieces.next_start),
+            pieces.next_start,
             F.col(key).eqNullSafe(F.col("__next_key")) & (F.col(PIECE) == F.col("__next_piece")),
             "left",
         )

@@ -538,6 +538,18 @@ def wf07_validity_windows_pieces(t: Lake):
     return history.scd2_windows(t.events, "user_id", "ts", ["event_type"], sk_format=MICROS, pieces=pieces)
 
 
+@query("jn03_overlapping_windows", "fact_id:l event_id:l",
+       """SELECT f.event_id AS fact_id, w.event_id FROM events f LEFT JOIN events w ON w.user_id = f.user_id
+          AND f.ts >= w.ts AND f.ts < w.ts + INTERVAL 12 HOUR""")
+def jn03_overlapping_windows(t: Lake):
+    """Windows that overlap, every user cut into pieces: one row per window, as a plain join gives."""
+    dim = t.events.select("user_id", "event_id", F.col("ts").alias("valid_from"),
+                          (F.col("ts") + F.expr("INTERVAL 12 HOURS")).alias("valid_to"))
+    fact = t.events.select("user_id", F.col("event_id").alias("fact_id"), F.col("ts").alias("at"))
+    pieces = skew.find_pieces(t.events, "user_id", "ts", min_rows=1, pieces=8)
+    return history.point_in_time(fact, dim, "user_id", "at", ["event_id"], pieces=pieces)
+
+
 @query("wf08_next_start", "policyholder_id:l window_start:t next_start:t",
        """SELECT policyholder_id, valid_from AS window_start,
           lead(valid_from) OVER (PARTITION BY policyholder_id ORDER BY valid_from) AS next_start
