@@ -50,7 +50,7 @@ def test_window_chain(spark):
             (2, "2026-01-01", "2026-01-02", False), (2, "2026-01-03", "9999-12-31", True),
             (3, "2026-01-01", "2026-01-05", False), (3, "2026-01-03", "9999-12-31", True),
             (4, "2026-01-02", "2026-01-02", True), (5, "2026-01-01", "2026-01-02", False))
-    assert sorted(r.scd_key for r in q.scd2_contiguous(d, "k").collect()) == [2, 3, 4]
+    assert sorted(r.dim_key for r in q.scd2_contiguous(d, "k").collect()) == [2, 3, 4]
     assert rows(q.scd2_one_current(d, "k")) == [(5, 0)]
 
 

@@ -72,28 +72,20 @@ def scd2_contiguous(
     dim: DataFrame, key: str, valid_from: str = "valid_from", valid_to: str = "valid_to",
     pieces: skew.Pieces | str | None = skew.AUTO,
 ) -> DataFrame:
-    """Empty or reversed windows, gaps and overlaps."""
-    windows = dim.select(
-        F.col(key).alias("scd_key"),
-        F.col(valid_from).alias("window_start"),
-        F.col(valid_to).alias("window_end"),
-    )
+    """Windows that hold no time, or do not end where the key's next one begins."""
+    own = dim.select(F.col(key).alias("dim_key"), F.col(valid_from).alias("opens_at"), F.col(valid_to).alias("closes_at"))
     if pieces == skew.AUTO:
-        pieces = skew.find_pieces(windows, "scd_key", "window_start")
-    chained = skew.lead_within(windows, "scd_key", "window_start", "next_start", pieces)
-    return chained.filter(
-        (F.col("window_start") >= F.col("window_end"))
-        | (F.col("next_start").isNotNull() & (F.col("window_end") != F.col("next_start")))
-    )
+        pieces = skew.find_pieces(own, "dim_key", "opens_at")
+    beside = skew.lead_within(own, "dim_key", "opens_at", "follows_at", pieces)
+    holds_time = F.col("opens_at") < F.col("closes_at")
+    chains = F.coalesce(F.col("closes_at") == F.col("follows_at"), F.lit(True))
+    return beside.filter(~(holds_time & chains))
 
 
 def scd2_one_current(dim: DataFrame, key: str, is_current: str = "is_current") -> DataFrame:
-    """Keys with no current version or several."""
-    return (
-        dim.groupBy(key)
-        .agg(F.count_if(F.col(is_current)).alias("current_versions"))
-        .filter("current_versions <> 1")
-    )
+    """Keys that have not exactly one current version."""
+    marked = dim.groupBy(key).agg(F.count_if(F.col(is_current)).alias("current_rows"))
+    return marked.filter(F.col("current_rows") != 1)
 
 
 def reconcile_totals(

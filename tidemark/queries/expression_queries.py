@@ -223,9 +223,9 @@ def jn01_inner_lookup(t: Lake):
 
 
 @query("jn02_left_lookups", "claim_id:s policyholder_id:d policy_sk:s",
-       """SELECT c.claim_id, p.policyholder_id, dp.policy_sk FROM claims_pivot c
+       """SELECT c.claim_id, p.policyholder_id, dp.policy_sk FROM claim_states c
           LEFT JOIN slv_policies p ON p.policy_id = c.policy_id
-          LEFT JOIN dim_policy dp ON dp.policy_id = c.policy_id""", "claims_pivot slv_policies dim_policy")
+          LEFT JOIN dim_policy dp ON dp.policy_id = c.policy_id""", "claim_states slv_policies dim_policy")
 def jn02_left_lookups(t: Lake):
     s = star(t)
     claims = models.slv_claim_events(feeds.claims(t)).groupBy("claim_id").agg(
@@ -268,11 +268,11 @@ def jn03_point_in_time_pieces(t: Lake):
 
 
 @query("jn04_point_in_time_on_date", "claim_id:s loss_date:D city:s",
-       """SELECT c.claim_id, c.loss_date, h.city FROM claims_pivot c
+       """SELECT c.claim_id, c.loss_date, h.city FROM claim_states c
           LEFT JOIN slv_policies p ON p.policy_id = c.policy_id
           LEFT JOIN dim_holder h ON h.policyholder_id = p.policyholder_id
             AND CAST(c.loss_date AS TIMESTAMP) >= h.valid_from AND CAST(c.loss_date AS TIMESTAMP) < h.valid_to""",
-       "claims_pivot slv_policies dim_holder")
+       "claim_states slv_policies dim_holder")
 def jn04_point_in_time_on_date(t: Lake):
     s = star(t)
     claims = models.slv_claim_events(feeds.claims(t)).groupBy("claim_id").agg(
@@ -395,7 +395,7 @@ def agg05_latest_value(t: Lake):
 
 
 @query("agg06_constant_attribute", "claim_id:s policy_id:s loss_date:D reported_date:D",
-       "SELECT * FROM claims_pivot", "claims_pivot")
+       "SELECT * FROM claim_states", "claim_states")
 def agg06_constant_attribute(t: Lake):
     events = models.slv_claim_events(feeds.claims(t))
     return facts.accumulate(events, "claim_id", "updated_at", "claim_status", {},

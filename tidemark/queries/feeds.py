@@ -180,57 +180,66 @@ cte("slv_policies", _latest("policies_d", "policy_id",
 cte("slv_claims", _latest("claims_d", "claim_id, updated_at",
                           "loaded_at DESC, source_file DESC"), "claims_d")
 
-cte("dim_holder", """
-  SELECT md5(policyholder_id || '~' || strftime(updated_at, '%Y-%m-%d %H:%M:%S')) AS policyholder_sk,
-    policyholder_id, first_name, last_name, date_of_birth, city, state, risk_tier,
-    updated_at AS valid_from, valid_to, valid_to = TIMESTAMP '9999-12-31' AS is_current
-  FROM (SELECT *, coalesce(lead(updated_at) OVER (PARTITION BY policyholder_id ORDER BY updated_at),
-                           TIMESTAMP '9999-12-31') AS valid_to FROM slv_holder_versions)
-  UNION ALL
-  SELECT '-1', -1, 'Unknown', 'Unknown', NULL, 'Unknown', 'Unknown', 'Unknown',
-    TIMESTAMP '1900-01-01', TIMESTAMP '9999-12-31', true""", "slv_holder_versions")
+def _version_key(ident: str, at: str) -> str:
+    return f"md5({ident} || '~' || strftime({at}, '%Y-%m-%d %H:%M:%S'))"
+
+
+def _day_key(day: str) -> str:
+    return f"year({day}) * 10000 + month({day}) * 100 + day({day})"
+
+
+# a version ends with the earliest later one of its holder
+cte("dim_holder", f"""
+  WITH ends AS (
+    SELECT v.policyholder_id, v.updated_at, min(later.updated_at) AS until
+    FROM slv_holder_versions v LEFT JOIN slv_holder_versions later
+      ON later.policyholder_id = v.policyholder_id AND later.updated_at > v.updated_at
+    GROUP BY ALL)
+  SELECT {_version_key('policyholder_id', 'updated_at')} AS policyholder_sk, policyholder_id, first_name, last_name,
+    date_of_birth, city, state, risk_tier, updated_at AS valid_from,
+    ifnull(until, TIMESTAMP '9999-12-31') AS valid_to, until IS NULL AS is_current
+  FROM slv_holder_versions JOIN ends USING (policyholder_id, updated_at)
+  UNION ALL BY NAME
+  SELECT '-1' AS policyholder_sk, -1 AS policyholder_id, NULL AS date_of_birth, true AS is_current,
+    TIMESTAMP '1900-01-01' AS valid_from, TIMESTAMP '9999-12-31' AS valid_to,
+    u AS first_name, u AS last_name, u AS city, u AS state, u AS risk_tier FROM (VALUES ('Unknown')) AS x(u)""",
+    "slv_holder_versions")
 
 cte("dim_policy", """
-  SELECT md5(policy_id) AS policy_sk, policy_id, product_line, policy_status, effective_date,
-    expiration_date, date_diff('day', effective_date, expiration_date) AS term_days FROM slv_policies
-  UNION ALL SELECT '-1', 'UNKNOWN', 'Unknown', 'Unknown', NULL, NULL, NULL""", "slv_policies")
-
-cte("fct_written", """
-  SELECT p.policy_id, dp.policy_sk, coalesce(h.policyholder_sk, '-1') AS policyholder_sk,
-    CAST(strftime(p.issued_at, '%Y%m%d') AS INTEGER) AS issue_date_key,
-    CAST(strftime(p.effective_date, '%Y%m%d') AS INTEGER) AS effective_date_key,
+  SELECT md5(policy_id) AS policy_sk, policy_id, product_line, policy_status, effective_date, expiration_date,
+    expiration_date - effective_date AS term_days FROM slv_policies
+  UNION ALL BY NAME
+  SELECT '-1' AS policy_sk, 'UNKNOWN' AS policy_id, u AS product_line, u AS policy_status
+  FROM (VALUES ('Unknown')) AS x(u)""", "slv_policies")
+
+# holder versions chain without gaps, so the one in force is the last that began
+cte("fct_written", f"""
+  SELECT p.policy_id, md5(p.policy_id) AS policy_sk,
+    CASE WHEN v.updated_at IS NULL THEN '-1' ELSE {_version_key('v.policyholder_id', 'v.updated_at')} END AS policyholder_sk,
+    {_day_key('p.issued_at')} AS issue_date_key, {_day_key('p.effective_date')} AS effective_date_key,
     p.annual_premium, p.issued_at
-  FROM slv_policies p JOIN dim_policy dp ON dp.policy_id = p.policy_id
-  LEFT JOIN dim_holder h ON h.policyholder_id = p.policyholder_id
-    AND p.issued_at >= h.valid_from AND p.issued_at < h.valid_to""",
-    "slv_policies", "dim_policy", "dim_holder")
-
-# events of one claim share policy and dates; the latest amount and status count
-cte("claims_pivot", """
-  SELECT claim_id, max(policy_id) AS policy_id, max(loss_date) AS loss_date,
-    max(reported_date) AS reported_date,
-    arg_max_null(claim_amount, updated_at) AS claim_amount,
-    arg_max_null(claim_status, updated_at) AS current_status,
-    min(CASE WHEN claim_status = 'APPROVED' THEN updated_at END) AS approved_at,
-    min(CASE WHEN claim_status = 'REJECTED' THEN updated_at END) AS rejected_at,
-    min(CASE WHEN claim_status = 'PAID' THEN updated_at END) AS paid_at,
-    max(updated_at) AS last_updated_at, max(loaded_at) AS last_loaded_at
-  FROM slv_claims GROUP BY claim_id""", "slv_claims")
-
-cte("fct_claims", """
-  SELECT c.claim_id, coalesce(dp.policy_sk, '-1') AS policy_sk,
-    coalesce(h.policyholder_sk, '-1') AS policyholder_sk,
-    CAST(strftime(c.loss_date, '%Y%m%d') AS INTEGER) AS loss_date_key,
-    CAST(strftime(c.reported_date, '%Y%m%d') AS INTEGER) AS reported_date_key,
-    CAST(strftime(c.approved_at, '%Y%m%d') AS INTEGER) AS approved_date_key,
-    CAST(strftime(c.rejected_at, '%Y%m%d') AS INTEGER) AS rejected_date_key,
-    CAST(strftime(c.paid_at, '%Y%m%d') AS INTEGER) AS paid_date_key,
-    c.current_status, c.claim_amount,
-    date_diff('day', c.reported_date, CAST(c.paid_at AS DATE)) AS days_to_settle,
-    c.last_updated_at, c.last_loaded_at
-  FROM claims_pivot c
-  LEFT JOIN slv_policies p ON p.policy_id = c.policy_id
-  LEFT JOIN dim_policy dp ON dp.policy_id = c.policy_id
-  LEFT JOIN dim_holder h ON h.policyholder_id = p.policyholder_id
-    AND CAST(c.loss_date AS TIMESTAMP) >= h.valid_from AND CAST(c.loss_date AS TIMESTAMP) < h.valid_to""",
-    "claims_pivot", "slv_policies", "dim_policy", "dim_holder")
+  FROM slv_policies p ASOF LEFT JOIN slv_holder_versions v
+    ON v.policyholder_id = p.policyholder_id AND p.issued_at >= v.updated_at""",
+    "slv_policies", "slv_holder_versions")
+
+# policy and dates never change within a claim, so its newest event has them all
+cte("claim_states", """
+  SELECT *, min(updated_at) FILTER (claim_status = 'APPROVED') OVER whole AS approved_at,
+    min(updated_at) FILTER (claim_status = 'REJECTED') OVER whole AS rejected_at,
+    min(updated_at) FILTER (claim_status = 'PAID') OVER whole AS paid_at, max(loaded_at) OVER whole AS last_loaded_at
+  FROM slv_claims WINDOW whole AS (PARTITION BY claim_id)
+  QUALIFY updated_at = max(updated_at) OVER whole""", "slv_claims")
+
+cte("fct_claims", f"""
+  WITH owned AS (
+    SELECT s.*, p.policy_id IS NOT NULL AS has_policy, p.policyholder_id, CAST(s.loss_date AS TIMESTAMP) AS lost_at
+    FROM claim_states s LEFT JOIN slv_policies p USING (policy_id))
+  SELECT o.claim_id, if(o.has_policy, md5(o.policy_id), '-1') AS policy_sk,
+    CASE WHEN v.updated_at IS NULL THEN '-1' ELSE {_version_key('v.policyholder_id', 'v.updated_at')} END AS policyholder_sk,
+    {_day_key('o.loss_date')} AS loss_date_key, {_day_key('o.reported_date')} AS reported_date_key,
+    {_day_key('o.approved_at')} AS approved_date_key, {_day_key('o.rejected_at')} AS rejected_date_key,
+    {_day_key('o.paid_at')} AS paid_date_key, o.claim_status AS current_status, o.claim_amount,
+    CAST(o.paid_at AS DATE) - o.reported_date AS days_to_settle, o.updated_at AS last_updated_at, o.last_loaded_at
+  FROM owned o ASOF LEFT JOIN slv_holder_versions v
+    ON v.policyholder_id = o.policyholder_id AND o.lost_at >= v.updated_at""",
+    "claim_states", "slv_policies", "slv_holder_versions")

@@ -56,14 +56,16 @@ def dq05_unique_combination(t: Lake):
     return q.unique(t.lineitem, ["l_orderkey", "l_linenumber"])
 
 
-_BROKEN = """SELECT scd_key, window_start, window_end, next_start FROM (
-    SELECT user_id AS scd_key, ts AS window_start, until AS window_end,
-      lead(ts) OVER (PARTITION BY user_id ORDER BY ts) AS next_start
-    FROM (SELECT user_id, ts, CASE WHEN event_type = 'error' THEN ts - INTERVAL 1 DAY
-            WHEN event_type = 'view' THEN ts + INTERVAL 1 HOUR
-            ELSE coalesce(lead(ts) OVER (PARTITION BY user_id ORDER BY ts), TIMESTAMP '9999-12-31') END AS until
-          FROM events))
-    WHERE window_start >= window_end OR (next_start IS NOT NULL AND window_end <> next_start)"""
+# every window beside the one that begins next: an ordered list per user, unnested with its successor
+_BROKEN = """SELECT user_id AS dim_key, w.f AS opens_at, w.t AS closes_at, n AS follows_at FROM (
+    SELECT user_id, unnest(list_zip(ws, list_append(list_transform(ws[2:], lambda x: x.f), NULL))) AS pair,
+      pair[1] AS w, pair[2] AS n
+    FROM (SELECT user_id, list({'f': ts, 't': CASE event_type WHEN 'error' THEN ts - INTERVAL 1 DAY
+              WHEN 'view' THEN ts + INTERVAL 1 HOUR ELSE ifnull(after, TIMESTAMP '9999-12-31') END} ORDER BY ts) AS ws
+          FROM (SELECT e.user_id, e.ts, e.event_type, min(l.ts) AS after FROM events e
+                LEFT JOIN events l ON l.user_id = e.user_id AND l.ts > e.ts GROUP BY ALL)
+          GROUP BY user_id))
+    WHERE NOT (w.f < w.t AND ifnull(w.t = n, true))"""
 
 
 def _broken_windows(t: Lake):
@@ -77,23 +79,23 @@ def _broken_windows(t: Lake):
     return dim.withColumn("valid_to", until)
 
 
-@query("dq06_scd2_contiguous", "scd_key:l window_start:t window_end:t next_start:t", _BROKEN)
+@query("dq06_scd2_contiguous", "dim_key:l opens_at:t closes_at:t follows_at:t", _BROKEN)
 def dq06_scd2_contiguous(t: Lake):
     from tidemark.operators.skew import find_pieces
 
     return q.scd2_contiguous(_broken_windows(t), "user_id", pieces=find_pieces(t.events, "user_id", "ts"))
 
 
-@query("dq06_scd2_contiguous_clean", "scd_key:l window_start:t window_end:t next_start:t",
-       """SELECT policyholder_id AS scd_key, valid_from AS window_start, valid_to AS window_end,
-          valid_to AS next_start FROM dim_holder WHERE valid_from >= valid_to""", "dim_holder")
+@query("dq06_scd2_contiguous_clean", "dim_key:l opens_at:t closes_at:t follows_at:t",
+       """SELECT policyholder_id AS dim_key, valid_from AS opens_at, valid_to AS closes_at,
+          valid_to AS follows_at FROM dim_holder WHERE valid_to <= valid_from""", "dim_holder")
 def dq06_scd2_contiguous_clean(t: Lake):
     """The shipped dimension passes."""
     return q.scd2_contiguous(dim_holder(t), "policyholder_id", pieces=feeds.holder_pieces(t))
 
 
-@query("dq07_scd2_one_current", "o_custkey:l current_versions:l",
-       """SELECT o_custkey, count(*) FILTER (o_orderstatus = 'O') AS current_versions FROM orders
+@query("dq07_scd2_one_current", "o_custkey:l current_rows:l",
+       """SELECT o_custkey, count(*) FILTER (o_orderstatus = 'O') AS current_rows FROM orders
           GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'O') <> 1""")
 def dq07_scd2_one_current(t: Lake):
     marked = t.orders.withColumn("is_current", F.col("o_orderstatus") == "O")
@@ -104,17 +106,16 @@ _KEYS = "claim_id:s loss_date_key:d reported_date_key:d approved_date_key:d reje
 
 
 @query("dq08_milestones_in_order", _KEYS,
-       """SELECT * FROM fct_claims WHERE loss_date_key > reported_date_key
-          OR approved_date_key < reported_date_key OR rejected_date_key < reported_date_key
-          OR paid_date_key < reported_date_key
-          OR (approved_date_key IS NOT NULL AND rejected_date_key IS NOT NULL)""", "fct_claims")
+       """SELECT * FROM fct_claims
+          WHERE least(approved_date_key, rejected_date_key, paid_date_key) < reported_date_key
+            OR reported_date_key < loss_date_key OR approved_date_key + rejected_date_key IS NOT NULL""", "fct_claims")
 def dq08_milestones_in_order(t: Lake):
     return q.rule(claim_facts(t, star(t)), checks.milestones_out_of_order())
 
 
 @query("dq09_paid_without_approval", _KEYS + " current_status:s",
-       """SELECT * FROM fct_claims WHERE paid_date_key IS NOT NULL
-          AND (approved_date_key IS NULL OR rejected_date_key IS NOT NULL)""", "fct_claims")
+       """SELECT * FROM fct_claims WHERE paid_date_key > 0
+          EXCEPT ALL SELECT * FROM fct_claims WHERE approved_date_key > 0 AND rejected_date_key IS NULL""", "fct_claims")
 def dq09_paid_without_approval(t: Lake):
     return q.rule(claim_facts(t, star(t)), checks.paid_without_approval())
 
@@ -128,10 +129,10 @@ def _totals(gold, silver):
 
 
 def _totals_sql(gold: str, silver: str) -> str:
-    return f"""SELECT g.n AS gold_policies, s.n AS silver_policies, g.p AS gold_premium, s.p AS silver_premium
-        FROM (SELECT count(*) AS n, sum(annual_premium) AS p FROM {gold}) g
-        CROSS JOIN (SELECT count(*) AS n, sum(annual_premium) AS p FROM {silver}) s
-        WHERE g.n <> s.n OR g.p <> s.p"""
+    side = lambda table, name: (f"SELECT count(*) AS {name}_policies, sum(annual_premium) AS {name}_premium "
+                                f"FROM {table}")
+    return f"""SELECT * FROM ({side(gold, 'gold')}) POSITIONAL JOIN ({side(silver, 'silver')})
+        WHERE (gold_policies, gold_premium) <> (silver_policies, silver_premium)"""
 
 
 @query("dq10_gold_equals_silver", _TOTALS, _totals_sql("fct_written", "slv_policies"),
