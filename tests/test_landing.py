@@ -136,6 +136,21 @@ class TestIngest:
         assert self.run(spark, lake, tmp_path) == 1
         assert self.read(spark, tmp_path) == [(1, 1), (1, 1), (2, 2), (3, 1)]
 
+    def test_old_files_are_neither_dropped_nor_read_again(self, spark, lake, tmp_path):
+        import os
+        import time
+
+        assert self.run(spark, lake, tmp_path) == 2
+        put(attempt(lake, stamp="a2"), "part-00001.json.gz", [{"n": 9, "name": "late"}])
+        old = time.time() - 30 * 86400
+        for path in lake.rglob("part-*"):
+            os.utime(path, (old, old))
+        assert self.run(spark, lake, tmp_path) == 1
+        put(attempt(lake), "part-00002.json", [{"n": 77, "name": "rewritten"}])
+        put(attempt(lake, stamp="a3"), "part-00001.json.gz", [{"n": 10, "name": "new"}])
+        assert self.run(spark, lake, tmp_path) == 1
+        assert [n for n, _ in self.read(spark, tmp_path)] == [1, 2, 3, 9, 10]
+
     def test_small_batches_load_everything(self, spark, lake, tmp_path):
         for i in range(3, 8):
             put(attempt(lake), f"part-{i:05d}.json.gz", [{"n": 10 * i, "name": "x"}])
@@ -160,6 +175,13 @@ def test_reconcile_outcomes(spark):
                    "none": ("DONE", "DONE"), "lost": ("NOT_YET", "NOT_YET")}
 
 
+def test_swapped_and_unlisted_files_show(spark):
+    manifest = spark.createDataFrame([("a", "f1", 2), ("a", "f2", 1), ("none", None, 0)], "entity string, key string, rows bigint")
+    landed = spark.createDataFrame([("a", "f1"), ("a", "f1"), ("a", "f3"), ("b", "f9")], "entity string, source_file string")
+    got = {(r.entity, r.file): r.status for r in quality.reconcile_files(manifest, landed).collect()}
+    assert got == {("a", "f1"): "DONE", ("a", "f2"): "NOT_YET", ("a", "f3"): "NOT_LISTED", ("b", "f9"): "NOT_LISTED"}
+
+
 def test_overwriting_a_day_never_duplicates(spark, tmp_path):
     path = str(tmp_path / "t")
     days = spark.createDataFrame([("2026-01-01", 1), ("2026-01-02", 2)], "dt string, v int")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import control, selection
 from tidemark.operators.upsert import DuplicateKeys, SchemaChanged, merged
-from tidemark.sources.tables import ControlStore, KeyedTable, bucket_of, day_of, last_entry
+from tidemark.sources.tables import ControlStore, KeyedTable, NoPartition, OtherLayout, bucket_of, day_of, last_entry, month_of
 
 
 def rows(df):
@@ -39,6 +39,28 @@ def test_new_matched_mixed_and_empty_batches(spark, tmp_path):
     assert rows(t.read()) == want
 
 
+def test_another_partitioning_is_refused(spark, tmp_path):
+    t = table(spark, tmp_path, keys=("id",), partition=bucket_of(["id"], 4), newest=("at",))
+    t.upsert(log(spark, A))
+    for other in (bucket_of(["id"], 8), day_of("at"), month_of("at")):
+        with pytest.raises(OtherLayout):
+            table(spark, tmp_path, keys=("id",), partition=other, newest=("at",)).upsert(log(spark, B))
+    table(spark, tmp_path, keys=("id",), partition=bucket_of(["id"], 4), newest=("at",)).upsert(log(spark, [B[0]]))
+    assert rows(t.read()) == rows(log(spark, [B[0], A[1]]))
+
+
+def test_null_versions_change_and_block_nothing(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.upsert(log(spark, A))
+    null = log(spark, A).withColumn("at", F.lit(None).cast("timestamp_ntz"))
+    for batch in (null, null.unionByName(log(spark, B))):
+        with pytest.raises(NoPartition):
+            t.upsert(batch)
+        assert rows(t.read()) == rows(log(spark, A))
+    t.upsert(log(spark, B))
+    assert rows(t.read()) == rows(log(spark, [A[0], *B]))
+
+
 def test_only_touched_partitions_are_rewritten(spark, tmp_path):
     t = table(spark, tmp_path)
     t.upsert(log(spark, A + B[2:]))

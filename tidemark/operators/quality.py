@@ -267,6 +267,26 @@ def reconcile(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     )
 
 
+def reconcile_files(manifest: DataFrame, landed: DataFrame) -> DataFrame:
+    """Every file that is listed or loaded: entity, file, rows on both sides, status.
+
+    Equal totals can hide files swapped for others, and totals of listed entities
+    never show one the manifest lacks. Both sides are counted before they meet.
+    """
+    listed = manifest.filter(F.col("key").isNotNull()).groupBy(F.col("entity").alias("e1"), F.col("key").alias("f1")).agg(
+        F.sum("rows").alias("expected_rows"))
+    loaded = landed.groupBy(F.col("entity").alias("e2"), F.col("source_file").alias("f2")).agg(
+        F.count(F.lit(1)).alias("loaded_rows"))
+    both = listed.join(loaded, (F.col("e1") == F.col("e2")) & (F.col("f1") == F.col("f2")), "full_outer")
+    status = (
+        F.when(F.col("f1").isNull(), "NOT_LISTED").when(F.col("f2").isNull(), "NOT_YET")
+        .otherwise(compare_counts(F.col("expected_rows"), F.col("loaded_rows")))
+    )
+    return both.select(F.coalesce("e1", "e2").alias("entity"), F.coalesce("f1", "f2").alias("file"),
+                       F.coalesce("expected_rows", F.lit(0)).alias("expected_rows"),
+                       F.coalesce("loaded_rows", F.lit(0)).alias("loaded_rows"), status.alias("status"))
+
+
 def reconcile_min(expected: DataFrame, loaded: DataFrame, by: Sequence[str]) -> DataFrame:
     """Loaded at least what was expected; duplicates pass."""
     counts = loaded.groupBy(*by).agg(F.count(F.lit(1)).alias("loaded_rows"))

@@ -180,6 +180,21 @@ def dq13_load_freshness(t: Lake):
     return q.freshness(feeds.claim_rows(t), "loaded_at", "2024-02-02 12:00:00", by=["run_id"])
 
 
+@query("jn12_reconcile_files", "entity:l file:s expected_rows:l loaded_rows:l status:s",
+       """SELECT ifnull(m.entity, l.entity) AS entity, ifnull(m.file, l.file) AS file, ifnull(m.n, 0) AS expected_rows,
+            ifnull(l.n, 0) AS loaded_rows, CASE WHEN m.n IS NULL THEN 'NOT_LISTED' WHEN l.n IS NULL THEN 'NOT_YET'
+            WHEN l.n > m.n THEN 'TOO_MANY' WHEN l.n < m.n THEN 'NOT_YET' ELSE 'DONE' END AS status
+          FROM (SELECT o_custkey AS entity, strftime(o_orderdate, '%m') AS file, count(*) AS n FROM orders GROUP BY ALL) m
+          FULL JOIN (SELECT user_id AS entity, strftime(ts, '%m') AS file, count(*) AS n FROM events GROUP BY ALL) l
+          USING (entity, file)""")
+def jn12_reconcile_files(t: Lake):
+    """Months as files: customers' orders announced, their events loaded."""
+    manifest = t.orders.select(F.col("o_custkey").alias("entity"), F.date_format("o_orderdate", "MM").alias("key"),
+                               F.lit(1).cast("bigint").alias("rows"))
+    loaded = t.events.select(F.col("user_id").alias("entity"), F.date_format("ts", "MM").alias("source_file"))
+    return q.reconcile_files(manifest, loaded)
+
+
 @query("dq14_reconcile_status", "entity:s expected_rows:l loaded_rows:l expected_files:l loaded_files:l "
        "status:s file_status:s",
        """WITH m AS (SELECT o_custkey AS entity, count(*) AS er, count(*) AS ef FROM orders GROUP BY 1),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import calendar, control, quality, selection, upsert
+from tidemark.operators.upsert import SchemaChanged
 from tidemark.operators.versions import latest_per, typed
 from tidemark.plans import models
 from tidemark.queries import feeds
@@ -158,9 +159,15 @@ def src10_manifest(t: Lake):
         F.max("max_changed_at").alias("max_changed_at"), F.max("window_start").alias("window_start"))
 
 
-@query("src11_file_inventory", "entity:s files:l bytes:l")
+@query("src11_file_inventory", "entity:s files:l has_bytes:b",
+       """SELECT 'event_type=' || event_type AS entity, count(DISTINCT CAST(ts AS DATE)) AS files, true AS has_bytes
+          FROM events GROUP BY 1""")
 def src11_file_inventory(t: Lake):
-    return landing.file_inventory(t.spark, t.folder)
+    """One file for each type and day is written, then counted."""
+    path = work_dir(t.spark, "inventory")
+    days = t.events.withColumn("day", F.to_date("ts"))
+    days.repartition("event_type", "day").write.partitionBy("event_type", "day").parquet(path)
+    return landing.file_inventory(t.spark, path).withColumn("has_bytes", F.col("bytes") > 0)
 
 
 @query("src12_raw_view", "city:s business_date:D run_id:s source_file:s file_row:l loaded_at:t",
@@ -256,6 +263,42 @@ def snk08_upsert_version_log(t: Lake):
     return table.read()
 
 
+@query("snk18_schema_change", "o_custkey:l o_orderkey:l o_totalprice:d refused:i",
+       """SELECT o_custkey, o_orderkey, o_totalprice, 3 AS refused FROM orders
+          QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1""")
+def snk18_schema_change(t: Lake):
+    """Batches with a column less, one more and one of another type are refused and leave no row; the right one merges."""
+    latest = latest_per(t.orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_totalprice")
+    table = KeyedTable(t.spark, work_dir(t.spark, "table"), ["o_custkey"], tables.bucket_of(["o_custkey"], 8))
+    table.upsert(latest.withColumn("o_totalprice", F.lit(0.0)))
+    refused = 0
+    for batch in (latest.drop("o_totalprice"), latest.withColumn("extra", F.lit(1)),
+                  latest.withColumn("o_orderkey", F.col("o_orderkey").cast("string"))):
+        try:
+            table.upsert(batch)
+        except SchemaChanged:
+            refused += 1
+    table.upsert(latest)
+    return table.read().withColumn("refused", F.lit(refused))
+
+
+@query("snk08_null_version_refused", _VERSION, "SELECT * FROM slv_claims", "slv_claims")
+def snk08_null_version_refused(t: Lake):
+    """Batches with NULL versions, alone or among others, change nothing and block nothing."""
+    claims = models.slv_claim_events(feeds.claims(t))
+    table = KeyedTable(t.spark, work_dir(t.spark, "table"), ["claim_id", "updated_at"], tables.month_of("updated_at"))
+    broken = claims.withColumn("updated_at", F.lit(None).cast("timestamp_ntz")).dropDuplicates(["claim_id"])
+    table.upsert(claims.filter(F.col("claim_status") == "OPEN"))
+    for batch in (broken, claims.unionByName(broken)):
+        try:
+            table.upsert(batch)
+        except tables.NoPartition:
+            continue
+        raise AssertionError("a batch with NULL versions was taken")
+    table.upsert(claims)
+    return table.read()
+
+
 @query("snk09_upsert_scd1", "o_custkey:l o_orderkey:l o_orderdate:t o_totalprice:d",
        """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
           ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1""")

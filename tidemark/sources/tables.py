@@ -109,12 +109,24 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 PART = "part_of"
 
 
+class OtherLayout(ValueError):
+    """A table's stored partitioning and the one asked for differ."""
+
+
+class NoPartition(ValueError):
+    """A row without a partition value."""
+
+
 class KeyedTable:
     """A Parquet table that takes upserts by rewriting the partitions they touch.
 
     The rewritten partitions are first written beside the table and logged.
     Only then are they moved in. If the driver dies in between, the next call
     (or ``recover``) repeats the move, so no partition stays half replaced.
+
+    The partitioning is logged with the table's first batch; a handle with another
+    one is refused, since it would not meet the rows stored before. So is a batch
+    with a row whose partition is NULL. Both happen before anything is staged.
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], partition: Column,
@@ -139,6 +151,15 @@ class KeyedTable:
         self._publish(last.detail, last.id)
         return True
 
+    def _same_layout(self) -> None:
+        """Log the partitioning of a new table, compare it with that of an old one."""
+        layout, log = str(self.partition), _log(self.spark, self.log)
+        known = None if log is None else log.filter("state = 'layout'").orderBy("seq").first()
+        if known is None:
+            add_entry(self.spark, self.log, "layout", layout)
+        elif known.detail != layout:
+            raise OtherLayout(f"{self.path} is partitioned by {known.detail}, not by {layout}")
+
     def _publish(self, staged: str, ident: str) -> None:
         (
             self.spark.read.parquet(staged).write.mode("overwrite")
@@ -155,6 +176,9 @@ class KeyedTable:
         batch = self.spark.read.parquet(f"{folder}/batch")
         if batch.isEmpty():
             return
+        self._same_layout()
+        if not batch.filter(F.col(PART).isNull()).isEmpty():
+            raise NoPartition(f"rows of the batch for {self.path} have no partition: a key column is NULL")
         unique_batch(batch, self.keys)
         target = self.stored()
         if target is None:
