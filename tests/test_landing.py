@@ -45,9 +45,8 @@ def lake(tmp_path):
     return root
 
 
-@pytest.mark.parametrize("limit", [0, 2**30])
-def test_only_data_parts_become_rows(spark, lake, limit):
-    rows = landing.read_landing(spark, str(lake), whole_file_bytes=limit)
+def test_only_data_parts_become_rows(spark, lake):
+    rows = landing.read_landing(spark, str(lake))
     assert numbers(rows) == [(1, 1), (2, 2), (3, 1)]
     assert rows.columns == list(landing.LANDING_COLUMNS)
     row = rows.first()
@@ -61,12 +60,25 @@ def test_line_numbers_of_a_file_read_in_blocks(spark, tmp_path):
     put(attempt(tmp_path), "part-00001.json", [{"n": i, "name": "x" * 50} for i in range(1, 501)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
     try:
-        rows = landing.read_landing(spark, str(tmp_path), whole_file_bytes=10)
+        rows = landing.read_landing(spark, str(tmp_path))
         assert numbers(rows) == [(i, i) for i in range(1, 501)]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_line_ends_do_not_depend_on_the_split(spark, tmp_path):
+    lines = [f'{{"n":\r {i}}}' for i in range(1, 60)]
+    folder = attempt(tmp_path)
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / "part-00001.json").write_bytes(("\r\n".join(lines) + "\n\n\r\n" + '{"n": 60}').encode())
+    for size in ("64", "1000", "1000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            assert numbers(landing.read_landing(spark, str(tmp_path))) == [(i, i) for i in range(1, 60)] + [(60, 62)]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_missing_path_part_is_empty(spark):
     df = spark.createDataFrame([("x/dt=2026-01-02/run=r/f",)], "p string")
     assert tuple(df.select(path_part("p", "dt"), path_part("p", "attempt")).first()) == ("2026-01-02", "")

@@ -154,6 +154,11 @@ def fct_claims(
                 "claim_amount": "claim_amount", "current_status": "claim_status"},
         loaded_at="loaded_at", ties=("source_file",),
     )
+    if target is not None:  # few claims: whole tables shrink to what these refer to before any join
+        wanted = events.select("policy_id").distinct()
+        policies, dim_policy_ = (d.join(wanted, "policy_id", "left_semi") for d in (policies, dim_policy_))
+        holders = policies.select("policyholder_id").distinct()
+        dim_holder = dim_holder.join(holders, "policyholder_id", "left_semi")
     # both hold each policy once; joined with each other first, claims are shuffled once
     policy = policies.select("policy_id", "policyholder_id").join(
         dim_policy_.select("policy_id", "policy_sk"), "policy_id", "full_outer"

@@ -181,11 +181,11 @@ _SNAPSHOT = f"""
 
 
 def _snapshot(t: Lake):
-    versions = models.slv_policyholder_versions(feeds.holders(t))
+    versions = stored(t.spark, models.slv_policyholder_versions(feeds.holders(t)))
     past = None
     for day in RUN_DAYS:
         known = versions.filter(F.col("updated_at") <= F.lit(day).cast("timestamp_ntz"))
-        past = models.snap_api_policyholders(models.slv_policyholders(known), past)
+        past = stored(t.spark, models.snap_api_policyholders(models.slv_policyholders(known), past))
     return past
 
 
@@ -216,12 +216,12 @@ def _dump_sql(day: str) -> str:
 )
 def md08_daily_dump_history(t: Lake):
     """Full dumps of three days, backfilled in order."""
-    versions = models.slv_policyholder_versions(feeds.holders(t))
+    versions = stored(t.spark, models.slv_policyholder_versions(feeds.holders(t)))
     past = None
     for day in DUMP_DAYS:
         dump = selection.as_of(versions, "policyholder_id", "updated_at", day)
         staged = dump.withColumn("business_date", F.lit(day).cast("date"))
-        past = models.snap_policyholders(staged, past, day)
+        past = stored(t.spark, models.snap_policyholders(staged, past, day))
     return past
 
 

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import path_part
 from tidemark.operators import calendar, control, quality, selection, upsert
 from tidemark.operators.upsert import SchemaChanged
 from tidemark.operators.versions import latest_per, typed
@@ -82,20 +83,17 @@ def src05_lineage(t: Lake):
                     F.count(F.lit(1)).alias("row_count"))
 
 
-@query("src06_row_in_file", "numbered_from_one:b without_gap:b row_count:l",
-       "SELECT true AS numbered_from_one, true AS without_gap, count(*) AS row_count FROM orders")
+@query("src06_row_in_file", "day:s event_id:l file_row:l",
+       """SELECT strftime(ts, '%Y-%m-%d') AS day, event_id,
+          row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS file_row FROM events""")
 def src06_row_in_file(t: Lake):
-    """Line numbers by both ways of reading: whole files, and blocks of larger files."""
+    """One file a day, its events in order of their ids: the line each is on."""
     root = work_dir(t.spark, "lake")
-    landing.write_parts(t.orders, root, max_rows=2000)
-    halves = [landing.numbered_lines(t.spark, root, whole_file_bytes=size) for size in (0, 2**40)]
-    per_file = [h.groupBy("source_file").agg(
-        F.min("file_row").alias("lo"), F.max("file_row").alias("hi"), F.count(F.lit(1)).alias("n"),
-        F.sum(F.xxhash64("value", "file_row").cast("decimal(38,0)")).alias("content")) for h in halves]
-    both = per_file[0].unionByName(per_file[1]).distinct()
-    return both.agg(F.bool_and(F.col("lo") == 1).alias("numbered_from_one"),
-                    F.bool_and(F.col("hi") == F.col("n")).alias("without_gap"),
-                    F.sum("n").alias("row_count"))
+    days = t.events.select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("dt"))
+    days.repartition("dt").sortWithinPartitions("dt", "event_id").write.partitionBy("dt").json(root)
+    lines = landing.numbered_lines(t.spark, root)
+    return lines.select(path_part("source_file", "dt").alias("day"),
+                        F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "file_row")
 
 
 @query("src07_load_time", "one_load_time:b row_count:l",
@@ -477,7 +475,7 @@ def snk16_snapshot_merge(t: Lake):
 
     past = None
     for cut in (*_CUTS, _CUTS[-1], _CUTS[0]):
-        past = snapshot_merge(past, _state(t, cut), "o_custkey", "o_orderdate")
+        past = tables.stored(t.spark, snapshot_merge(past, _state(t, cut), "o_custkey", "o_orderdate"))
     return past
 
 
@@ -491,7 +489,7 @@ def snk17_ordered_backfill(t: Lake):
     past = None
     for cut in _CUTS:
         day = selection.pick_business_date(dumps, "business_date", cut).drop("business_date")
-        past = snapshot_merge(past, day, "o_custkey", "o_orderdate")
+        past = tables.stored(t.spark, snapshot_merge(past, day, "o_custkey", "o_orderdate"))
     return past
 
 
@@ -557,7 +555,7 @@ def str06_load_lookback(t: Lake):
     for until in ("2024-01-08", "2024-01-20", "2024-03-01"):
         seen = bronze.filter(F.col("loaded_at") <= F.lit(until).cast("timestamp_ntz"))
         batch = models.slv_claim_events(seen, table)
-        table = batch if table is None else upsert.merged(table, batch, ["claim_id", "updated_at"])
+        table = tables.stored(t.spark, batch if table is None else upsert.merged(table, batch, ["claim_id", "updated_at"]))
     return table
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,6 @@ NDJSON_PARTS = r"/part-[0-9]+(-[^/]*)?[.]json([.]gz)?$"
 PARQUET_FILES = r"[.]parquet$"
 MAX_PART_ROWS = 10_000
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
-WHOLE_FILE_BYTES = 64 * 1024 * 1024
 
 
 class ManifestMissing(Exception):
@@ -46,53 +45,34 @@ def with_path_columns(df: DataFrame, parts: Mapping[str, tuple[str, str]],
 
 def numbered_lines(
     spark: SparkSession, path: str | Sequence[str], pattern: str = NDJSON_PARTS,
-    whole_file_bytes: int = WHOLE_FILE_BYTES,
 ) -> DataFrame:
     """(value, source_file, file_row) for every non-empty line of the matching files.
 
-    A part is small by construction and is read as one text, so numbering its
-    lines needs no shuffle. Files above the limit are read line by line and
-    numbered from per-block counts instead.
+    Lines end at a line feed, with or without a carriage return before it, in files
+    of any size and however they are split. Within one block of one file ids grow
+    by one per line, so a line's number follows from its block's first id and the
+    running sum of the blocks before it: one row per block meets the lines.
     """
-    reader = spark.read.format("text").option("recursiveFileLookup", True)
-    meta = [F.col("_metadata.file_path").alias("source_file")]
-    wanted = F.col("_metadata.file_path").rlike(pattern)
-    is_small = F.col("_metadata.file_size") <= whole_file_bytes
-
-    small = (
-        reader.option("wholetext", True).load(_paths(path)).filter(wanted & is_small)
-        .select("value", *meta)
-        .select("source_file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "value"))
-        .select("value", "source_file", (F.col("pos") + 1).cast("bigint").alias("file_row"))
-    )
-
-    # Within one block of one file, ids grow by one per line.
     lines = (
-        reader.option("wholetext", False).load(_paths(path)).filter(wanted & ~is_small)
-        .select("value", *meta, F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("line_id"))
+        spark.read.format("text").option("recursiveFileLookup", True).option("lineSep", "\n").load(_paths(path))
+        .filter(F.col("_metadata.file_path").rlike(pattern))
+        .select("value", F.col("_metadata.file_path").alias("source_file"),
+                F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line_id"))
     )
+    earlier = Window.partitionBy("source_file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = lines.groupBy("source_file", "block").agg(
         F.min("line_id").alias("first_id"), F.count(F.lit(1)).alias("n")
-    )
-    before = blocks.alias("b").join(
-        blocks.select(F.col("source_file").alias("f"), F.col("block").alias("earlier"),
-                      F.col("n").alias("rows_earlier")),
-        (F.col("source_file") == F.col("f")) & (F.col("earlier") < F.col("block")), "left",
-    ).groupBy("source_file", "block", "first_id").agg(
-        F.coalesce(F.sum("rows_earlier"), F.lit(0)).alias("rows_before")
-    )
-    large = lines.join(before, ["source_file", "block"]).select(
-        "value", "source_file",
+    ).select("source_file", "block", "first_id", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("rows_before"))
+    numbered = lines.join(blocks, ["source_file", "block"]).select(
+        F.rtrim("value", F.lit("\r")).alias("value"), "source_file",
         (F.col("line_id") - F.col("first_id") + F.col("rows_before") + 1).alias("file_row"),
     )
-    return small.unionByName(large).filter(F.col("value") != "")
+    return numbered.filter(F.col("value") != "")
 
 
-def read_landing(spark: SparkSession, path: str | Sequence[str], pattern: str = NDJSON_PARTS,
-                 **options) -> DataFrame:
+def read_landing(spark: SparkSession, path: str | Sequence[str], pattern: str = NDJSON_PARTS) -> DataFrame:
     """NDJSON parts as landing rows; every object stays whole in ``record``."""
-    rows = numbered_lines(spark, path, pattern, **options)
+    rows = numbered_lines(spark, path, pattern)
     parts = {"business_date": ("dt", "date"), "run_id": ("run", "string")}
     return with_path_columns(rows, parts).select(
         F.parse_json("value").alias("record"),
