@@ -17,37 +17,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import chosen_path, mixing, packing, quality_crf, rules
-from tidemark.llm.common import stored, table
-from tidemark.session import configure
+from tidemark.llm.common import prepared, stored, table
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line model scores as good."""
-    labels = table(configure(spark), sf_dir, "labels")
+    labels = table(prepared(spark), sf_dir, "labels")
     return quality_crf.good(docs, quality_crf.fit(quality_crf.split_off(docs), labels))
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail no rule."""
-    configure(spark)
+    prepared(spark)
     return rules.kept(docs)
 
 
 def remove_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the least id; of rows with equal ids one."""
-    configure(spark)
+    prepared(spark)
     return chosen_path.distinct(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
-    configure(spark)
+    prepared(spark)
     return mixing.repeated(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, placed in sequences."""
-    configure(spark)
+    prepared(spark)
     return packing.pack(docs)
 
 

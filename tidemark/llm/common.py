@@ -6,17 +6,32 @@ everywhere in this package. A null text counts as an empty one.
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import work_dir
+from tidemark.session import configure, work_dir
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Runtime settings, and this library on the path of Python workers that share its folder.
+
+    A cluster that does not share it gets the package with ``--py-files``.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(p for p in (root, paths) if p)
+    return configure(spark)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: lineage ends here."""
     path = work_dir(df.sparkSession, name)

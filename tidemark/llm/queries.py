@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import chosen_path, html_text, langid, mixing, nce_lm, packing, quality_crf, rules, spotsigs, toxicity
-from tidemark.llm.common import id_remainder, table
-from tidemark.session import configure
+from tidemark.llm.common import id_remainder, prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,7 +17,7 @@ SQL: dict[str, str] = {}
 
 def register(name: str):
     def keep(build: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: build(configure(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: build(prepared(spark), sf_dir)
         return build
 
     return keep
@@ -76,7 +75,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.similar(table(spark, sf_dir, "documents"))
 
 
-QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(configure(spark), sf_dir)
+QUERIES["pipeline"] = lambda spark, sf_dir: corpus_pipeline.run(prepared(spark), sf_dir)
 if corpus_pipeline.ORACLE_SQL is not None:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
