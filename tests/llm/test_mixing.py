@@ -3,6 +3,7 @@ import re
 
 import pytest
 
+from llm_samples import make_docs
 from tidemark.llm import mixing
 
 
@@ -59,3 +60,25 @@ def test_odd_rows(odd, none, odd_rows):
     whole = mixing.repeated(odd)
     assert whole.columns == odd.columns and whole.count() >= 1
     assert mixing.repeated(none).count() == 0
+
+
+def test_whole_copies_meet_the_target_at_every_block_size(spark, monkeypatch):
+    r = random.Random(8)
+    rows = [(None if k % 50 == 7 else k // 2 if k % 50 == 9 else k, "w " * max(1, int(r.lognormvariate(3, 0.7))), "en", "abc"[min(k % 7, 2)])
+            for k in range(2100)]
+    docs = make_docs(spark, rows).repartition(4).persist()
+    for top, mixture in ((4096, mixing.Mixture()), (8, mixing.Mixture()), (1, mixing.Mixture(weights=(1, 4, 8), share=0.4)),
+                         (4096, mixing.Mixture(weights=(1, 4, 8), share=0.4))):
+        monkeypatch.setattr(mixing, "MAX_SHARDS", top)
+        mixed = mixing.mix(docs, mixture, carry=True)
+        found = mixed.select("*", "row.source").collect()
+        for name in "abc":
+            own = [x for x in found if x["source"] == name]
+            assert all(x["taken"] // x["size"] <= x["copies"] <= -(-x["taken"] // x["size"]) for x in own)
+            given = sum(x["copies"] * x["size"] for x in own)
+            assert abs(given - own[0]["target"]) <= 0.01 * own[0]["target"] + max(x["size"] for x in own), (top, name)
+        again = mixing.mix(docs.repartition(7), mixture).collect()
+        assert sorted((x["doc_id"] or -1, x["size"], x["copies"]) for x in found) == sorted(
+            (x["doc_id"] or -1, x["size"], x["copies"]) for x in again)
+        whole = {x["source"]: x["n"] for x in mixing.repeated(docs, mixture).groupBy("source").count().withColumnRenamed("count", "n").collect()}
+        assert whole == {n: sum(x["copies"] for x in found if x["source"] == n) for n in "abc"}

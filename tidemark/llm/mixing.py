@@ -8,6 +8,13 @@ every block q // n times and q mod n seeded blocks once more. A document takes
 the words of its part of each taken block, so no document repeats more than the
 most-taken block does.
 
+Whole copies are the same shares rounded along the documents of a source: size
+class by size class, in a seeded order, a document gets one copy more than its
+whole part where the running sum of the fractions passes the next half. So every
+document has the whole number below or above taken / size, a source's copies times
+sizes differ from what it takes by about its largest documents, and which documents
+are left out or repeated is a seeded choice, at any size of blocks.
+
 Defined cases: a null text has size 0; size 0 takes 0; a null source is a source
 of its own, ordered last; a null id is an id like any other; repeated rows are
 documents of their own; an empty table gives an empty result. All other columns
@@ -15,7 +22,8 @@ are ignored, whatever their names.
 
 At scale: one pass over the texts yields (id, source, size); all that follows
 moves those small rows. The driver sees one row per source (a mixture names its
-sources) and at most MAX_SHARDS + sources shard sizes. Shards have similar sizes
+sources) and at most MAX_SHARDS + sources shard sizes; for whole copies one sum for
+each shard and size class (four to a doubling). Shards have similar sizes
 however hot their source is, so no window is larger than total / MAX_SHARDS.
 """
 
@@ -27,6 +35,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,10 +118,11 @@ def _stride(n: int, seed: int) -> int:
 
 
 def mix(docs: DataFrame, mixture: Mixture = Mixture(), *, id: str = "doc_id", text: str = "text",
-        source: str = "source", carry: bool = False) -> DataFrame:
+        source: str = "source", carry: bool = False, whole: bool = True) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies per document.
 
-    ``copies`` is taken / size rounded, for users who repeat whole documents.
+    ``copies`` is for users who repeat whole documents: taken / size, rounded down or up
+    so that each source's copies meet what it takes. Without ``whole`` it is left out.
     With ``carry`` the whole input row comes along as struct column ``row``.
     """
     spark = docs.sparkSession
@@ -156,14 +166,51 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture(), *, id: str = "doc_id", te
 
     order = Window.partitionBy("src_no", "shard").orderBy(
         F.xxhash64("doc_id", F.lit(mixture.seed + 1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = dealt(base).withColumn("lo", F.coalesce(F.sum("size").over(order), F.lit(0)))
-    # at most MAX_SHARDS + sources rows on the right
-    placed = placed.join(F.broadcast(quota), (F.col("src_no") == F.col("q_src")) & (F.col("shard") == F.col("q_shard")))
-    return placed.select(
-        "doc_id", "size", "source_size", "target", F.expr(_TAKEN).alias("taken"),
-        F.expr(f"CAST(CASE WHEN size > 0 THEN floor(({_TAKEN}) / size + 0.5D) ELSE 0 END AS INT)").alias("copies"),
-        *(["row"] if carry else []))
 
+    def taken(df: DataFrame) -> DataFrame:
+        placed = dealt(df).withColumn("lo", F.coalesce(F.sum("size").over(order), F.lit(0)))
+        # at most MAX_SHARDS + sources rows on the right
+        placed = placed.join(F.broadcast(quota), (F.col("src_no") == F.col("q_src")) & (F.col("shard") == F.col("q_shard")))
+        return placed.withColumn("taken", F.expr(_TAKEN))
+
+    mixed = taken(base)
+    if whole:
+        mixed = _with_copies(mixed, taken(light), mixture.seed)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", *(["copies"] if whole else []), *(["row"] if carry else []))
+
+
+def _with_copies(mixed: DataFrame, light: DataFrame, seed: int) -> DataFrame:
+    """Column ``copies``; ``light`` has the same documents without their rows."""
+    group = ["src_no", "size_class", "shard"]
+
+    def split(df: DataFrame) -> DataFrame:
+        return df.withColumn("size_class", F.expr(_CLASS)).withColumn("part", F.expr(_PART))
+
+    sums = split(light).groupBy(group).agg(F.sum("part").alias("n")).where("n > 0").toArrow()
+    keys = [sums.column(c).to_numpy() for c in group]
+    by_group = np.lexsort(keys[::-1])
+    src, size_class, shard = (k[by_group] for k in keys)
+    n = sums.column("n").to_numpy()[by_group]
+    before = np.cumsum(n & (_ONE - 1)) - (n & (_ONE - 1))
+    first = np.searchsorted(src, src)  # each source starts at a half
+    start = (before - before[first] + _ONE // 2) & (_ONE - 1)
+    starts = mixed.sparkSession.createDataFrame(
+        pa.table({"s_src": src, "s_class": size_class, "s_shard": shard, "start": start}))
+    order = Window.partitionBy("src_no", "shard", "size_class").orderBy(
+        F.xxhash64("doc_id", F.lit(seed + 2)), "doc_id", "size", "taken").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # at most one row per shard and size class on the right
+    placed = split(mixed).join(F.broadcast(starts), (F.col("src_no") == F.col("s_src")) & (F.col("size_class") == F.col("s_class"))
+                               & (F.col("shard") == F.col("s_shard")), "left")
+    placed = placed.withColumn("sum_part", F.sum("part").over(order) + F.coalesce("start", F.lit(0)))
+    return placed.withColumn("copies", F.expr(_COPIES))
+
+
+# The fraction of taken / size in units of 1 / _ONE, and the next whole number that the running sum passes.
+_ONE = 1 << 32
+_CLASS = "CASE WHEN size > 0 THEN CAST(floor(4 * log2(size)) AS INT) ELSE -1 END"
+_PART = f"CASE WHEN size > 0 THEN ((taken % size) * {_ONE}L) div size ELSE 0L END"
+_COPIES = f"""CAST(CASE WHEN size > 0
+  THEN taken div size + sum_part div {_ONE}L - (sum_part - part) div {_ONE}L ELSE 0 END AS INT)"""
 
 # Blocks j of a shard cover [floor(j L / n), floor((j + 1) L / n)); x lies in block floor(((x + 1) n - 1) / L).
 _TAKEN = """
@@ -176,6 +223,6 @@ END"""
 
 
 def repeated(docs: DataFrame, mixture: Mixture = Mixture(), **columns: str) -> DataFrame:
-    """The mixed documents themselves: each as often as the mix takes it, rounded."""
+    """The mixed documents themselves: each as often as the mix takes it, in whole copies."""
     mixed = mix(docs, mixture, carry=True, **columns).where("copies > 0")
     return mixed.select("row", F.explode(F.expr("sequence(1, copies)")).alias("n")).select("row.*")

@@ -25,7 +25,7 @@ def register(name: str):
 
 @register("op1_mix_sources")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
+    return mixing.mix(table(spark, sf_dir, "documents"), whole=False)
 
 
 @register("op3_pack_sequences")
