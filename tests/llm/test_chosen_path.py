@@ -74,6 +74,24 @@ def test_one_row_of_each_class(spark, odd, none, odd_rows):
     assert chosen_path.distinct(none).count() == 0 and chosen_path.similar(none).count() == 0
 
 
+def test_null_and_repeated_ids_of_different_texts(spark):
+    # null ids and one repeated id on unrelated texts, each with a near copy, some of them under an id of its own
+    rows = [(None, prose(300 + k, 80), "en", "s") for k in range(12)] + [(7, prose(400 + k, 80), "en", "s") for k in range(12)]
+    rows += [(500 + k, edited(prose(300 + k, 80), 1, k), "en", "s") for k in range(0, 12, 3)]
+    rows += [(None, edited(prose(400 + k, 80), 1, k), "en", "s") for k in range(0, 12, 4)]
+    rows += [(3, edited(prose(405, 80), 1, 5), "en", "s"), (7, prose(401, 80), "en", "s"), (None, None, "en", "s"), (7, " ", "en", "s"), (None, prose(301, 80), "en", "s")]
+    docs = make_docs(spark, rows).repartition(4)
+    assert got(chosen_path.similar(docs)) == brute(rows)
+    texts = {t for _, t, *_ in rows}
+    kept = [(r["doc_id"], r["text"]) for r in chosen_path.distinct(docs).collect()]
+    assert len(kept) == 12 + 12 + 1  # one row for each of the unrelated texts, and one for those without words
+    words = lambda t: frozenset((t or "").split())
+    for k in range(300, 312):  # the row of a valid id stays, where there is one
+        own = [i for i, t in kept if len(words(t) & words(prose(k, 80))) > 0.9 * len(words(prose(k, 80)))]
+        assert own == [200 + k if k % 3 == 0 else None]
+    assert all(t in texts for _, t in kept) and (3, edited(prose(405, 80), 1, 5)) in kept
+
+
 def test_block_cells_count_each_pair_once(spark, monkeypatch):
     r = np.random.default_rng(5)
     base = r.integers(0, 1 << 62, 60).astype(np.uint64)

@@ -11,12 +11,14 @@ the whole shingle sets.
 
 A document's class id is the least id it is connected to by links (similarity of
 the threshold or more), and ``n_links`` the number of other documents it links to,
-copies included.
+copies included. Classes go by a 64-bit key made of the digests of their sets, never
+by id: ids choose the row and the class id that are shown.
 
 Defined cases: a null text is an empty one; texts without words are all copies of
 each other; a text of fewer than five words has one shingle, all its words; null
-ids count as the least id; repeated rows are copies; an empty table gives an empty
-result; other columns are ignored.
+ids count as the least id, and as the last one for the row that stays of a group;
+rows with one id and different texts are different documents; repeated rows are
+copies; an empty table gives an empty result; other columns are ignored.
 
 At scale: texts are read twice, and moved once, for the sets of candidates only.
 Nodes beyond the last level that are still large (more than LEAF sets that share
@@ -49,7 +51,6 @@ LEAF = 64
 RECALL = 0.9999
 LOOKS_SIMILAR = 0.55  # five deviations of the min-hash estimate below the threshold
 CHUNK = 1 << 20
-NULL_ID = -(1 << 63)
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -113,8 +114,8 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             d1, d2 = digests(sets)
             own = tokens(sets)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, 512), pa.array(d1), pa.array(d2), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([r.tobytes() for r in own], pa.binary())], ["doc_id", "d1", "d2", "n", "tokens"])
+                [batch.column(0).slice(lo, 512), batch.column(2).slice(lo, 512), pa.array(d1), pa.array(d2), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([r.tobytes() for r in own], pa.binary())], ["doc_id", "text_hash", "d1", "d2", "n", "tokens"])
 
 
 def children(node: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,32 +197,44 @@ def _exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield out.filter(pa.array(meant))
 
 
-def similar(docs: DataFrame, *, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, class_id, n_links for every row."""
-    rows = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("doc_id"), text_of(text).alias("text"))
-    sketches = stored(rows.mapInArrow(sketch, "doc_id long, d1 long, d2 long, n long, tokens binary"), "sketches")
-    classes = stored(sketches.groupBy("d1", "d2").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.max("n").alias("n"),
-                                                      F.first("tokens").alias("tokens")), "classes")
+def _classes(docs: DataFrame, id: str, text: str, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """Sketches of all rows, and the classes of equal sets with links and ``root``, the least key they are connected to.
+
+    Of a class's rows ``least`` is the first by id and ``keep`` the first by id with null ids last,
+    both with the hash of their text.
+    """
+    rows = docs.select(F.col(id).cast("long").alias("doc_id"), text_of(text).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+    sketches = stored(rows.mapInArrow(sketch, "doc_id long, text_hash long, d1 long, d2 long, n long, tokens binary"), "sketches")
+    classes = stored(sketches.groupBy("d1", "d2").agg(
+        F.min(F.struct("doc_id", "text_hash")).alias("least"), F.min(F.struct(F.isnull("doc_id").alias("last"), "doc_id", "text_hash")).alias("keep"),
+        F.count("*").alias("copies"), F.max("n").alias("n"), F.first("tokens").alias("tokens")).withColumn("id", F.xxhash64("d1", "d2")), "classes")
     reps = classes.where("n > 0").select("id", "tokens")
-    # ids that name several classes (the same id on different texts) are told apart by digest below
     clusters = candidates(reps, recall)
-    wanted = classes.where("n > 0").join(clusters, "id").select("id", "cluster", F.col("copies").alias("weight"), "d1", "d2")
-    sets = rows.withColumnRenamed("doc_id", "id").join(wanted, "id").select("id", "text", "cluster", "weight", "d1", "d2").mapInArrow(
+    wanted = classes.where("n > 0").join(clusters, "id").select(
+        "id", "cluster", F.col("copies").alias("weight"), "d1", "d2", F.col("least.doc_id").alias("of_id"), F.col("least.text_hash").alias("of_hash"))
+    # one text of each class: all rows with its id and text
+    meant = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("text_hash") == F.col("of_hash"))
+    sets = rows.join(wanted, meant).select("id", "text", "cluster", "weight", "d1", "d2").mapInArrow(
         _exact, "id long, cluster long, weight long, items binary").dropDuplicates(["id", "items"])
     found = links.linked(sets, threshold)
-    of_class = classes.join(found.groupBy("id").agg(F.max("links").alias("links"), F.min("root").alias("root")), "id", "left").select(
-        "d1", "d2", F.coalesce("root", "id").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = sketches.select("doc_id", "d1", "d2").join(of_class, ["d1", "d2"])
-    back = lambda c: F.when(F.col(c) != NULL_ID, F.col(c)).alias(c)
-    return out.select(back("doc_id"), back("class_id"), "n_links")
+    return sketches, classes.drop("tokens").join(found, "id", "left").withColumn("root", F.coalesce("root", "id"))
+
+
+def similar(docs: DataFrame, *, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """doc_id, class_id, n_links for every row."""
+    sketches, classes = _classes(docs, id, text, threshold, recall)
+    classes = classes.select("d1", "d2", "root", "least", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    shown = classes.groupBy("root").agg(F.min("least").getField("doc_id").alias("class_id"))
+    of_class = classes.join(shown, "root").select("d1", "d2", "class_id", "n_links")
+    return sketches.select("doc_id", "d1", "d2").join(of_class, ["d1", "d2"]).select("doc_id", "class_id", "n_links")
 
 
 def distinct(docs: DataFrame, *, id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row of each class, unchanged: that of the least id, and of rows with equal ids the first by text."""
-    found = similar(docs, id=id, text=text, threshold=threshold, recall=recall)
-    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(
-        F.coalesce("doc_id", F.lit(NULL_ID)).alias("keep_id")).distinct()
-    row = docs.select(F.coalesce(F.col(id).cast("long"), F.lit(NULL_ID)).alias("row_id"), F.xxhash64(text_of(text)).alias("row_hash"), F.struct("*").alias("row"))
-    first = Window.partitionBy("row_id").orderBy("row_hash")
-    kept = row.join(chosen, F.col("row_id") == F.col("keep_id"), "left_semi")
+    """One row of each class, unchanged: that of the least id, null ids last, and of rows with equal ids the first by text."""
+    _, classes = _classes(docs, id, text, threshold, recall)
+    chosen = classes.groupBy("root").agg(F.min("keep").alias("keep")).select(F.col("keep.doc_id").alias("keep_id"), F.col("keep.text_hash").alias("keep_hash"))
+    row = docs.select(F.col(id).cast("long").alias("row_id"), F.xxhash64(text_of(text)).alias("row_hash"), F.struct("*").alias("row"))
+    kept = row.join(chosen, F.col("row_id").eqNullSafe(F.col("keep_id")) & (F.col("row_hash") == F.col("keep_hash")), "left_semi")
+    # rows with one id and one text are copies
+    first = Window.partitionBy("row_id", "row_hash").orderBy("row_hash")
     return kept.withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*")
