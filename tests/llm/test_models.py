@@ -167,3 +167,24 @@ def test_repeated_label_rows_do_not_repeat_documents(spark):
     labels = spark.createDataFrame([(k, k % 2, 0) for k in range(20)] * 3, "doc_id long, quality int, toxic int")
     model = quality_crf.fit(docs, labels)
     assert [r["predicted"] for r in quality_crf.score(docs, model).orderBy("doc_id").collect()] == [k % 2 for k in range(20)]
+
+
+MARKS = ["\u2014 \u2014\u2014", "\u2026\u2026", "\u201c\u201d \u2018\u2019", "\u2022 \u2022", "\u200b\u200d\ufeff", "\U0001f600 \U0001f680\ufe0f", "\u3002\u300c\u300d", "\u2003\u3000"]
+
+
+def test_marks_beyond_the_first_scripts_are_no_letters(spark):
+    chars = CharTexts(MARKS, fold_table(letters_only=True))
+    assert not chars.letters().any()
+    # letters keep 14 bits; case is folded; kana and the basic Han letters next to each other differ
+    table = fold_table(letters_only=True)
+    assert len(table) == 0x110000 and table.max() < 1 << langid.BITS
+    assert table[0xFF21] == table[0xFF41] and len(set(table[0x3041:0x3097].tolist())) == 0x3097 - 0x3041
+    # three languages without blanks between words, that have no letter in common
+    han, kana, hangul = ("".join(chr(lo + (7 * k * k + 3 * k) % n) for k in range(400)) for lo, n in ((0x4E00, 300), (0x3041, 80), (0xAC00, 300)))
+    rows = [(10 * j + k, t[20 * k : 20 * k + 60], name, "s") for j, (name, t) in enumerate((("zh", han), ("ja", kana), ("ko", hangul))) for k in range(10)]
+    model = langid.fit(make_docs(spark, rows))
+    odd = [(100 + k, t, None, "s") for k, t in enumerate(MARKS)] + [(200, han[100:150] + "\u3002\u2014", None, "s"), (201, kana[100:150], None, "s"), (202, hangul[100:150] + "\u2026", None, "s")]
+    found = {r["doc_id"]: r for r in langid.predict(make_docs(spark, odd), model).collect()}
+    for k in range(len(MARKS)):
+        assert (found[100 + k]["lang_pred"], found[100 + k]["score"], found[100 + k]["accepted"]) == ("und", 0.0, False)
+    assert [found[k]["lang_pred"] for k in (200, 201, 202)] == ["zh", "ja", "ko"]

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 
-# Code points from here on share 64 codes by their low bits.
+# Code points from here on have no code of their own.
 _TABLE = 0x2000
+_POINTS = 0x110000
 
 
+@functools.cache
 def fold_table(letters_only: bool = False) -> np.ndarray:
     """Code of each code point below 0x2000: case folded, blanks 32, digits '0'.
 
-    With ``letters_only`` every other mark is a blank too.
+    Code points beyond the table share 64 codes by their low bits. With ``letters_only``
+    every other mark is a blank too, and the table covers all code points: letters
+    from U+2000 on share the 8192 codes from 0x2000 on by a hash, and neighbours differ.
     """
     out = np.arange(_TABLE, dtype=np.uint32)
     for c in range(_TABLE):
@@ -23,6 +29,12 @@ def fold_table(letters_only: bool = False) -> np.ndarray:
             out[c] = 32 if letters_only else 48
         elif ch.isspace() or c < 32 or letters_only:
             out[c] = 32
+    if letters_only:
+        own = np.fromiter((ord(ch.lower()[0]) if ch.isalpha() else 32 for ch in map(chr, range(_TABLE, _POINTS))), np.uint32, _POINTS - _TABLE)
+        out = np.concatenate([out, own])
+        high = out >= _TABLE
+        out[high] = _TABLE + ((out[high] * np.uint32(0x9E3779B1)) >> np.uint32(19))
+    out.flags.writeable = False
     return out
 
 
@@ -40,8 +52,8 @@ class CharTexts:
         sizes = np.fromiter((len(t) + 1 for t in clean), np.int64, len(clean))
         sizes[:1] += 1  # the blank in front of the first text
         doc = np.repeat(np.arange(len(clean), dtype=np.int32), sizes) if clean else np.zeros(len(points), np.int32)
-        low = table[np.minimum(points, _TABLE - 1)]
-        high = points >= _TABLE
+        low = table[np.minimum(points, len(table) - 1)]
+        high = points >= len(table)
         if high.any():
             low[high] = _TABLE + (points[high] & 63)
         blank = low == 32

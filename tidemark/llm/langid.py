@@ -1,8 +1,9 @@
 """Language identification by character models with interpolated Kneser-Ney smoothing.
 
 One model of order 4 per language, over case-folded letters and blanks (everything
-that is no letter is a blank). An n-gram is hashed without collisions into 14 bits
-a character; per order the sorted keys of all languages stand in one array, with
+that is no letter is a blank). An n-gram is packed into 14 bits a character: letters
+below U+2000 have codes of their own, the others (Han, kana, Hangul, ...) share 8192
+by a hash; per order the sorted keys of all languages stand in one array, with
 a column of log probabilities for each language and, for contexts, of log
 back-off weights. Scoring is binary search for whole batches of characters. The
 language with the lowest cross-entropy per character wins; a text whose entropy
@@ -165,9 +166,10 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", max_texts: i
     rows = rows.join(F.broadcast(shares), F.col("lang") == F.col("of_lang")).where(
         F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
     sample = stored(rows.select("lang", "text"), "lang-sample")
-    table, languages = fold_table(letters_only=True), sorted(totals)
+    languages = sorted(totals)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = fold_table(letters_only=True)  # built once in each worker
         for batch in batches:
             names = batch.column(0).to_pylist()
             texts = batch.column(1).to_pylist()
@@ -186,6 +188,7 @@ def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", max_texts: i
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def own_entropy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = fold_table(letters_only=True)
         for batch in batches:
             h, size, letters = entropies(shared.value, batch.column(1).to_pylist(), table)
             at = [languages.index(x) for x in batch.column(0).to_pylist()]
@@ -206,11 +209,10 @@ def predict(docs: DataFrame, model: Model | None, *, id: str = "doc_id", text: s
     above the mean of the language's own texts; short texts get more room.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    table = fold_table(letters_only=True)
     names = ["doc_id", "lang_pred", "score", "entropy", "accepted"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m, table = shared.value, fold_table(letters_only=True)
         for batch in batches:
             texts = batch.column(1).to_pylist()
             if m is None:
