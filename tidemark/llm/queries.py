@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chosen_path, html_text, langid, mixing, nce_lm, packing, quality_crf, rules, spotsigs, toxicity
+from tidemark.llm import chosen_path, html_text, langid, merkle, mixing, nce_lm, packing, quality_crf, rules, spotsigs, toxicity
 from tidemark.llm.common import id_remainder, prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = (id_remainder("doc_id", 7) == 2).alias("held_out")
     return nce_lm.score(docs, counts, total, distinct, model).select(
         "doc_id", held_out, "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+@register("op11_merkle_manifest")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered_digests(table(spark, sf_dir, "documents"))
+
+
+SQL["op11_merkle_manifest"] = merkle.SQL
