@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chosen_path, html_text, langid, merkle, mixing, nce_lm, packing, quality_crf, rules, spotsigs, toxicity
+from tidemark.llm import chosen_path, html_text, langid, merkle, mixing, nce_lm, negatives, packing, quality_crf, rules, spotsigs, toxicity
 from tidemark.llm.common import id_remainder, prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,3 +100,12 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op11_merkle_manifest"] = merkle.SQL
+
+
+@register("op12_hard_negatives")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label=label, anchor=F.col("vec_id") % 50 == 0)
+
+
+SQL["op12_hard_negatives"] = negatives.SQL
