@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import chosen_path, html_text, langid, merkle, mixing, nce_lm, negatives, packing, quality_crf, rules, spotsigs, toxicity
+from tidemark.llm import chosen_path, html_text, langid, merkle, mixing, nce_lm, negatives, packing, quality_crf, rules, secrets, spotsigs, toxicity
 from tidemark.llm.common import id_remainder, prepared, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +109,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op12_hard_negatives"] = negatives.SQL
+
+
+@register("op13_secret_scan")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.digests(docs, secrets.fit(docs))
