@@ -113,7 +113,8 @@ def leaf(columns: list[Column]) -> Column:
 def placed(rows: DataFrame, group: str, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with (part, row) in their order, stored; and per (part, group) the first row,
     the rows of the group before it and in all."""
-    numbered = rows.withColumn("tie", F.monotonically_increasing_id())
+    # stored first: the partitioning samples its input, which shall not read texts again
+    numbered = stored(rows.withColumn("tie", F.monotonically_increasing_id()), "merkle-leaves")
     keys = [group, *order, "tie"]
     at = stored(
         numbered.repartitionByRange(*keys).sortWithinPartitions(*keys)
