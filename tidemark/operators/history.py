@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import SECONDS, open_end, version_key
@@ -100,6 +100,74 @@ def point_in_time(
     )
 
 
+def repaired_windows(
+    dim: DataFrame,
+    batch: DataFrame,
+    key: str,
+    version: str,
+    attributes: Sequence[str] | None = None,
+    sk: str = "version_sk",
+    sk_format: str = SECONDS,
+    pieces: skew.Pieces | str | None = skew.AUTO,
+) -> tuple[DataFrame, DataFrame]:
+    """What a batch of versions, late ones included, changes in a windowed dimension.
+
+    Returns the windows of the arriving versions, and the windows that now end where
+    one of them starts. Both replace rows of the same (key, valid_from); all other rows
+    of the dimension stay as they are, so what is written follows the batch, not the table.
+
+    A version ends where the batch's or the dimension's next one starts, whichever comes first: the
+    dimension's is the end of the window that holds it, or the key's first start. A version
+    the dimension has already replaces its attributes. The batch holds each (key, version) once;
+    keys are not NULL. ``pieces`` are the dimension's; hot keys of the batch are found in it.
+    """
+    if attributes is None:
+        attributes = [c for c in batch.columns if c not in (key, version)]
+    names = [sk, key, *attributes, "valid_from", "valid_to", "is_current"]
+    arriving = skew.lead_within(
+        batch.select(key, version, *attributes), key, version, "__next_new", skew.find_pieces(batch, key, version))
+    known = dim.join(batch.select(key).distinct(), key, "left_semi").select(
+        key, "valid_from", "valid_to", F.struct(*attributes).alias("__before"))
+    firsts = known.groupBy(F.col(key).alias("__first_key")).agg(F.min("valid_from").alias("__first"))
+    held = point_in_time(arriving, known, key, version, ["valid_from", "valid_to", "__before"], pieces=pieces)
+    around = held.join(firsts, F.col(key) == F.col("__first_key"), "left")
+    end = F.least(F.coalesce("__next_new", open_end()), F.coalesce("valid_to", "__first", open_end()))
+    arrived = around.select(
+        version_key(key, version, sk_format).alias(sk), key, *attributes, F.col(version).alias("valid_from"),
+        end.alias("valid_to"), (end == open_end()).alias("is_current"))
+    shortened = held.filter(F.col("valid_from").isNotNull()).groupBy(key, "valid_from").agg(
+        F.min(version).alias("valid_to"), F.any_value("__before").alias("__before")).filter("valid_to > valid_from")
+    closed = shortened.select(
+        version_key(key, "valid_from", sk_format).alias(sk), key, *[F.col(f"__before.{c}").alias(c) for c in attributes],
+        "valid_from", "valid_to", F.lit(False).alias("is_current"))
+    return arrived.select(*names), closed.select(*names)
+
+
+def rekeyed(
+    facts: DataFrame,
+    owners: DataFrame,
+    arrived: DataFrame,
+    on: str,
+    key: str,
+    ts: Column | str,
+    sk: str,
+    period: str | None = None,
+    pieces: skew.Pieces | str | None = None,
+) -> DataFrame:
+    """The stored facts whose time falls into an arrived window, with that window's key.
+
+    ``owners`` maps a fact's ``on`` to the dimension's ``key``, each once. Only owners with arrived
+    windows meet the facts. ``period`` names a partition column of the facts with the first day of the
+    month of their time: months outside the arrived windows are not read.
+    """
+    if period:
+        bounds = [arrived.agg(F.trunc(F.min("valid_from"), "MM")).scalar(), arrived.agg(F.max("valid_to").cast("date")).scalar()]
+        facts = facts.filter((F.col(period) >= bounds[0]) & (F.col(period) <= bounds[1]))
+    mine = owners.join(arrived.select(key).distinct(), key, "left_semi").select(on, key)
+    rows = point_in_time(facts.drop(sk).join(mine, on), arrived, key, ts, [sk], how="inner", pieces=pieces)
+    return rows.select(*facts.columns)
+
+
 def current_only(dim: DataFrame, is_current: str = "is_current") -> DataFrame:
     return dim.filter(F.col(is_current))
 
@@ -157,6 +225,40 @@ def snapshot_merge(
     return closed.unionByName(merged)
 
 
+def snapshot_backfill(
+    dumps: DataFrame,
+    key: str,
+    updated_at: str,
+    dump_date: str,
+    history: DataFrame | None = None,
+) -> DataFrame:
+    """The snapshot history after many dumps, as merging them one by one in order of their dates gives it.
+
+    A state counts if it is newer than all states of the key in earlier dumps and than the history's
+    open row; it starts at its own timestamp and ends at that of the next one that counts.
+    Closed history stays. One pass: copies of a state shrink to the dump it came with first before the
+    shuffle, and a key has at most one row per dump.
+    """
+    names = [c for c in dumps.columns if c != dump_date]
+    seen = dumps.groupBy(key, updated_at).agg(
+        F.min_by(F.struct(*[c for c in names if c not in (key, updated_at)]), dump_date).alias("__state"), F.min(dump_date).alias("__seen"))
+    rows = seen.select(key, updated_at, F.struct(key, updated_at, "__state.*").alias("__row"), "__seen")
+    closed = None
+    if history is not None:
+        closed = history.filter(F.col("valid_to") < open_end())
+        opened = history.filter(F.col("valid_to") >= open_end())
+        rows = rows.unionByName(opened.select(key, updated_at, F.struct(
+            *[F.col(f.name) for f in rows.schema["__row"].dataType.fields]).alias("__row"), F.lit(None).cast(dumps.schema[dump_date].dataType).alias("__seen")))
+    before = Window.partitionBy(key).orderBy(F.asc_nulls_first("__seen")).rowsBetween(Window.unboundedPreceding, -1)
+    newest = F.max(updated_at).over(before)
+    counted = rows.withColumn("__newest", newest).filter(F.col("__newest").isNull() | (F.col(updated_at) > F.col("__newest")))
+    following = F.lead(updated_at).over(Window.partitionBy(key).orderBy(updated_at))
+    out = counted.withColumn("valid_to", F.coalesce(following, open_end())).select(
+        F.md5(F.concat(F.col(key).cast("string"), F.lit("|"), F.date_format(updated_at, "yyyy-MM-dd HH:mm:ss.SSSSSS"))).alias("scd_id"),
+        *[F.col(f"__row.{c}").alias(c) for c in names], F.col(updated_at).alias("valid_from"), "valid_to")
+    return out if closed is None else closed.select(*out.columns).unionByName(out)
+
+
 def compare_histories(log_dim: DataFrame, snapshot_dim: DataFrame, key: str) -> DataFrame:
     """Versions both histories know, and those only one of them has."""
     left = log_dim.select(

@@ -90,6 +90,12 @@ def dim_policyholder(versions: DataFrame, **options) -> DataFrame:
     return facts.with_unknown_member(windows, _UNKNOWN_HOLDER)
 
 
+def late_policyholders(dim: DataFrame, versions: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
+    """Windows of arriving versions, and the windows they shorten."""
+    return history.repaired_windows(
+        dim, versions, "policyholder_id", "updated_at", _HOLDER_ATTRIBUTES, sk="policyholder_sk", **options)
+
+
 def dim_policyholder_snap(snapshot: DataFrame) -> DataFrame:
     """The same dimension from the snapshot history."""
     rows = snapshot.select(
@@ -183,3 +189,18 @@ def fct_claims(
         "last_updated_at",
         "last_loaded_at",
     )
+
+
+# ------------------------------------------------------------ late customer versions
+
+
+def rekeyed_policies_written(written: DataFrame, policies: DataFrame, arrived: DataFrame, **options) -> DataFrame:
+    """Stored facts of policies issued within an arrived customer window, under its key."""
+    return history.rekeyed(written, policies, arrived, "policy_id", "policyholder_id", "issued_at", "policyholder_sk", **options)
+
+
+def rekeyed_claims(claims: DataFrame, policies: DataFrame, arrived: DataFrame, **options) -> DataFrame:
+    """Stored facts of claims lost within an arrived customer window, under its key."""
+    owners = policies.select(hash_key("policy_id").alias("policy_sk"), "policyholder_id")
+    lost = F.to_date(F.col("loss_date_key").cast("string"), "yyyyMMdd").cast("timestamp_ntz")
+    return history.rekeyed(claims, owners, arrived, "policy_sk", "policyholder_id", lost, "policyholder_sk", **options)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import skew
+from tidemark.operators.versions import latest_per
 from tidemark.queries.registry import Lake, cte
 
 from tidemark.sources.landing import to_records
@@ -41,11 +42,21 @@ def _text(*columns) -> F.Column:
     return F.concat_ws("-", *[F.col(c).cast("string") for c in columns])
 
 
-def holder_rows(t: Lake) -> DataFrame:
-    tier = (
+def tier() -> F.Column:
+    return (
         F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "HIGH")
         .when(F.col("o_orderpriority") == "3-MEDIUM", "MEDIUM").otherwise("LOW")
     )
+
+
+def product() -> F.Column:
+    return (
+        F.when(F.col("l_returnflag") == "A", "AUTO").when(F.col("l_returnflag") == "N", "HOME")
+        .otherwise("LIFE")
+    )
+
+
+def holder_rows(t: Lake) -> DataFrame:
     rows = t.orders.select(
         F.col("o_custkey").alias("policyholder_id"),
         F.concat(F.lit("F-"), "o_orderstatus").alias("first_name"),
@@ -53,7 +64,7 @@ def holder_rows(t: Lake) -> DataFrame:
         F.date_sub(F.to_date("o_orderdate"), 9000).alias("date_of_birth"),
         F.col("o_orderpriority").alias("city"),
         F.col("o_orderstatus").alias("state"),
-        tier.alias("risk_tier"),
+        tier().alias("risk_tier"),
         F.col("o_orderdate").alias("updated_at"),
         F.col("o_orderkey").alias("__id"),
         F.explode(F.array(F.lit(0), F.lit(1))).alias("n"),
@@ -63,14 +74,10 @@ def holder_rows(t: Lake) -> DataFrame:
 
 def policy_rows(t: Lake) -> DataFrame:
     owners = t.orders.select("o_orderkey", "o_custkey")
-    product = (
-        F.when(F.col("l_returnflag") == "A", "AUTO").when(F.col("l_returnflag") == "N", "HOME")
-        .otherwise("LIFE")
-    )
     rows = t.lineitem.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat(F.lit("POL-"), _text("l_orderkey", "l_linenumber")).alias("policy_id"),
         F.col("o_custkey").alias("policyholder_id"),
-        product.alias("product_line"),
+        product().alias("product_line"),
         F.col("l_extendedprice").alias("annual_premium"),
         F.to_date("l_shipdate").alias("effective_date"),
         F.date_add(F.to_date("l_shipdate"), 365).alias("expiration_date"),
@@ -105,16 +112,22 @@ def claim_rows(t: Lake) -> DataFrame:
     return _delivered(rows, "claims", "updated_at", _text("__id")).drop("__id")
 
 
+def _records(rows: DataFrame, *keys: str) -> DataFrame:
+    """Records of typed rows. Rows are dealt by key while narrow: building records and parsing
+    them again is most of the work, and a given table may be a single row group."""
+    return to_records(rows.repartition(*keys), keep=LINEAGE)
+
+
 def holders(t: Lake) -> DataFrame:
-    return to_records(holder_rows(t), keep=LINEAGE)
+    return _records(holder_rows(t), "policyholder_id", "updated_at")
 
 
 def policies(t: Lake) -> DataFrame:
-    return to_records(policy_rows(t), keep=LINEAGE)
+    return _records(policy_rows(t), "policy_id")
 
 
 def claims(t: Lake) -> DataFrame:
-    return to_records(claim_rows(t), keep=LINEAGE)
+    return _records(claim_rows(t), "claim_id", "updated_at")
 
 
 def holder_pieces(t: Lake) -> skew.Pieces | None:
@@ -125,6 +138,77 @@ def holder_pieces(t: Lake) -> skew.Pieces | None:
     return skew.find_pieces(changes, "policyholder_id", "updated_at")
 
 
+# ------------------------------------------------------------ a feed for whole runs
+
+# Changes of one month, second by second: every run of the month finds fresh sources.
+MONTH = 30 * 24 * 3600
+
+
+def _at(slot) -> F.Column:
+    return F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=slot)
+
+
+def _twice(df: DataFrame) -> DataFrame:
+    return df.withColumn("__n", F.explode(F.array(F.lit(0), F.lit(1)))).drop("__n")
+
+
+def run_holders(t: Lake) -> DataFrame:
+    """Customer versions as ``holder_rows`` has them, changed within one month; each delivered twice."""
+    slots = t.orders.withColumn("__slot", F.pmod(F.col("o_orderkey") * 7919, F.lit(MONTH)))
+    changes = latest_per(slots, ["o_custkey", "__slot"], ["o_orderkey"]).select(
+        F.col("o_custkey").alias("policyholder_id"),
+        F.concat(F.lit("F-"), "o_orderstatus").alias("first_name"), F.concat(F.lit("L-"), "o_orderstatus").alias("last_name"),
+        F.date_sub(F.to_date("o_orderdate"), 9000).alias("date_of_birth"),
+        F.col("o_orderpriority").alias("city"), F.col("o_orderstatus").alias("state"), tier().alias("risk_tier"),
+        _at(F.col("__slot")).alias("updated_at"),
+    )
+    return _twice(changes)
+
+
+def run_policies(t: Lake) -> DataFrame:
+    """One policy per line number of an order."""
+    lines = latest_per(t.lineitem, ["l_orderkey", "l_linenumber"],
+                       ["l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_returnflag", "l_linestatus"])
+    slot = F.pmod(F.col("l_orderkey") * 4093 + F.col("l_linenumber") * 6007, F.lit(MONTH))
+    issued = _at(slot)
+    owners = t.orders.select("o_orderkey", "o_custkey")
+    return lines.join(owners, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat(F.lit("POL-"), _text("l_orderkey", "l_linenumber")).alias("policy_id"),
+        F.col("o_custkey").alias("policyholder_id"), product().alias("product_line"),
+        F.col("l_extendedprice").alias("annual_premium"),
+        F.to_date(issued).alias("effective_date"), F.date_add(F.to_date(issued), 365).alias("expiration_date"),
+        F.col("l_linestatus").alias("status"), issued.alias("issued_at"),
+    )
+
+
+def run_claims(t: Lake) -> DataFrame:
+    """Claims on policies already issued, with one outcome each; late events of a day are delivered twice."""
+    first = t.lineitem.groupBy("l_orderkey").agg(F.min("l_linenumber").alias("line"))
+    slot = F.pmod(F.col("l_orderkey") * 4093 + F.col("line") * 6007, F.lit(MONTH))
+    insured = first.select(
+        F.col("l_orderkey").alias("__user"), F.concat(F.lit("POL-"), _text("l_orderkey", "line")).alias("policy_id"),
+        _at(slot).alias("__issued"))
+    kind, even = F.col("event_type"), F.col("user_id") % 2 == 0
+    status = (
+        F.when((kind == "click") & even, "APPROVED").when((kind == "error") & ~even, "REJECTED")
+        .when(kind == "purchase", "PAID").otherwise("OPEN")
+    )
+    events = latest_per(t.events, ["user_id", "ts"], ["event_id"])
+    rows = events.join(insured, F.col("user_id") == F.col("__user")).filter("ts >= __issued")
+    week = F.to_date(F.date_trunc("week", "ts"))
+    copies = F.when(F.hour("ts") >= 22, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select(
+        F.concat(F.lit("CLM-"), F.col("user_id").cast("string"), F.lit("-"), F.date_format(week, "yyyyMMdd")).alias("claim_id"),
+        "policy_id", F.date_sub(week, 9131).alias("loss_date"), week.alias("reported_date"),
+        F.col("value").alias("claim_amount"), status.alias("status"), F.col("ts").alias("updated_at"),
+        F.explode(copies).alias("__n"),
+    ).drop("__n")
+
+
+def run_feeds(t: Lake) -> dict[str, DataFrame]:
+    return {"policyholders": run_holders(t), "policies": run_policies(t), "claims": run_claims(t)}
+
+
 # ------------------------------------------------------------ SQL
 
 
@@ -243,3 +327,36 @@ cte("fct_claims", f"""
   FROM owned o ASOF LEFT JOIN slv_holder_versions v
     ON v.policyholder_id = o.policyholder_id AND o.lost_at >= v.updated_at""",
     "claim_states", "slv_policies", "slv_holder_versions")
+
+
+# the feed for whole runs: rows as the source has them, copies with n
+_PARSED = "SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY {0} ORDER BY {1}) AS rn FROM {2}) WHERE rn = 1"
+
+cte("run_holders", f"""
+  SELECT o_custkey AS policyholder_id, 'F-' || o_orderstatus AS first_name, 'L-' || o_orderstatus AS last_name,
+    CAST(o_orderdate AS DATE) - 9000 AS date_of_birth, o_orderpriority AS city, o_orderstatus AS state,
+    CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'HIGH'
+         WHEN o_orderpriority = '3-MEDIUM' THEN 'MEDIUM' ELSE 'LOW' END AS risk_tier,
+    TIMESTAMP '2024-01-01' + to_seconds(slot) AS updated_at, 2 AS copies
+  FROM ({_PARSED.format('o_custkey, slot', 'o_orderkey DESC', f'(SELECT *, (o_orderkey * 7919) % {MONTH} AS slot FROM orders)')})""")
+
+cte("run_policies", f"""
+  SELECT 'POL-' || l_orderkey || '-' || l_linenumber AS policy_id, o_custkey AS policyholder_id,
+    CASE l_returnflag WHEN 'A' THEN 'AUTO' WHEN 'N' THEN 'HOME' ELSE 'LIFE' END AS product_line,
+    CAST(l_extendedprice AS DECIMAL(12,2)) AS annual_premium, CAST(issued_at AS DATE) AS effective_date,
+    CAST(issued_at AS DATE) + 365 AS expiration_date, l_linestatus AS policy_status, issued_at, 1 AS copies
+  FROM (SELECT *, TIMESTAMP '2024-01-01' + to_seconds((l_orderkey * 4093 + l_linenumber * 6007) % {MONTH}) AS issued_at
+    FROM ({_PARSED.format('l_orderkey, l_linenumber', 'l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_shipdate DESC, l_returnflag DESC, l_linestatus DESC', 'lineitem')}))
+  JOIN orders ON o_orderkey = l_orderkey""")
+
+cte("run_claims", f"""
+  SELECT 'CLM-' || user_id || '-' || strftime(date_trunc('week', ts), '%Y%m%d') AS claim_id, policy_id,
+    CAST(date_trunc('week', ts) AS DATE) - 9131 AS loss_date, CAST(date_trunc('week', ts) AS DATE) AS reported_date,
+    CAST(value AS DECIMAL(12,2)) AS claim_amount,
+    CASE WHEN event_type = 'click' AND user_id % 2 = 0 THEN 'APPROVED' WHEN event_type = 'error' AND user_id % 2 = 1 THEN 'REJECTED'
+         WHEN event_type = 'purchase' THEN 'PAID' ELSE 'OPEN' END AS claim_status,
+    ts AS updated_at, if(hour(ts) >= 22, 2, 1) AS copies
+  FROM ({_PARSED.format('user_id, ts', 'event_id DESC', 'events')})
+  JOIN (SELECT l_orderkey, 'POL-' || l_orderkey || '-' || min(l_linenumber) AS policy_id,
+      TIMESTAMP '2024-01-01' + to_seconds((l_orderkey * 4093 + min(l_linenumber) * 6007) % {MONTH}) AS issued
+    FROM lineitem GROUP BY l_orderkey) ON l_orderkey = user_id AND ts >= issued""")

@@ -13,8 +13,10 @@ from tidemark.plans import models, reports
 from tidemark.queries import feeds
 from tidemark.queries.registry import Lake, query
 
+from tidemark.session import work_dir
 from tidemark.sources.landing import bronze
 from tidemark.sources.tables import stored
+from tidemark.spec import POLICYHOLDERS
 
 # ------------------------------------------------------------ flagship
 
@@ -196,6 +198,8 @@ def md07_snapshot_history(t: Lake):
 
 
 DUMP_DAYS = ("1996-01-31", "1998-01-31", "2000-01-31")
+BACKFILL_DAYS = tuple(f"{year}-{month}" for year in range(1993, 1997)
+                      for month in ("01-31", "02-28", "03-31", "04-30", "05-31", "06-30", "07-31", "08-31", "09-30", "10-31", "11-30", "12-31"))
 
 
 def _dump_sql(day: str) -> str:
@@ -225,6 +229,28 @@ def md08_daily_dump_history(t: Lake):
     return past
 
 
+@query(
+    "snk17_backfill_in_one_pass", "scd_id:s " + _HOLDER + " valid_from:t valid_to:t",
+    f"""SELECT md5(policyholder_id || '|' || strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f')) AS scd_id, *,
+      updated_at AS valid_from,
+      coalesce(lead(updated_at) OVER (PARTITION BY policyholder_id ORDER BY updated_at),
+               TIMESTAMP '9999-12-31') AS valid_to
+      FROM (SELECT DISTINCT * FROM ({' UNION ALL '.join(_dump_sql(d) for d in BACKFILL_DAYS)}))""",
+    "slv_holder_versions",
+)
+def snk17_backfill_in_one_pass(t: Lake):
+    """Dumps of the last day of 48 months: the first two merged one by one, the others in one pass onto that history."""
+    versions = stored(t.spark, models.slv_policyholder_versions(feeds.holders(t)))
+    dumps = [selection.as_of(versions, "policyholder_id", "updated_at", day).select(*POLICYHOLDERS.fields) for day in BACKFILL_DAYS[:2]]
+    past = models.snap_api_policyholders(dumps[1], models.snap_api_policyholders(dumps[0]))
+    days = F.array(*[F.lit(d).cast("date") for d in BACKFILL_DAYS[2:]])
+    # a dump holds the newest version of every customer up to its day: the one whose window holds the day's end
+    windows = history.scd2_windows(versions, "policyholder_id", "updated_at", [c for c in POLICYHOLDERS.fields if c not in ("policyholder_id", "updated_at")], pieces=None)
+    held = F.filter(days, lambda day: (F.to_date("valid_from") <= day) & (F.to_date("valid_to") > day))
+    rest = windows.withColumn("day", F.explode(held)).withColumn("updated_at", F.col("valid_from")).select(*POLICYHOLDERS.fields, "day")
+    return history.snapshot_backfill(rest, "policyholder_id", "updated_at", "day", stored(t.spark, past))
+
+
 # ------------------------------------------------------------ dimensions
 
 
@@ -323,6 +349,65 @@ def md14_accumulating_incremental(t: Lake):
     return merged(target, rebuilt, ["claim_id"])
 
 
+# ------------------------------------------------------------ late customer versions
+
+
+def _late(versions, n: int):
+    """One of two batches of versions that arrive after the first build, spread over all histories."""
+    return versions.filter(F.pmod(F.xxhash64("policyholder_id", "updated_at"), F.lit(7)) == n)
+
+
+def _on_time(versions):
+    return versions.filter(F.pmod(F.xxhash64("policyholder_id", "updated_at"), F.lit(7)) > 1)
+
+
+def repaired_dim(t: Lake):
+    """(dimension before, after) two late batches, and the windows that arrived with them."""
+    versions = stored(t.spark, models.slv_policyholder_versions(feeds.holders(t)))
+    first = dim = stored(t.spark, models.dim_policyholder(_on_time(versions), pieces=None))
+    all_arrived = []
+    for n in (0, 1):
+        arrived, closed = (stored(t.spark, part) for part in models.late_policyholders(dim, _late(versions, n), pieces=feeds.holder_pieces(t)))
+        dim = stored(t.spark, merged(dim, arrived.unionByName(closed), ["policyholder_id", "valid_from"]))
+        all_arrived.append(arrived)
+    return first, dim, all_arrived
+
+
+@query("md10_late_versions", _DIM_HOLDER, "SELECT * FROM dim_holder", "dim_holder")
+def md10_late_versions(t: Lake):
+    """Two sevenths of the versions arrive late, in two batches; only their windows and those they shorten are written."""
+    return repaired_dim(t)[1]
+
+
+def _late_star(t: Lake):
+    first, dim, arrived = repaired_dim(t)
+    policies = stored(t.spark, models.slv_policies(feeds.policies(t)))
+    return {"policies": policies, "dim_policy": models.dim_policy(policies), "dim_holder": first, "pieces": feeds.holder_pieces(t)}, arrived
+
+
+@query("md13_late_versions", _WRITTEN, "SELECT * FROM fct_written", "fct_written")
+def md13_late_versions(t: Lake):
+    """Facts stored by month before the versions arrived; only policies issued within their windows are written again."""
+    s, arrived = _late_star(t)
+    path = work_dir(t.spark, "written-by-month")
+    written(t, s).withColumn("month", F.to_date(F.trunc("issued_at", "MM"))).write.partitionBy("month").parquet(path)
+    facts_ = t.spark.read.parquet(path)
+    for windows in arrived:
+        changed = stored(t.spark, models.rekeyed_policies_written(facts_, s["policies"], windows, period="month", pieces=s["pieces"]))
+        facts_ = merged(facts_, changed, ["policy_id"])
+    return facts_
+
+
+@query("md14_late_versions", _FCT_CLAIMS, "SELECT * FROM fct_claims", "fct_claims")
+def md14_late_versions(t: Lake):
+    s, arrived = _late_star(t)
+    facts_ = stored(t.spark, claim_facts(t, s))
+    for windows in arrived:
+        changed = stored(t.spark, models.rekeyed_claims(facts_, s["policies"], windows, pieces=s["pieces"]))
+        facts_ = merged(facts_, changed, ["claim_id"])
+    return facts_
+
+
 # ------------------------------------------------------------ reports
 
 
