@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import history, skew
+from tidemark.operators.upsert import merged
 from tidemark.operators.versions import latest_per
 from tidemark.plans import models
 
@@ -223,3 +224,118 @@ class TestSnapshot:
             (ts("2026-01-01"), "matched"), (ts("2026-01-02"), "only_log"),
             (ts("2026-01-03"), "matched"),
         ]
+
+
+# ------------------------------------------------------------ late versions
+
+
+def _versions_at(seed, n, keys=4, days=40):
+    import random
+
+    r = random.Random(seed)
+    pairs = sorted({(r.choice([1] * 3 + list(range(keys))), r.randint(0, days)) for _ in range(n)})
+    r.shuffle(pairs)
+    return [(k, str(dt.datetime(2026, 1, 1) + dt.timedelta(days=d)), f"{k}-{d}") for k, d in pairs]
+
+
+@pytest.mark.parametrize("seed,pieces", [(1, None), (2, None), (3, "cut"), (4, None)])
+def test_late_versions_repair_windows(spark, seed, pieces):
+    """Batches in any order give what one build of everything gives, and change nothing else."""
+    data = _versions_at(seed, 60)
+    parts = [data[:20], data[20:25], data[25:50], data[50:]]
+    dim = history.scd2_windows(versions(spark, parts[0]), "id", "updated_at", pieces=None)
+    for part in parts[1:]:
+        batch = versions(spark, part)
+        cut = skew.find_pieces(dim, "id", "valid_from", min_rows=3, pieces=4) if pieces else None
+        arrived, closed = history.repaired_windows(dim, batch, "id", "updated_at", pieces=cut)
+        assert arrived.count() == len(part) and closed.count() <= len(part)
+        changed = spark.createDataFrame(arrived.unionByName(closed).collect(), dim.schema)
+        assert changed.select("id", "valid_from").distinct().count() == changed.count()
+        after = merged(dim, changed, ["id", "valid_from"]).select(*dim.columns)
+        dim = spark.createDataFrame(after.collect(), dim.schema)
+    whole = history.scd2_windows(versions(spark, data), "id", "updated_at", pieces=None)
+    assert rows(dim, *whole.columns) == rows(whole, *whole.columns)
+
+
+def test_a_version_delivered_again_replaces_its_row(spark):
+    dim = history.scd2_windows(versions(spark, [(1, "2026-01-01", "a"), (1, "2026-01-05", "b")]), "id", "updated_at", pieces=None)
+    again = versions(spark, [(1, "2026-01-01", "A"), (1, "2026-01-03", "c"), (2, "2026-01-02", "n")])
+    arrived, closed = history.repaired_windows(dim, again, "id", "updated_at", pieces=None)
+    assert rows(arrived, "id", "city", "valid_from", "valid_to", "is_current") == [
+        (1, "A", ts("2026-01-01"), ts("2026-01-03"), False), (1, "c", ts("2026-01-03"), ts("2026-01-05"), False),
+        (2, "n", ts("2026-01-02"), ts("9999-12-31"), True)]
+    assert closed.count() == 0  # the version that is shortened is in the batch itself
+
+
+def test_empty_batch_changes_nothing(spark):
+    dim = history.scd2_windows(versions(spark, [(1, "2026-01-01", "a")]), "id", "updated_at", pieces=None)
+    arrived, closed = history.repaired_windows(dim, versions(spark, []), "id", "updated_at", pieces=None)
+    assert arrived.count() == closed.count() == 0
+
+
+def test_only_facts_of_arrived_windows_are_rekeyed(spark, tmp_path):
+    log = [(1, "2026-01-01", "a"), (1, "2026-05-01", "b"), (2, "2026-02-01", "x")]
+    dim = history.scd2_windows(versions(spark, log), "id", "updated_at", pieces=None)
+    owners = spark.createDataFrame([(f"p{k}", 1 if k < 8 else 2) for k in range(12)], "policy string, id bigint")
+    days = [dt.datetime(2026, 1 + k % 6, 15) for k in range(12)]
+    facts_ = history.point_in_time(
+        spark.createDataFrame([(f"p{k}", days[k]) for k in range(12)], "policy string, t timestamp").withColumn("at", F.col("t").cast("timestamp_ntz")).drop("t")
+        .join(owners, "policy"), dim, "id", "at", ["version_sk"], pieces=None).drop("id")
+    facts_.withColumn("month", F.to_date(F.trunc("at", "MM"))).write.partitionBy("month").parquet(str(tmp_path / "facts"))
+    stored_facts = spark.read.parquet(str(tmp_path / "facts"))
+    arrived, _ = history.repaired_windows(dim, versions(spark, [(1, "2026-03-10", "late")]), "id", "updated_at", pieces=None)
+    arrived = spark.createDataFrame(arrived.collect(), arrived.schema)
+    changed = history.rekeyed(stored_facts, owners, arrived, "policy", "id", "at", "version_sk", period="month")
+    assert rows(changed, "policy") == [("p2",), ("p3",)]  # owner 1, March and April
+    assert {r[0] for r in changed.select("version_sk").collect()} == {r[0] for r in arrived.select("version_sk").collect()}
+    assert changed.columns == stored_facts.columns
+    assert months_read(changed) == 3  # March to May of six; the window ends on the first of May
+
+
+def months_read(df):
+    """Partitions of the facts' folder that the scan of an executed plan read."""
+    plan = df._jdf.queryExecution().executedPlan()
+    df._jdf.queryExecution().toRdd().count()
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        if node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        metric = node.metrics().get("numPartitions") if node.getClass().getSimpleName() == "FileSourceScanExec" else None
+        if metric is not None and metric.isDefined():
+            found.append(metric.get().value())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return max(found)
+
+
+# ------------------------------------------------------------ backfill
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_backfill_in_one_pass_equals_merging_in_order(spark, seed):
+    """States go back and forth in time, keys go missing and come back, dumps repeat states."""
+    import random
+
+    r = random.Random(seed)
+    dumps = []
+    for day in range(8):
+        for key in range(5):
+            if r.random() < 0.8:
+                at = r.randint(1, 1 + day * 2)
+                dumps.append((key, str(dt.datetime(2026, 1, 1) + dt.timedelta(days=at)), f"{key}-{at}", dt.date(2026, 2, 1 + day)))
+    df = spark.createDataFrame(dumps, "id bigint, at string, city string, day date").select(
+        "id", "city", F.col("at").cast("timestamp_ntz").alias("updated_at"), "day")
+    past = None
+    for day in range(8):
+        state = df.filter(F.col("day") == F.lit(dt.date(2026, 2, 1 + day))).drop("day")
+        past = history.snapshot_merge(past, state, "id", "updated_at")
+        past = spark.createDataFrame(past.collect(), past.schema)
+        if day == 2:
+            early = past
+    whole = history.snapshot_backfill(df, "id", "updated_at", "day")
+    assert rows(whole, *past.columns) == rows(past, *past.columns)
+    rest = history.snapshot_backfill(df.filter("day >= '2026-02-04'"), "id", "updated_at", "day", early)
+    assert rows(rest, *past.columns) == rows(past, *past.columns)

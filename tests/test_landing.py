@@ -200,3 +200,78 @@ def test_overwriting_a_day_never_duplicates(spark, tmp_path):
     tables.overwrite_partition(days, path, "dt")
     tables.overwrite_partition(days.filter("v = 2").withColumn("v", F.lit(20)), path, "dt")
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 20]
+
+
+# ------------------------------------------------------------ counted while written, rejected lines, keyed state
+
+
+def test_counts_taken_while_writing_are_those_of_the_files(spark, tmp_path):
+    df = spark.range(0, 57, 1, 3).select("id", F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_dt_interval(0, 0, id)").alias("ts"))
+    written = landing.write_counted(df, str(tmp_path / "parts"), "ts", max_rows=10)
+    read = landing.part_stats(spark, str(tmp_path / "parts"), "ts")
+    assert written.complete and written.rows == 57
+    got = {(r.key.rsplit("/", 1)[1], r.rows) for r in written.parts(spark).collect()}
+    assert got == {(r.key.rsplit("/", 1)[1], r.rows) for r in read.collect()} and len(got) == 6
+    assert {r.key for r in written.parts(spark).collect()} == {r.key for r in read.collect()}
+    assert written.max_changed_at == read.agg(F.max("max_changed_at")).first()[0]
+
+
+def test_nothing_written_lists_nothing(spark, tmp_path):
+    df = spark.range(0).select("id", F.lit(None).cast("timestamp_ntz").alias("ts"))
+    written = landing.write_counted(df, str(tmp_path / "parts"), "ts")
+    assert (written.rows, written.max_changed_at, written.parts(spark).count()) == (0, None, 0)
+
+
+def _text_lake(root, **files):
+    folder = root / "events" / "dt=2026-01-01" / "run=r1" / "attempt=a1"
+    folder.mkdir(parents=True, exist_ok=True)
+    for name, lines in files.items():
+        (folder / f"part-{name}.json").write_text("\n".join(lines) + "\n")
+    return str(root / "events")
+
+
+def test_rejected_lines_are_kept_with_their_place(spark, tmp_path):
+    from tidemark.streaming.ingest import ingest
+
+    lake = _text_lake(tmp_path, **{"00000": ['{"a": 1}', '{"a": ', "", '{"a": 2}', "[1]", "null"], "00001": ['{"a": 3}']})
+    table, aside = str(tmp_path / "table"), str(tmp_path / "aside")
+    assert ingest(spark, lake, table, str(tmp_path / "cp"), quarantine=aside) == 2
+    assert sorted(r[0] for r in spark.read.parquet(table).select(F.variant_get("record", "$.a", "int")).collect()) == [1, 2, 3]
+    got = spark.read.parquet(aside)
+    assert sorted((r.value, r.reason, r.file_row, r.run_id) for r in got.collect()) == [
+        ("[1]", "not an object", 5, "r1"), ("null", "not an object", 6, "r1"), ('{"a": ', "not json", 2, "r1")]
+    _text_lake(tmp_path, **{"00002": ['{"a": 4}']})
+    ingest(spark, lake, table, str(tmp_path / "cp"), quarantine=aside)
+    assert spark.read.parquet(table).count() == 4 and spark.read.parquet(aside).count() == 3
+
+
+def test_without_a_quarantine_a_bad_line_fails_its_batch(spark, tmp_path):
+    from tidemark.streaming.ingest import ingest
+
+    lake = _text_lake(tmp_path, **{"00000": ['{"a": 1}', '{"a": ']})
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        ingest(spark, lake, str(tmp_path / "table"), str(tmp_path / "cp"))
+    with pytest.raises(ValueError, match="only lines"):
+        ingest(spark, lake, str(tmp_path / "t2"), str(tmp_path / "cp2"), kind="parquet", quarantine=str(tmp_path / "q"))
+
+
+def test_keyed_state_keeps_the_last_delivery_over_restarts(spark, tmp_path):
+    from tidemark.streaming.ingest import dedup_stream, read_deduplicated
+
+    import random
+
+    r = random.Random(3)
+    deliveries = [(k, r.randint(0, 50), r.choice("abc")) for k in range(8) for _ in range(6)]
+    r.shuffle(deliveries)
+    source, table, checkpoint = (str(tmp_path / n) for n in ("source", "table", "cp"))
+    schema = "id int, at int, value string"
+    for n in range(4):  # four starts of the stream; deliveries of a key are spread over all of them
+        for part in (deliveries[n * 12 : n * 12 + 6], deliveries[n * 12 + 6 : n * 12 + 12]):
+            spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(source)
+        dedup_stream(spark, source, table, checkpoint, lambda rows: rows, ["id"], ["at"], files_per_batch=1)
+        seen = deliveries[: n * 12 + 12]
+        want = sorted({k: max((at, v) for i, at, v in seen if i == k) for k, _, _ in seen}.items())
+        got = sorted((row.id, (row.at, row.value)) for row in read_deduplicated(spark, table, ["id"]).collect())
+        assert got == want
+    batches = spark.read.parquet(table)
+    assert batches.groupBy("batch", "id").count().filter("count > 1").isEmpty()

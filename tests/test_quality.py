@@ -176,3 +176,15 @@ def test_role_playing_keeps_every_fact(spark):
     fact = frame(spark, "id int, a int, b int", (1, 20260101, None), (2, 20270101, 20260101))
     out = facts.role_play(fact, dim_date(spark), {"first": "a", "second": "b"}, ["calendar_year"])
     assert rows(out.select("id", "first_calendar_year", "second_calendar_year")) == [(1, 2026, None), (2, 2027, 2026)]
+
+
+def test_content_sums_find_what_counts_accept(spark):
+    rows = [("f1", 1, "a"), ("f1", 2, "b"), ("f2", 3, None), ("f2", 3, None), ("f3", 4, ""), ("f5", 6, "x")]
+    announced = spark.createDataFrame(rows, "file string, id int, v string")
+    swapped = [("f1", 2, "a"), ("f1", 1, "b"), ("f2", 3, None), ("f2", 3, None), ("f3", 4, None), ("f4", 5, "y")]
+    loaded = spark.createDataFrame(swapped[::-1], "file string, id int, v string").repartition(3)
+    sums = [q.content_sums(df, ["file"], ["id", "v"]) for df in (announced, loaded)]
+    got = {r.file: r.status for r in q.reconcile_content(*sums, ["file"]).collect()}
+    assert got == {"f1": "CHANGED", "f2": "DONE", "f3": "CHANGED", "f4": "TOO_MANY", "f5": "NOT_YET"}
+    again = q.content_sums(announced.repartition(4).orderBy("v"), ["file"], ["id", "v"])
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, sums[0].collect()))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import control
 from tidemark.operators.quality import GateFailed
 from tidemark.operators.selection import MissingWatermark
-from tidemark.plans import runs
+from tidemark.plans import models, runs
 from tidemark.sources import landing, tables
 from tidemark.sources.landing import ManifestMissing
 
@@ -114,6 +114,24 @@ def test_earlier_attempt_of_the_same_run_is_not_counted(spark, history):
     assert content(gold(spark, paths, "fct_claims"), "claim_id", "current_status") == before
 
 
+def test_customer_version_that_arrives_late_reaches_stored_claims(spark, tmp_path):
+    paths = fresh(spark, tmp_path)
+    feeds = fixtures.feeds(spark)
+    runs.run_feed(spark, feeds, plan("2026-09-30T00:00:00", "day-1"), paths)
+    # CLM-1's customer moved before the loss, which the source tells with the next day's changes only
+    late = fixtures.holders(spark, [(1, "Goa", "LOW", "2026-09-11T00:00:00")])
+    feeds["policyholders"] = feeds["policyholders"].unionByName(late)
+    p = plan("2026-10-01T00:00:00", "day-2")
+    p.buffer = "INTERVAL 30 DAYS"
+    runs.run_feed(spark, feeds, p, paths)
+    dim = gold(spark, paths, "dim_policyholder")
+    got = dict(content(gold(spark, paths, "fct_claims").join(dim, "policyholder_sk"), "claim_id", "city"))
+    assert got["CLM-1"] == "Goa"
+    full = models.fct_claims(*(gold(spark, paths, n) for n in ("slv_claim_events", "slv_policies", "dim_policy", "dim_policyholder")))
+    columns = ("claim_id", "policyholder_sk", "current_status")
+    assert content(gold(spark, paths, "fct_claims"), *columns) == content(full, *columns)
+
+
 def fresh(spark, tmp_path):
     paths = runs.Paths(str(tmp_path / "lake"), str(tmp_path / "wh"))
     runs.seed(spark, paths, "api")

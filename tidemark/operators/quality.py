@@ -287,6 +287,31 @@ def reconcile_files(manifest: DataFrame, landed: DataFrame) -> DataFrame:
                        F.coalesce("loaded_rows", F.lit(0)).alias("loaded_rows"), status.alias("status"))
 
 
+def row_digest(columns: Sequence[str]) -> Column:
+    """60 bits of a row's content, as a number; NULL and empty text differ."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("decimal(20,0)")
+
+
+def content_sums(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Rows and the sum of their digests modulo 2^60 per group: the same for any order of the rows.
+
+    Sums combine before the shuffle; repeated rows count as often as they are there.
+    """
+    total = F.sum(row_digest(columns)) % F.lit(1 << 60)
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), total.cast("bigint").alias("content"))
+
+
+def reconcile_content(announced: DataFrame, loaded: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Two ``content_sums`` side by side, every group of either: what counts alone accept may be CHANGED."""
+    a = announced.select(*by, F.col("rows").alias("expected_rows"), F.col("content").alias("expected_content"))
+    b = loaded.select(*by, F.col("rows").alias("loaded_rows"), F.col("content").alias("loaded_content"))
+    both = a.join(b, list(by), "full_outer").na.fill(0, ["expected_rows", "loaded_rows"])
+    counts = compare_counts(F.col("expected_rows"), F.col("loaded_rows"))
+    same = F.col("expected_content").eqNullSafe(F.col("loaded_content"))
+    return both.withColumn("status", F.when((counts == "DONE") & ~same, "CHANGED").otherwise(counts))
+
+
 def reconcile_min(expected: DataFrame, loaded: DataFrame, by: Sequence[str]) -> DataFrame:
     """Loaded at least what was expected; duplicates pass."""
     counts = loaded.groupBy(*by).agg(F.count(F.lit(1)).alias("loaded_rows"))

@@ -19,7 +19,7 @@ from tidemark.session import work_dir
 from tidemark.sources import landing, tables
 from tidemark.sources.tables import ControlStore, KeyedTable
 from tidemark.spec import CLAIMS
-from tidemark.streaming.ingest import ingest, upsert_stream
+from tidemark.streaming.ingest import dedup_stream, ingest, read_deduplicated, upsert_stream
 
 _EVENT_FIELDS = {"event_id": ("event_id", "bigint"), "user_id": ("user_id", "bigint"),
                  "event_type": ("event_type", "string"), "value": ("value", "double"),
@@ -124,20 +124,25 @@ def src09_date_spine(t: Lake):
     return spine.join(per_day, "date_day", "left").na.fill(0, ["orders_n"])
 
 
-def _run_with_manifest(t: Lake) -> tuple[str, DataFrame]:
+def _run_with_manifest(t: Lake, counted: bool = False) -> tuple[str, DataFrame]:
     """One entity per event type, one that has nothing new, and their manifest."""
+    written = {}
     root = work_dir(t.spark, "lake")
     marks = watermarks(t)
     kinds = [r.entity for r in marks.select("entity").collect()]  # one row per entity
     for kind in [*kinds, "refund"]:
         folder = landing.attempt_dir(root, kind, "2024-01-31", "run-1", "a1")
-        landing.write_parts(t.events.filter(F.col("event_type") == kind), folder, max_rows=1000)
+        rows = t.events.filter(F.col("event_type") == kind)
+        if counted:
+            written[kind] = landing.write_counted(rows, folder, "ts", max_rows=1000)
+        else:
+            landing.write_parts(rows, folder, max_rows=1000)
     nothing = t.spark.range(1).select(F.lit("api").alias("source_name"), F.lit("refund").alias("entity"),
                                       F.lit("2024-01-30").cast("timestamp_ntz").alias("high_watermark"))
     plan = selection.plan_window(marks.unionByName(nothing), "2024-01-31").select(
         F.lit("run-1").alias("run_id"), F.lit("2024-01-31").cast("date").alias("business_date"),
         "source_name", "entity", F.col("high_watermark").alias("watermark"), "window_start", "window_end")
-    landing.write_manifest(t.spark, root, plan, "a1", {k: "ts" for k in [*kinds, "refund"]})
+    landing.write_manifest(t.spark, root, plan, "a1", {k: "ts" for k in [*kinds, "refund"]}, written)
     return root, landing.read_manifest(t.spark, landing.manifest_path(root, "2024-01-31", "run-1"))
 
 
@@ -157,6 +162,43 @@ def src10_manifest(t: Lake):
         F.max("max_changed_at").alias("max_changed_at"), F.max("window_start").alias("window_start"))
 
 
+@query("snk03_counted_while_written", "entity:s row_count:l listed:l in_files:l max_changed_at:s window_start:t",
+       f"SELECT *, row_count AS in_files FROM ({_MANIFEST_SQL})", "watermarks")
+def snk03_counted_while_written(t: Lake):
+    """The manifest from counts taken while writing; beside them, the lines of the listed files by reading."""
+    root, manifest = _run_with_manifest(t, counted=True)
+    lines = landing.numbered_lines(t.spark, root).groupBy("source_file").agg(F.count(F.lit(1)).alias("in_file"))
+    # a file whose announced rows are not its lines would not count
+    agree = (F.col("key") == F.col("source_file")) & (F.col("rows") == F.col("in_file"))
+    return manifest.join(lines, agree, "left").groupBy("entity").agg(
+        F.max("row_count").alias("row_count"), F.sum("rows").alias("listed"), F.coalesce(F.sum("in_file"), F.lit(0)).alias("in_files"),
+        F.max("max_changed_at").alias("max_changed_at"), F.max("window_start").alias("window_start"))
+
+
+@query("src01_rejected_lines", "line:s status:s file_row_known:b",
+       """SELECT CASE WHEN event_id % 97 = 0 THEN '{"event_id": ' || event_id WHEN event_id % 89 = 0 THEN '[' || event_id || ']'
+            WHEN event_id % 83 = 0 THEN event_id::VARCHAR ELSE 'event ' || event_id END AS line,
+          CASE WHEN event_id % 97 = 0 THEN 'not json' WHEN event_id % 89 = 0 OR event_id % 83 = 0 THEN 'not an object'
+            ELSE 'landed' END AS status, true AS file_row_known FROM events""")
+def src01_rejected_lines(t: Lake):
+    """Cut off objects, arrays and bare numbers among the lines: kept aside with file, line and reason; the rest lands."""
+    number = F.col("event_id").cast("string")
+    line = (
+        F.when(F.col("event_id") % 97 == 0, F.concat(F.lit('{"event_id": '), number))
+        .when(F.col("event_id") % 89 == 0, F.concat(F.lit("["), number, F.lit("]")))
+        .when(F.col("event_id") % 83 == 0, number).otherwise(F.to_json(F.struct("event_id", "user_id", "event_type")))
+    )
+    root = work_dir(t.spark, "lake")
+    path = landing.attempt_dir(root, "events", "2024-01-31", "run-1", "a1")
+    t.events.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    table, aside = work_dir(t.spark, "landing"), work_dir(t.spark, "rejected")
+    ingest(t.spark, f"{root}/events", table, work_dir(t.spark, "checkpoint"), quarantine=aside, pattern=r"/part-[0-9]+[^/]*[.]txt[.]gz$")
+    known = (F.col("file_row") > 0).alias("file_row_known")
+    good = t.spark.read.parquet(table).select(
+        F.concat(F.lit("event "), F.variant_get("record", "$.event_id", "string")).alias("line"), F.lit("landed").alias("status"), known)
+    return good.unionByName(t.spark.read.parquet(aside).select(F.col("value").alias("line"), F.col("reason").alias("status"), known))
+
+
 @query("src11_file_inventory", "entity:s files:l has_bytes:b",
        """SELECT 'event_type=' || event_type AS entity, count(DISTINCT CAST(ts AS DATE)) AS files, true AS has_bytes
           FROM events GROUP BY 1""")
@@ -571,6 +613,20 @@ def str07_streaming_upsert(t: Lake):
     return table.read()
 
 
+@query("str07_stateful_dedup", _VERSION, "SELECT * FROM slv_claims", "slv_claims")
+def str07_stateful_dedup(t: Lake):
+    """Deliveries streamed through keyed state, newest files first, with a restart in mid-stream."""
+    path, table, checkpoint = (work_dir(t.spark, name) for name in ("landing", "deduplicated", "checkpoint"))
+    rows = landing.bronze(feeds.claims(t))
+    cut = F.lit("2024-01-15").cast("timestamp_ntz")
+    keys = ["claim_id", "updated_at"]
+    for part in (F.col("loaded_at") > cut, F.col("loaded_at") <= cut):
+        rows.filter(part).write.mode("append").parquet(path)
+        dedup_stream(t.spark, path, table, checkpoint, lambda r: typed(r, CLAIMS.fields, ["run_id", "source_file", "loaded_at"]), keys,
+                     files_per_batch=4)
+    return read_deduplicated(t.spark, table, keys)
+
+
 @query("str08_late_version", "o_custkey:l valid_from:t valid_to:t o_orderpriority:s",
        """SELECT o_custkey, o_orderdate AS valid_from, o_orderpriority,
           coalesce(lead(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate), TIMESTAMP '9999-12-31') AS valid_to
@@ -624,3 +680,38 @@ def dq14_reconcile_manifest(t: Lake):
         "source_file")
     report = quality.reconcile(manifest, loaded)
     return report.withColumn("files_agree", F.col("file_status") == "DONE")
+
+
+_CLAIM_COLUMNS = ["claim_id", "policy_id", "claim_amount", "claim_status", "updated_at"]
+_DIGEST_SQL = "('0x' || substr(md5(" + " || '|' || ".join(
+    f"coalesce('=' || {c}, '-')" for c in ("claim_id", "policy_id", "CAST({amount} AS DECIMAL(12,2))::VARCHAR", "claim_status", "strftime(updated_at, '%Y-%m-%d %H:%M:%S.%f')")
+) + "), 1, 15))::BIGINT::HUGEINT"
+_SUM_SQL = "(sum(" + _DIGEST_SQL + ") % 1152921504606846976)::BIGINT"
+
+
+@query(
+    "dq14_content_reconciliation", "business_date:D expected_rows:l loaded_rows:l expected_content:l loaded_content:l status:s",
+    f"""WITH swapped AS (
+        SELECT *, CASE WHEN day(updated_at) % 5 = 0 THEN coalesce(lead(claim_amount) OVER w, first_value(claim_amount) OVER w) ELSE claim_amount END AS other
+        FROM slv_claims WINDOW w AS (PARTITION BY CAST(updated_at AS DATE) ORDER BY claim_id, updated_at ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+      a AS (SELECT CAST(updated_at AS DATE) AS business_date, count(*) AS n, {_SUM_SQL.format(amount='claim_amount')} AS content FROM slv_claims GROUP BY 1),
+      b AS (SELECT CAST(updated_at AS DATE) AS business_date, count(*) AS n, {_SUM_SQL.format(amount='other')} AS content FROM swapped
+            WHERE NOT (day(updated_at) % 7 = 0 AND claim_status = 'PAID') GROUP BY 1)
+      SELECT business_date, a.n AS expected_rows, ifnull(b.n, 0) AS loaded_rows, a.content AS expected_content, b.content AS loaded_content,
+        CASE WHEN ifnull(b.n, 0) < a.n THEN 'NOT_YET' WHEN a.content = b.content THEN 'DONE' ELSE 'CHANGED' END AS status
+      FROM a LEFT JOIN b USING (business_date)""", "slv_claims")
+def dq14_content_reconciliation(t: Lake):
+    """Days on which amounts moved to other claims (equal counts and equal sums), days with rows missing, and days as announced."""
+    from pyspark.sql import Window
+
+    claims = tables.stored(t.spark, models.slv_claim_events(feeds.claims(t)))
+    day = F.to_date("updated_at")
+    own = claims.withColumn("business_date", day).withColumn("claim_amount", F.col("claim_amount").cast("decimal(12,2)"))
+    in_day = Window.partitionBy("business_date").orderBy("claim_id", "updated_at").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    nth = Window.partitionBy("business_date").orderBy("claim_id", "updated_at")
+    moved = F.when(F.dayofmonth("updated_at") % 5 == 0, F.coalesce(F.lead("claim_amount").over(nth), F.first("claim_amount").over(in_day)))
+    arrived = own.withColumn("claim_amount", F.coalesce(moved, F.col("claim_amount"))).filter(
+        ~((F.dayofmonth("updated_at") % 7 == 0) & (F.col("claim_status") == "PAID")))
+    sums = [quality.content_sums(df.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")), ["business_date"], _CLAIM_COLUMNS)
+            for df in (own, arrived)]
+    return quality.reconcile_content(*sums, ["business_date"])

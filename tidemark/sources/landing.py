@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,16 +72,30 @@ def numbered_lines(
 
 
 def read_landing(spark: SparkSession, path: str | Sequence[str], pattern: str = NDJSON_PARTS) -> DataFrame:
-    """NDJSON parts as landing rows; every object stays whole in ``record``."""
-    rows = numbered_lines(spark, path, pattern)
+    """NDJSON parts as landing rows; every object stays whole in ``record``. A malformed line is an error."""
+    return _landing_rows(numbered_lines(spark, path, pattern), F.parse_json("value"))
+
+
+def _landing_rows(lines: DataFrame, record: Column, *more: str) -> DataFrame:
     parts = {"business_date": ("dt", "date"), "run_id": ("run", "string")}
-    return with_path_columns(rows, parts).select(
-        F.parse_json("value").alias("record"),
+    return with_path_columns(lines, parts).select(
+        record.alias("record"),
         "business_date", "run_id", "source_file", "file_row",
-        F.current_timestamp().alias("loaded_at"),
+        F.current_timestamp().alias("loaded_at"), *more,
     )
 
 
+def judged_lines(spark: SparkSession, path: str | Sequence[str], pattern: str = NDJSON_PARTS) -> DataFrame:
+    """Every line as a landing row, with the line itself in ``value`` and, where it holds no object, why in ``reason``."""
+    parsed = F.try_parse_json("value")
+    reason = F.when(parsed.isNull(), "not json").when(~F.schema_of_variant(parsed).startswith("OBJECT"), "not an object")
+    lines = numbered_lines(spark, path, pattern).withColumn("reason", reason)
+    return _landing_rows(lines, parsed, "value", "reason")
+
+
+REJECTED = ("value", "reason", "business_date", "run_id", "source_file", "file_row", "loaded_at")
+
+
 def read_landing_parquet(spark: SparkSession, path: str | Sequence[str],
                          pattern: str = PARQUET_FILES) -> DataFrame:
     """Parquet files as landing rows; the whole row becomes ``record``."""
@@ -163,6 +178,54 @@ def write_parts(df: DataFrame, path: str, max_rows: int = MAX_PART_ROWS) -> None
     )
 
 
+# Tasks of one write whose rows are told apart while it runs.
+MAX_TASKS = 10_000
+
+
+@dataclass(frozen=True)
+class Written:
+    """What a write saw go by: rows per task, rows in all, newest cursor value as the files have it."""
+
+    path: str
+    max_rows: int
+    rows: int
+    tasks: dict[int, int]
+    max_changed_at: str | None
+
+    @property
+    def complete(self) -> bool:
+        return sum(self.tasks.values()) == self.rows
+
+    def parts(self, spark: SparkSession) -> DataFrame:
+        """(key, rows, max_changed_at) of every part. A task fills its files one after another, so a
+        file's rows follow from its task, its number and the task's rows; names are listed, contents not read."""
+        names = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", True).load(self.path)
+            .select(F.col("path").alias("key")).filter(F.col("key").rlike(NDJSON_PARTS))
+        )
+        task = F.regexp_extract("key", r"/part-([0-9]+)[^/]*$", 1).cast("int")
+        nth = F.regexp_extract("key", r"-c([0-9]+)[.]json", 1).cast("int")
+        counts = spark.createDataFrame(list(self.tasks.items()), "task int, task_rows bigint")
+        return names.withColumns({"task": task, "nth": nth}).join(counts, "task").select(
+            "key", F.least(F.lit(self.max_rows), F.col("task_rows") - F.col("nth") * self.max_rows).cast("bigint").alias("rows"),
+            F.lit(self.max_changed_at).alias("max_changed_at")).filter("rows > 0")
+
+
+def write_counted(df: DataFrame, path: str, cursor: str, max_rows: int = MAX_PART_ROWS) -> Written:
+    """``write_parts``, counting while it writes: the landed files need not be read for their manifest."""
+    seen = Observation()
+    changed = F.col(cursor)
+    if isinstance(df.schema[cursor].dataType, T.TimestampNTZType):  # as the writer formats it
+        changed = F.concat_ws("T", F.to_date(changed).cast("string"), F.date_format(changed, "HH:mm:ss.SSSSSS"))
+    counted = df.withColumn("__task", F.spark_partition_id()).observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.max(changed.cast("string")).alias("newest"),
+        F.expr(f"approx_top_k(__task, {MAX_TASKS}, {2 * MAX_TASKS})").alias("tasks")).drop("__task")
+    write_parts(counted, path, max_rows)
+    got = seen.get
+    tasks = {r["item"]: r["count"] for r in got["tasks"] or []}
+    return Written(path, max_rows, got["rows"], tasks, got["newest"])
+
+
 MANIFEST = T.StructType(
     [
         T.StructField("run_id", T.StringType()),
@@ -209,20 +272,27 @@ def part_stats(spark: SparkSession, path: str, cursor: str) -> DataFrame:
 
 
 def write_manifest(
-    spark: SparkSession, lake: str, plan: DataFrame, attempt: str, cursors: Mapping[str, str]
+    spark: SparkSession, lake: str, plan: DataFrame, attempt: str, cursors: Mapping[str, str],
+    written: Mapping[str, Written] | None = None,
 ) -> str:
     """List the files of an attempt. Written last: its presence says all data is there.
 
     ``plan`` has one row per entity: run_id, business_date, source_name, entity,
     watermark, window_start, window_end. One line per file, plus one line for an
     entity without files, so no document grows with the number of files. It is
-    written as a single file and therefore appears all at once.
+    written as a single file and therefore appears all at once. Entities in
+    ``written`` were counted while they were written; the parts of others are read.
     """
     planned = plan.collect()  # one row per entity
     stats = None
     for row in planned:
         folder = attempt_dir(lake, row.entity, str(row.business_date), row.run_id, attempt)
-        found = part_stats(spark, folder, cursors[row.entity]).withColumn("entity", F.lit(row.entity))
+        counted = (written or {}).get(row.entity)
+        if counted is not None and counted.complete:
+            found = counted.parts(spark)
+        else:
+            found = part_stats(spark, folder, cursors[row.entity])
+        found = found.withColumn("entity", F.lit(row.entity))
         stats = found if stats is None else stats.unionByName(found)
     # the landed files are read once; the counts are then joined with their totals
     counted = f"{work_dir(spark, 'manifest')}/parts"
