@@ -53,7 +53,7 @@ def test_odd_rows(odd, none, odd_rows, tokenizer):
 
 @pytest.mark.parametrize("text", [
     "it's DON'T x'll", "<|endoftext|> and <|startoftext|>x", "a\x1cb c\x1f", "ΣΑΣ İstanbul", "1234 ½² a1b2", "é ́x",
-    " x y", "中文 \U0001f600!", "### $$$a&&&", "", "♥ ♥", "a" * 5000, "don't!!!'s", "x\u0085y",
+    " x y", "中文 \U0001f600!", "### $$$a&&&", "", "♥ ♥", "a" * 5000, "don't!!!'s", "x\u0085y", "'something 'really l'el 'l 've've'", "a'S'T'Re'd9's", "'", "¿qué? ªº ǅ Ǆ ŉ ß \xad\xa0x", "ends'",
 ])
 def test_ids_are_the_tokenizers(text, tokenizer):
     own = packing.WordTokens(packing.tokenizer_path())
@@ -72,3 +72,25 @@ def test_packs_hold_every_length():
             for n in lengths:
                 held[n] += number
         assert held == Counter({n: c for n, c in counts.items() if c})
+
+
+def naive_packs(counts, room):
+    """Each piece, longest first, into the pack with the fewest tokens, if it has room there."""
+    sizes = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            k = min(range(len(sizes)), key=sizes.__getitem__) if sizes else -1
+            if k >= 0 and sizes[k] + length <= room:
+                sizes[k] += length
+            else:
+                sizes.append(length)
+    return sorted(sizes)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_as_many_packs_as_piece_by_piece(seed):
+    r = np.random.default_rng(seed)
+    room = int(r.integers(5, 80))
+    counts = {n: int(r.integers(1, 9)) for n in range(1, room + 1) if r.random() < 0.5}
+    packs = packing.pack_histogram(counts, room)
+    assert sum(number for _, number in packs) == len(naive_packs(counts, room))

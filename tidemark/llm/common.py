@@ -80,7 +80,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
         size = max(n, 1 << 20)
         forward = np.full(size, _P, np.uint64)
@@ -114,7 +114,7 @@ class Words:
         self.first = np.concatenate([[0], np.searchsorted(self.start, self.doc_ends)]).astype(np.int64)
         self.counts = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(raw)), self.counts)
-        forward, back = _powers(len(data) + 1)
+        forward, back = powers(len(data) + 1)
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * forward[:-1])])
         self.hash = mixed((total[self.end] - total[self.start]) * back[self.start] ^ (self.end - self.start).astype(np.uint64))
 

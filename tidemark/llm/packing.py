@@ -20,8 +20,6 @@ from __future__ import annotations
 
 import functools
 import heapq
-import re
-import string
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -31,32 +29,43 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, text_of
+from tidemark.llm.common import mixed, powers, stored, text_of
 
 SEQUENCE = 2048
 END_ID = 1
 ROWS_PER_CELL = 1 << 17
 MIN_CELLS = 64
-WORDS_KEPT = 600_000
+CHUNK = 1 << 21  # characters handled at once
+PARTS_KEPT = 2_000_000
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
-# Characters whose words the tokenizer breaks and lower-cases one by one, and a
-# character outside them, one id of the vocabulary, that can stand between words.
-_PLAIN = re.compile(r"[\x21-\x7e\xa1-\u012f\u0131-\u024f]+")
-_BETWEEN = "\u2665"
-_MARKS = string.punctuation
-# str.split() breaks at these, the tokenizer doesn't.
-_CONTROL = "\x1c\x1d\x1e\x1f"
+_BLANK, _LETTER, _DIGIT, _MARK, _ODD = range(5)
+
+
+@functools.cache
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """Kind and lower case of the code points below 0x250; what the tokenizer may treat in ways of its own is odd."""
+    kind, lower = np.full(0x251, _ODD, np.int8), np.arange(0x251, dtype=np.uint32)
+    for c in range(0x20, 0x250):
+        ch = chr(c)
+        if c == 0x20:
+            kind[c] = _BLANK
+        elif len(ch.lower()) == 1 and not 0x7F <= c <= 0xA0:
+            kind[c] = _LETTER if ch.isalpha() else _DIGIT if ch.isnumeric() else _MARK
+            lower[c] = ord(ch.lower())
+    kind[9:14] = _BLANK
+    return kind, lower
 
 
 class WordTokens:
-    """A tokenizer's ids, remembered per word.
+    """A tokenizer's ids, remembered per part of a word.
 
-    The tokenizer lower-cases, breaks at white space and merges within a word
-    only, so a text's ids are its words' ids, and a word is encoded once. Words
-    with other scripts, marks or special tokens are encoded singly, and texts with
-    control separators as a whole.
+    The tokenizer lower-cases and breaks texts into runs of letters, single digits, runs of marks and
+    a few endings after an apostrophe; merges stay inside these parts. So a text's ids are its parts' ids, and each different
+    part is encoded once. Parts are found, looked up by hash and put together for many texts
+    at a time, without an object per word. Texts with other scripts, control characters
+    or special tokens are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -64,60 +73,111 @@ class WordTokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.type = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
-        between = self.tokenizer.encode(_BETWEEN, add_special_tokens=False).ids
-        self.between = between[0] if len(between) == 1 else None
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type).tobytes()
-
-    def _encoded(self, words: list[str]) -> Iterator[bytes]:
-        """Ids of plain words, many to a call."""
-        wide, glue = np.dtype(self.type).itemsize, f" {_BETWEEN} "
-        for k in range(0, len(words), 2000):
-            some = words[k : k + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([glue.join(some)], add_special_tokens=False)[0].ids, self.type)
-            stops = (np.flatnonzero(ids == self.between) * wide).tolist() + [len(ids) * wide]
-            if len(stops) != len(some):
-                yield from map(self.whole, some)
-                continue
-            raw, at = ids.tobytes(), 0
-            for stop in stops:
-                yield raw[at:stop]
-                at = stop + wide
-
-    def _learn(self, words: set[str]) -> None:
-        parts, new, split, other = self.parts, {}, [], []
-        for w in words:
-            if self.between is None or not _PLAIN.fullmatch(w) or "<|" in w:
-                self.words[w] = self.whole(w)
-                continue
-            core = w.rstrip(_MARKS)
-            if core.isalpha():  # letters, then marks: two parts with ids of their own
-                core, tail = core.lower(), w[len(core) :]
-                split.append((w, core, tail))
-                if core not in parts:
-                    new[core] = True
-                if tail not in parts:
-                    new[tail] = True
+        # tokens that end a part, by the suffix the vocabulary gives them
+        self.closing = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.closing[i] = token.endswith("</w>")
+        self._forget()
+
+    def _forget(self) -> None:
+        self.hash = np.zeros(0, np.uint64)  # of the parts known, ascending
+        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)  # where their ids are
+        self.flat = np.zeros(0, self.type)
+
+    def whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.type)
+
+    def _encoded(self, parts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Ids of parts one after another, and how many each has; many parts to a call."""
+        for k in range(0, len(parts), 5000):
+            some = parts[k : k + 5000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.type)
+            stops = np.flatnonzero(self.closing[ids])
+            if len(stops) == len(some):
+                yield ids, np.diff(stops, prepend=-1)
             else:
-                other.append(w)
-        parts.update(zip(new, self._encoded(list(new))))
-        self.words.update((w, parts[core] + parts[tail]) for w, core, tail in split)
-        self.words.update(zip(other, self._encoded(other)))
+                single = [self.whole(p) for p in some]
+                yield np.concatenate(single), np.array([len(i) for i in single])
+
+    def _learn(self, hashes: np.ndarray, parts: list[str]) -> None:
+        if len(self.hash) + len(parts) > PARTS_KEPT:
+            self._forget()
+        ids, counts = zip(*self._encoded(parts))
+        count = np.concatenate(counts)
+        start = len(self.flat) + np.cumsum(count) - count
+        at = np.searchsorted(self.hash, hashes)
+        self.flat = np.concatenate([self.flat, *ids])
+        self.hash, self.start, self.count = (np.insert(a, at, b) for a, b in ((self.hash, hashes), (self.start, start), (self.count, count)))
+
+    def _parts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(lower-cased characters, first and end of every part, text of every part) of texts without odd characters."""
+        kinds, lowers = _kinds()
+        points = np.frombuffer("\n".join([*texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind, low = kinds[points], lowers[points]
+        new = np.ones(len(kind), bool)
+        new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        # an apostrophe alone, with letters after it, takes an ending with it
+        alone = np.flatnonzero((points[:-1] == 39) & new[:-1] & (kind[1:] == _LETTER)) if len(kind) > 1 else np.zeros(0, np.int64)
+        first, second = low[alone + 1], low[np.minimum(alone + 2, len(low) - 1)]
+        one = np.isin(first, [ord(c) for c in "stmd"])
+        two = ~one & np.logical_or.reduce([(first == ord(a)) & (second == ord(b)) for a, b in ("re", "ve", "ll")])
+        for found, n in ((alone[one], 1), (alone[two], 2)):
+            new[found + 1] = False
+            after = found + 1 + n
+            new[after] |= kind[after] == _LETTER  # what is left of the letters
+        start = np.flatnonzero(new)
+        end = np.append(start[1:], len(kind))
+        real = kind[start] != _BLANK
+        start, end = start[real], end[real]
+        doc = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, "right") if texts else start
+        return low, start, end, doc
+
+    def _known(self, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Where each part stands among the known ones; unknown ones are learned first."""
+        forward, back = powers(len(low) + 1)
+        total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((low.astype(np.uint64) + np.uint64(1)) * forward[:-1])])
+        own = mixed((total[end] - total[start]) * back[start] ^ (end - start).astype(np.uint64))
+        different, at, back_to = np.unique(own, return_index=True, return_inverse=True)
+        place = np.searchsorted(self.hash, different)
+        missing = np.ones(len(different), bool)
+        inside = place < len(self.hash)
+        missing[inside] = self.hash[place[inside]] != different[inside]
+        if missing.any():
+            text = low.tobytes().decode("utf-32-le", "surrogatepass")
+            at = at[missing]
+            before = len(self.hash)
+            self._learn(different[missing], [text[a:b] for a, b in zip(start[at].tolist(), end[at].tolist())])
+            if len(self.hash) < before + missing.sum():  # others were forgotten
+                return self._known(low, start, end)
+            place = np.searchsorted(self.hash, different)
+        return place[back_to]
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
+        low, start, end, doc = self._parts(texts)
+        place = self._known(low, start, end)
+        count = self.count[place]
+        ends = np.cumsum(count)
+        ids = self.flat[np.repeat(self.start[place] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)]
+        cut = np.searchsorted(doc, np.arange(1, len(texts)))
+        return np.split(ids, np.concatenate([[0], ends])[cut])
 
     def ids(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        split = [(t or "").split() for t in texts]
-        wanted = set().union(*split)
-        if len(self.words) + len(wanted) > WORDS_KEPT:
-            self.words, self.parts = {}, {"": b""}
-        seen = self.words
-        if new := wanted.difference(seen):
-            self._learn(new)
-        for t, words in zip(texts, split):
-            odd = t and any(c in t for c in _CONTROL)
-            yield np.frombuffer(self.whole(t) if odd else b"".join([seen[w] for w in words]), self.type)
+        """The ids of every text, in order."""
+        kinds, _ = _kinds()
+        at = 0
+        while at < len(texts):
+            stop, size = at, 0
+            while stop < len(texts) and (stop == at or size + len(texts[stop] or "") < CHUNK):
+                size, stop = size + len(texts[stop] or "") + 1, stop + 1
+            some = [t or "" for t in texts[at:stop]]
+            points = np.frombuffer("\n".join([*some, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+            odd = np.concatenate([[0], np.cumsum(kinds[np.minimum(points, 0x250)] == _ODD)])
+            bounds = np.cumsum([0, *(len(t) + 1 for t in some)])
+            is_odd = [n > 0 or "<|" in t for n, t in zip(np.diff(odd[bounds]).tolist(), some)]
+            plain = iter(self._plain([t for t, o in zip(some, is_odd) if not o]))
+            for t, o in zip(some, is_odd):
+                yield self.whole(t) if o else next(plain)
+            at = stop
 
 
 @functools.lru_cache(maxsize=2)
@@ -138,12 +198,12 @@ def cut(path: str, length: int, end_id: int):
         tokens = _tokens(path)
         for batch in batches:
             ids_, texts = batch.column(0), batch.column(1)
-            for lo in range(0, batch.num_rows, 256):
-                rows, out = ids_.slice(lo, 256), []
-                for k, own in enumerate(tokens.ids(texts.slice(lo, 256).to_pylist())):
+            for lo in range(0, batch.num_rows, 4096):
+                rows, out = ids_.slice(lo, 4096), []
+                for k, own in enumerate(tokens.ids(texts.slice(lo, 4096).to_pylist())):
                     all_ids = np.append(own.astype("<u4"), np.uint32(end_id))
                     n = len(all_ids)
-                    out += [(k, s, min(length, n - s), zlib.crc32(all_ids[s : s + length].tobytes()), n)
+                    out += [(k, s, min(length, n - s), zlib.crc32(all_ids[s : s + length]), n)
                             for s in range(0, n, length)]
                 cols = np.array(out, np.int64).T
                 yield pa.RecordBatch.from_arrays([rows.take(pa.array(cols[0])), *map(pa.array, cols[1:])],

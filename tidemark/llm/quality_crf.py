@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import _powers, id_remainder, mixed, stored, text_of
+from tidemark.llm.common import powers, id_remainder, mixed, stored, text_of
 
 MAX_ROWS = 5000
 CHUNK = 1 << 20
@@ -88,7 +88,7 @@ def lines(texts: list[str]) -> Lines:
     inside = (kind & _SPACE) == 0
     step = np.diff(inside.astype(np.int8), prepend=0, append=0)
     w0, w1 = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    forward, back = _powers(len(points) + 1)
+    forward, back = powers(len(points) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum((points.astype(np.uint64) + np.uint64(1)) * forward[:-1])])
     word = mixed((total[w1] - total[w0]) * back[w0] ^ (w1 - w0).astype(np.uint64))
     line_hash = mixed((total[ends] - total[starts]) * back[starts])
