@@ -339,3 +339,34 @@ def test_backfill_in_one_pass_equals_merging_in_order(spark, seed):
     assert rows(whole, *past.columns) == rows(past, *past.columns)
     rest = history.snapshot_backfill(df.filter("day >= '2026-02-04'"), "id", "updated_at", "day", early)
     assert rows(rest, *past.columns) == rows(past, *past.columns)
+
+
+# ------------------------------------------------------------ reports by delta
+
+
+def test_report_by_deltas_equals_the_full_report(spark):
+    import random
+
+    from tidemark.operators import facts
+
+    r = random.Random(6)
+    draw = lambda k: (k, r.choice("abc"), r.choice([None, "x"]), r.randint(-2, 3))
+    table, report, keys = {}, None, ("g", "h")
+    frame = lambda rows: spark.createDataFrame(list(rows), "id int, g string, h string, v int")
+    for step in range(4):
+        new = {k: draw(k) for k in (range(30) if step == 0 else r.sample(range(40), 12))}
+        old = [table[k] for k in new if k in table]
+        delta = facts.report_delta(frame(old), frame(new.values()), keys, ["v"])
+        report = facts.apply_delta(report, delta, keys, ["v"])
+        report = spark.createDataFrame(report.collect(), report.schema)
+        table |= new
+    table = {k: row for k, row in table.items() if row[1] != "c"}
+    full = {}
+    for _, g, h, v in table.values():
+        s, n = full.get((g, h), (0, 0))
+        full[g, h] = (s + v, n + 1)
+    got = {(x.g, x.h): (x.v, x.rows) for x in report.filter("g <> 'c'").collect()}
+    assert got == full
+    undone = facts.report_delta(frame(table.values()), frame([]), keys, ["v"])
+    left = facts.apply_delta(report.filter("g <> 'c'"), undone, keys, ["v"])
+    assert left.isEmpty()  # groups without rows are gone

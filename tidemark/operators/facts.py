@@ -106,3 +106,25 @@ def load_stats(df: DataFrame, by: Sequence[str], file_col: str, cursor: str) ->
         F.count(file_col).alias("files"),
         F.max("max_cursor").alias("max_cursor"),
     )
+
+
+def report_delta(removed: DataFrame | None, added: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """What a change of fact rows adds to a grouped report: sums of the new rows less those of the
+    rows they replace, and the same for their number (``rows``). Groups that end up unchanged are left out."""
+    both = added.select(*keys, *sums, F.lit(1).alias("rows"))
+    if removed is not None:
+        both = both.unionByName(removed.select(*keys, *[(-F.col(c)).alias(c) for c in sums], F.lit(-1).alias("rows")))
+    delta = both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums], F.sum("rows").alias("rows"))
+    changed = F.col("rows") != 0
+    for c in sums:
+        changed = changed | (F.col(c) != 0)
+    return delta.filter(changed)
+
+
+def apply_delta(report: DataFrame | None, delta: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
+    """A report with a delta merged in; a group without rows is gone. The report holds sums and ``rows``."""
+    if report is not None:
+        types = {f.name: f.dataType for f in report.schema.fields}
+        delta = report.unionByName(delta.select(*keys, *[F.col(c).cast(types[c]).alias(c) for c in (*sums, "rows")]))
+        delta = delta.groupBy(*keys).agg(*[F.sum(c).cast(types[c]).alias(c) for c in (*sums, "rows")])
+    return delta.filter("rows > 0")
