@@ -117,6 +117,70 @@ def test_language_model_is_normalised(documents):
     assert model.classes.total.sum() == total and model.classes.distinct.sum() == distinct
 
 
+def test_language_model_scores_by_enumeration(spark, documents):
+    """Scores of texts, token by token: class by a plain softmax over the two classes before, word by add-one shares in its class."""
+    docs = documents.select("doc_id", "text").limit(60)
+    counts, total, distinct, model = nce_lm.fit(docs, frequent=30)
+    p, n = model.parameters, len(model.classes)
+    held = {r["word"]: r["n"] for r in counts.collect()}
+    texts = {r["doc_id"]: r["text"] for r in docs.limit(15).collect()} | {-1: "never seen words here", -2: "", -3: None}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for row in nce_lm.score(frame, counts, total, distinct, model).collect():
+        words = nce_lm.Words([texts[row["doc_id"]]], lower=True)
+        kinds = [*model.classes.of(words.hash, nce_lm.endings(words)).tolist(), 0]
+        hashes, want = [*words.hash.view(np.int64).tolist(), nce_lm.END], 0.0
+        for k, (c, h) in enumerate(zip(kinds, hashes)):
+            one, two = kinds[k - 1] if k > 0 else n, kinds[k - 2] if k > 1 else n
+            score = (p.one[one] + p.two[two]).astype(float) @ p.out.T.astype(float) + p.bias
+            want += score[c] - np.log(np.exp(score).sum())
+            if c > len(model.classes.words):
+                want += np.log((held.get(h, 0) + 1) / (model.classes.total[c] + model.classes.distinct[c] + 1))
+        assert row["score"] == pytest.approx(want / np.log(10), abs=0.01 + 1e-4 * len(kinds))
+
+
+def test_language_model_does_not_depend_on_the_number_of_tasks(spark):
+    """Held-out gain over the base with 1, 8 and 64 partitions."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    gains = []
+    for n in (1, 8, 64):
+        own = docs.repartition(n)
+        counts, total, distinct, model = nce_lm.fit(nce_lm.split_off(own))
+        held = nce_lm.score(own, counts, total, distinct, model).where("crc32(cast(doc_id as string)) % 7 = 2")
+        gains.append(held.selectExpr("(sum(score) - sum(base_score)) / sum(n_tokens)").first()[0])
+    assert min(gains) > 0.06 and max(gains) - min(gains) < 0.05 * max(gains)
+
+
+def test_contexts_stay_within_texts():
+    one, two = nce_lm.before(np.array([5, 6, 0, 0, 7, 8, 9, 0]), 99)
+    assert one.tolist() == [99, 5, 6, 99, 99, 7, 8, 9] and two.tolist() == [99, 99, 5, 99, 99, 99, 7, 8]
+
+
+def test_walk_follows_the_slopes_of_the_loss():
+    """One batch moves every touched parameter against the plain derivative of the estimation loss."""
+    r = np.random.default_rng(4)
+    n, codes = 6, np.array([3, 1, 4, 0, 2, 2, 5, 0])
+    share = np.full(n, 1 / n)
+    p = [r.normal(0, 0.3, (rows, nce_lm.WIDTH)).astype(np.float32) for rows in (n + 1, n + 1, n)] + [np.zeros((n, 1), np.float32)]
+    noise = np.minimum(np.searchsorted(np.cumsum(share), np.random.default_rng(8).random(nce_lm.NOISE)), n - 1)
+    one, two = nce_lm.before(codes, n)
+
+    def loss(q):
+        shift, context, total = np.log(nce_lm.NOISE) + np.log(share), q[0][one] + q[1][two], 0.0
+        for h, w in zip(context, codes):
+            total += np.log1p(np.exp(-(h @ q[2][w] + q[3][w, 0] - shift[w])))
+            total += np.log1p(np.exp(q[2][noise] @ h + q[3][noise, 0] - shift[noise])).sum()
+        return total / len(codes)
+
+    start = [x.astype(float) for x in p]
+    nce_lm._walk(codes, p, [np.full_like(x, 1e-6) for x in p], share, np.random.default_rng(8))
+    for k, at in ((0, (3, 2)), (1, (3, 5)), (2, (4, 1)), (2, (0, 7)), (3, (5, 0))):
+        moved = [x.copy() for x in start]
+        moved[k][at] += 1e-4
+        slope = (loss(moved) - loss(start)) / 1e-4
+        want = -nce_lm.RATE * slope / np.sqrt(1e-6 + slope * slope)
+        assert p[k][at] - start[k][at] == pytest.approx(want, abs=2e-4)
+
+
 def test_chain_marginals_by_enumeration():
     r = np.random.default_rng(2)
     doc = np.array([0, 0, 0, 0, 1, 2, 2])

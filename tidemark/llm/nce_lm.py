@@ -5,13 +5,18 @@ words and the end are classes of their own, all other words fall into classes by
 their last letters. The model predicts a token's class from the classes of the two
 tokens before it: score(w) = q_w . (r1[c1] + r2[c2]) + b_w, and a word within its
 class by its add-one frequency there, with one unknown word per class. It is trained
-in numpy against noise from the class frequencies, shared by a batch; scoring
-normalises over all classes, in matrix products over the distinct contexts of a
-batch.
+in numpy against noise from the class frequencies, shared by a batch. The normaliser
+of two classes before is a sum of products, so one matrix product gives it for all contexts:
+exp(r1 q' + b) times exp(r2 q') transposed.
 
-Every training text is counted, and trained on once: each task walks its part from
-the common start (zero-mean vectors, class log-frequencies as biases), and the
-results are averaged by tokens.
+Every training text is counted, and trained on once, in ``ROUNDS`` rounds: the texts are dealt
+into parts of about ``TASK_TOKENS`` tokens, a round takes an equal share of the parts, each part is walked from
+the round's common start, and the results, averaged by tokens, start the next round. The first
+start has zero-mean vectors and class log-frequencies as biases. So the sequence of
+updates behind the model does not depend on files, tasks or cores.
+
+The number of frequent words grows with the vocabulary, up to ``MAX_FREQUENT``: the
+normalisers of all contexts must fit a task.
 
 Defined cases: a null text is an empty one, only its end; null ids are learned from;
 with nothing to learn from all scores are 0 (N = V = 0); words are told apart by 64 bits
@@ -21,11 +26,13 @@ result; other columns are ignored.
 At scale: counts are aggregated by word over all tasks, and no task or driver ever
 holds the vocabulary. Texts are dealt once into buckets of bounded size, and each
 bucket is joined with the counts of its own words only. The driver sees the
-``frequent`` words, one row per class and the averaged parameters.
+frequent words, one row per class and the averaged parameters. For training a token is the
+two bytes of its class.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,13 +43,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import _IS_MARK, Words, id_remainder, stored, text_of
+from tidemark.session import work_dir
 
-FREQUENT = 767  # words with classes of their own, besides the end
+MAX_FREQUENT = 1791  # words with classes of their own, besides the end
+MIN_FREQUENT = 255
+WORDS_PER_CLASS = 64  # different words of the vocabulary to a frequent one
 ENDINGS = 256  # classes of all other words
 WIDTH = 16
 NOISE = 64
 BATCH = 8192
 RATE = 0.05
+ROUNDS = 6
+TASK_TOKENS = 1 << 20
 CHUNK = 1 << 21
 BUCKET_CHARS = 1 << 25
 LEAST_CHARS = 1 << 21
@@ -151,48 +163,88 @@ def contexts(words: Words, classes: np.ndarray, none: int) -> tuple[np.ndarray,
     return w, one, two
 
 
-def _train(classes: Classes, seed: int):
-    """Texts to parameter rows (row, weight, v0, ...), trained from the common start."""
+def _coded(classes: Classes):
+    """Rows (part, text) to rows (part, the classes of its tokens as two-byte numbers)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, part = b.column(1).to_pylist(), b.column(0)
+            for at, words in _chunks(texts):
+                codes = with_ends(words, classes.of(words.hash, endings(words)), 0).astype("<u2")
+                stops = np.cumsum(words.counts + 1)
+                rows = [codes[lo:hi].tobytes() for lo, hi in zip([0, *stops[:-1].tolist()], stops.tolist())]
+                yield pa.RecordBatch.from_arrays([part.slice(at, len(rows)), pa.array(rows, pa.binary())], ["part", "codes"])
+
+    return run
+
+
+def _one_part(rows: pa.Table) -> pa.Table:
+    """The texts of a part, one after another."""
+    whole = b"".join(rows.column("codes").to_pylist())
+    part = rows.column("part")[0].as_py()
+    return pa.table({"part": pa.array([part], pa.int64()), "codes": pa.array([whole], pa.binary()), "round": pa.array([part % ROUNDS], pa.int32())})
+
+
+def before(w: np.ndarray, none: int) -> tuple[np.ndarray, np.ndarray]:
+    """The class before each token and the one before that, within its text."""
+    one, two = np.full(len(w), none), np.full(len(w), none)
+    same = w[:-1] != 0
+    one[1:] = np.where(same, w[:-1], none)
+    two[2:] = np.where(same[1:] & same[:-1], w[:-2], none)
+    return one, two
+
+
+def _walk(codes: np.ndarray, p: list[np.ndarray], squares: list[np.ndarray], share: np.ndarray, rng: np.random.Generator) -> None:
+    """Updates of the parameters in place: one pass over a part, by batches, with a step size per parameter."""
+    n = len(share)
+    edges, shift = np.cumsum(share), (np.log(NOISE) + np.log(share)).astype(np.float32)
+    one_all, two_all = before(codes, n)
+    for lo in range(0, len(codes), BATCH):
+        w, one, two = (x[lo : lo + BATCH] for x in (codes, one_all, two_all))
+        noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), n - 1)
+        predicted = p[0][one] + p[1][two]
+        bias, target, other = p[3][:, 0], p[2][w], p[2][noise]
+        good = (predicted * target).sum(1) + bias[w] - shift[w]
+        bad = predicted @ other.T + bias[noise] - shift[noise]
+        pull = (1 / (1 + np.exp(np.clip(good, -30, 30)))).astype(np.float32)
+        push = (1 / (1 + np.exp(-np.clip(bad, -30, 30)))).astype(np.float32)
+        d_context = pull[:, None] * target - push @ other
+        d_out = _add_rows(pull[:, None] * predicted, w, n)
+        d_bias = np.bincount(w, weights=pull, minlength=n).astype(np.float32)
+        np.add.at(d_out, noise, -(push.T @ predicted))
+        np.add.at(d_bias, noise, -push.sum(0))
+        for x, s, g in zip(p, squares, (_add_rows(d_context, one, n + 1), _add_rows(d_context, two, n + 1), d_out, d_bias[:, None])):
+            g /= len(w)
+            s += g * g
+            x += RATE * g / np.sqrt(s)
+
+
+def _train(share: np.ndarray, start: np.ndarray, seed: int):
+    """Parts to parameter rows (row, weight, values and their squared slopes), all from the same start."""
+    n = len(share)
+    cuts = [n + 1, 2 * (n + 1), 3 * n + 2]
+
+    def parted(m: np.ndarray) -> list[np.ndarray]:
+        """Vectors before, before that, outputs and biases; a bias stands in its output's row."""
+        one, two, out, _ = np.split(m[:, :WIDTH].copy(), cuts)
+        return [one, two, out, m[cuts[1] : cuts[2], WIDTH:].copy()]
+
+    def joined(p: list[np.ndarray]) -> np.ndarray:
+        m = np.zeros((cuts[2], WIDTH + 1), np.float32)
+        m[:, :WIDTH] = np.concatenate(p[:3])
+        m[cuts[1] :, WIDTH] = p[3][:, 0]
+        return m
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        share = (classes.total + 1) / (classes.total + 1).sum()
-        log_share, n = np.log(share), len(classes)
-        p = Parameters.start(log_share)
-        rng, tokens = np.random.default_rng(seed), 0
-        edges = np.cumsum(share)
-        parts = [p.one, p.two, p.out, p.bias[:, None]]
-        squares = [np.full_like(x, 1e-6) for x in parts]
-        noise_shift = (np.log(NOISE) + log_share).astype(np.float32)
-        for texts in _texts(batches, 0):
-            for _, words in _chunks(texts):
-                w_all, one_all, two_all = contexts(words, classes.of(words.hash, endings(words)), n)
-                for lo in range(0, len(w_all), BATCH):
-                    w, one, two = (x[lo : lo + BATCH] for x in (w_all, one_all, two_all))
-                    size, tokens = len(w), tokens + len(w)
-                    noise = np.minimum(np.searchsorted(edges, rng.random(NOISE)), n - 1)
-                    predicted = p.one[one] + p.two[two]
-                    target, other = p.out[w], p.out[noise]
-                    good = (predicted * target).sum(1) + p.bias[w] - noise_shift[w]
-                    bad = predicted @ other.T + p.bias[noise] - noise_shift[noise]
-                    pull = (1 / (1 + np.exp(np.clip(good, -30, 30)))).astype(np.float32)
-                    push = (1 / (1 + np.exp(-np.clip(bad, -30, 30)))).astype(np.float32)
-                    d_context = pull[:, None] * target - push @ other
-                    d_out = _add_rows(pull[:, None] * predicted, w, n)
-                    d_bias = np.bincount(w, weights=pull, minlength=n).astype(np.float32)
-                    np.add.at(d_out, noise, -(push.T @ predicted))
-                    np.add.at(d_bias, noise, -push.sum(0))
-                    slopes = [_add_rows(d_context, one, n + 1), _add_rows(d_context, two, n + 1), d_out, d_bias[:, None]]
-                    for x, s, g in zip(parts, squares, slopes):
-                        g /= size
-                        s += g * g
-                        x += RATE * g / np.sqrt(s)
-                    p.bias = parts[3][:, 0]
-        if tokens:
-            rows = np.concatenate([p.one, p.two, np.concatenate([p.out], 0)])
-            vectors = [pa.array(rows[:, k].astype(float)) for k in range(WIDTH)]
-            bias = np.concatenate([np.zeros(2 * (n + 1)), p.bias.astype(float)])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows))), pa.array(np.full(len(rows), float(tokens))), *vectors, pa.array(bias)],
-                                             ["row", "weight", *(f"v{k}" for k in range(WIDTH)), "bias"])
+        for batch in batches:
+            for part, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                codes = np.frombuffer(raw.as_buffer(), "<u2").astype(np.int64)
+                p, squares = parted(start[:, : WIDTH + 1]), parted(start[:, WIDTH + 1 :])
+                _walk(codes, p, squares, share, np.random.default_rng([seed, part]))
+                values = np.concatenate([joined(p), joined(squares)], axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(len(values))), pa.array(np.full(len(values), float(len(codes)))), *(pa.array(c) for c in values.T)],
+                    ["row", "weight", *(f"v{k}" for k in range(values.shape[1]))])
 
     return run
 
@@ -202,26 +254,22 @@ class Model:
     classes: Classes
     parameters: Parameters
 
+    @functools.cached_property
+    def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Scores by class before and class, by class before that and class, and the log normaliser of every context."""
+        p = self.parameters
+        one, two = p.one @ p.out.T + p.bias, p.two @ p.out.T
+        top_one, top_two = one.max(1, keepdims=True), two.max(1, keepdims=True)
+        log_norm = np.log(np.exp(one - top_one) @ np.exp(two - top_two).T) + top_one + top_two.T
+        return one, two, log_norm
+
     def log10_classes(self, w: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Normalised log10 probability of each class after its context."""
-        n, p = len(self.classes), self.parameters
-        context, place = np.unique(one * (n + 1) + two, return_inverse=True)
-        order = np.argsort(place, kind="stable")
-        ends = np.cumsum(np.bincount(place, minlength=len(context)))
-        out = np.empty(len(w))
-        step = 4096
-        for lo in range(0, len(context), step):
-            some = context[lo : lo + step]
-            score = (p.one[some // (n + 1)] + p.two[some % (n + 1)]) @ p.out.T + p.bias
-            score -= score.max(1, keepdims=True)
-            norm = np.log(np.exp(score).sum(1))
-            at = order[ends[lo - 1] if lo else 0 : ends[min(lo + step, len(context)) - 1]]
-            own = place[at] - lo
-            out[at] = score[own, w[at]] - norm[own]
-        return out / np.log(10)
-
-
-def fit(train: DataFrame, *, text: str = "text", frequent: int = FREQUENT) -> tuple[DataFrame, int, int, Model | None]:
+        by_one, by_two, log_norm = self.tables
+        return (by_one[one, w].astype(float) + by_two[two, w] - log_norm[one, two]) / np.log(10)
+
+
+def fit(train: DataFrame, *, text: str = "text", frequent: int | None = None) -> tuple[DataFrame, int, int, Model | None]:
     """Word counts (word, ending, n) of the rows given, N, V, and the model."""
     rows = train.select(text_of(text).alias("text"))
     counts = stored(rows.mapInArrow(_count, "word long, ending int, n long").groupBy("word").agg(
@@ -229,6 +277,8 @@ def fit(train: DataFrame, *, text: str = "text", frequent: int = FREQUENT) -> tu
     total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     if not total:
         return counts, 0, 0, None
+    if frequent is None:
+        frequent = min(max(int(distinct) // WORDS_PER_CLASS, MIN_FREQUENT), MAX_FREQUENT)
     top = counts.where(F.col("word") != END).orderBy(F.desc("n"), "word").limit(frequent).collect()
     words = np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
     n_classes = len(words) + 1 + ENDINGS
@@ -244,12 +294,35 @@ def fit(train: DataFrame, *, text: str = "text", frequent: int = FREQUENT) -> tu
         totals[at] = r["n"] - sum(t["n"] for t, x in zip(top, top_ending) if x == e)
         kinds[at] = r["kinds"] - int((top_ending == e).sum())
     totals[0] = counts.where(F.col("word") == END).agg(F.sum("n")).first()[0]
-    sums = [F.sum(F.col(c) * F.col("weight")) / F.sum("weight") for c in [*(f"v{k}" for k in range(WIDTH)), "bias"]]
-    schema = "row long, weight double, " + ", ".join(f"v{k} double" for k in range(WIDTH)) + ", bias double"
-    found = rows.mapInArrow(_train(shared, 7), schema).groupBy("row").agg(*[s.alias(f"m{k}") for k, s in enumerate(sums)]).orderBy("row").toArrow()
-    m = np.stack([found.column(f"m{k}").to_numpy() for k in range(WIDTH + 1)], 1).astype(np.float32)
-    a, b = n_classes + 1, 2 * (n_classes + 1)
-    return counts, int(total), int(distinct), Model(shared, Parameters(m[:a, :WIDTH], m[a:b, :WIDTH], m[b:, :WIDTH], m[b:, WIDTH]))
+    return counts, int(total), int(distinct), Model(shared, _rounds(rows, shared, int(total)))
+
+
+def _rounds(rows: DataFrame, classes: Classes, total: int, seed: int = 7) -> Parameters:
+    """Parameters after all rounds."""
+    n = len(classes)
+    share = (classes.total + 1) / (classes.total + 1).sum()
+    p = Parameters.start(np.log(share))
+    start = np.full((3 * n + 2, 2 * (WIDTH + 1)), 1e-6, np.float32)
+    start[:, : WIDTH + 1] = 0
+    start[:, :WIDTH] = np.concatenate([p.one, p.two, p.out])
+    start[2 * (n + 1) :, WIDTH] = p.bias
+    parts = ROUNDS * max(1, round(total / (ROUNDS * TASK_TOKENS)))
+    # the row's number deals copies of a row as well
+    dealt = rows.withColumn("id", F.monotonically_increasing_id()).select(F.pmod(F.xxhash64("text", "id"), F.lit(parts)).alias("part"), "text")
+    path = work_dir(rows.sparkSession, "coded")
+    dealt.mapInArrow(_coded(classes), "part long, codes binary").groupBy("part").applyInArrow(
+        _one_part, "part long, codes binary, round int").write.partitionBy("round").parquet(path)
+    coded = rows.sparkSession.read.schema("part long, codes binary, round int").parquet(path)
+    names = [f"v{k}" for k in range(2 * (WIDTH + 1))]
+    schema = "row long, weight double, " + ", ".join(f"{c} float" for c in names)
+    means = [(F.sum(F.col(c) * F.col("weight")) / F.sum("weight")).cast("float").alias(c) for c in names]
+    for k in range(ROUNDS):
+        own = coded.where(F.col("round") == k).select("part", "codes")
+        found = own.mapInArrow(_train(share, start, seed), schema).groupBy("row").agg(*means).orderBy("row").toArrow()
+        if found.num_rows:
+            start = np.stack([found.column(c).to_numpy() for c in names], 1)
+    a, b = n + 1, 2 * (n + 1)
+    return Parameters(start[:a, :WIDTH], start[a:b, :WIDTH], start[b:, :WIDTH], start[b:, WIDTH])
 
 
 def _own_words(frequent: np.ndarray):
