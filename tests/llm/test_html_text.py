@@ -29,6 +29,46 @@ def test_pages(page, want):
     assert got == want if want is not None else isinstance(got, str)
 
 
+LONG = "A paragraph of the article that goes on for a while, with words enough to be read and hardly a link. " * 3
+ARTICLE = f"<h1>Title</h1><p>{LONG}</p><p>Yes.</p><p>{LONG}</p>"
+WANT = "\n\n".join(["Title", LONG.strip(), "Yes.", LONG.strip()])
+MENU = "<div class='menu'><ul>" + "<li><a href='/x'>Go there</a></li>" * 5 + "</ul></div>"
+FOOT = "<footer><p>© 2024 <a href='/l'>Legal</a></p></footer>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<div class='content has-sidebar'>{ARTICLE}</div>",
+    f"<article class='post no-comments'>{ARTICLE}</article>",
+    f"<article class='post tag-news tags-x'>{ARTICLE}</article>",
+    f"<form action='/page.aspx'><input type=hidden><div id='main'>{ARTICLE}</div></form>",
+    f"<main><div class='legal-notice-analysis'>{ARTICLE}</div></main>",
+    f"<div class='page with-sidebar'><div class='sidebar'><p>{LONG}</p></div><article>{ARTICLE}</article></div>",
+    f"<div id='search-results-page'><div class='wrapper'>{ARTICLE}</div></div>",
+    f"<body class='single sidebar'><div class='layout no-menu'><main class='post'>{ARTICLE}<div class='post-comments'><p>{LONG}</p></div></main></div></body>",
+    f"<article>{ARTICLE}<form><label>Name</label><input><label>Comment</label><textarea></textarea><p>Your mail stays with us.</p><button>Send</button></form></article>",
+    f"<article>{ARTICLE}<section id='comment-list'><p>{LONG}</p></section><div class='related-posts'><article><p>{LONG}</p></article></div></article>",
+])
+def test_names_and_forms_around_an_article(page):
+    assert html_text.main_text(f"<body>{MENU}{page}{FOOT}</body>", TREE) == WANT
+
+
+def test_formulas_are_text():
+    page = "<article><p>So <math><mi>a</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>"
+    assert html_text.main_text(page, TREE) == "So a=2 holds."
+
+
+def test_densities_decide_without_names():
+    """A page of plain div elements; and the tree asks for link density."""
+    links = "<div>" + " ".join(f"<a href='/{k}'>News item number {k}</a>" for k in range(9)) + "</div>"
+    page = f"{links}<div>{LONG}</div><div>{LONG} <a href='/x'>more</a></div>{links}"
+    assert html_text.main_text(page, TREE) == f"{LONG.strip()}\n\n{LONG.strip()} more"
+
+    def asked(tree):
+        return set() if tree.feature < 0 else {html_text.FEATURES[tree.feature]} | asked(tree.low) | asked(tree.high)
+
+    assert "link density" in asked(TREE) and len(asked(TREE) & {"words before", "words after", "words", "link density before", "link density after"}) > 0
+
+
 def test_tree_learns_its_table():
     x, y = html_text.labelled()
     assert (TREE.predict(x) == y).all()

@@ -4,7 +4,13 @@ A page becomes a flat list of text blocks, cut at block tags. Each has its word
 count and link density, those of the blocks before and after it, and what its
 enclosing elements say (main content, page furniture, tell-tale class names). A
 decision tree, grown from a small labelled table of pages, tells article blocks
-from the rest.
+from the rest; outside main content and furniture, link densities and word counts decide.
+
+A class, id or role tells furniture by its first or last word (``reader-comments``, ``ad-slot``),
+unless it begins with a denial or says what a container has (``no-comments``, ``has-sidebar``); words
+with other everyday meanings count alone only. A main element ends what names around it said, and an
+article element named as content is not furniture by its other classes. A form is furniture if it
+has few words for its fields; a form around a whole page is not.
 
 Defined cases: a null html is an empty one; a page without article blocks has the
 empty text; unclosed elements end with their container or the page, and unclosed
@@ -33,7 +39,7 @@ BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option optgroup p pre "
     "section select summary table tbody td tfoot th thead title tr ul".split())
-RAW_TAGS = frozenset("script style noscript template iframe object svg canvas math textarea noframes audio video head".split())
+RAW_TAGS = frozenset("script style noscript template iframe object svg canvas textarea noframes audio video head".split())
 CLOSED_BY_NEXT = {
     "p": frozenset({"p"}), "li": frozenset({"li", "p"}), "dt": frozenset({"dt", "dd", "p"}), "dd": frozenset({"dt", "dd", "p"}),
     "tr": frozenset({"tr", "td", "th", "p"}), "td": frozenset({"td", "th", "p"}), "th": frozenset({"td", "th", "p"}), "option": frozenset({"option"}),
@@ -41,7 +47,10 @@ CLOSED_BY_NEXT = {
 VOID_TAGS = frozenset({"hr"})
 SPACE_TAGS = frozenset({"br", "wbr", "img", "input"})
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-FURNITURE_TAGS = frozenset("nav footer aside form menu button select dialog fieldset label".split())
+FURNITURE_TAGS = frozenset("nav footer aside menu button select dialog label".split())
+FORM_TAGS = frozenset({"form", "fieldset"})
+FIELD_TAGS = frozenset("input select textarea button".split())
+WORDS_PER_FIELD = 30
 # Words of class, id and role attributes that name what an element holds.
 FURNITURE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
@@ -49,6 +58,9 @@ FURNITURE_WORDS = frozenset(
     "recommendations share sharing social comment comments reply replies respond disqus discussion nav navbar navigation menu "
     "breadcrumb breadcrumbs footer copyright legal login search searchbox pagination pager tags tagcloud hidden toolbar masthead "
     "topbar contentinfo complementary dialog form".split())
+# those that name other things too, or stand before them: counted as a whole name only
+ALONE_WORDS = frozenset("side tags alert legal form search hidden".split())
+DENIALS = frozenset("has no not non with without is".split())
 MAIN_WORDS = frozenset("article content main post entry story body text maincontent articlebody".split())
 
 _MARKUP = re.compile(
@@ -68,23 +80,47 @@ class Block:
     main: bool
 
 
-def _names(attrs: str) -> tuple[set[str], bool]:
-    """Words of class, id and role; whether the element is hidden."""
-    names, hidden = set(), False
+def _names(attrs: str) -> tuple[bool, bool, bool]:
+    """Whether class, id and role name furniture; main content; whether the element is hidden."""
+    furniture = main = hidden = False
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and re.search(r"display\s*:\s*none", value)):
             hidden = True
         elif key in ("class", "id", "role"):
-            names.update(w.lower() for w in _NAME.findall(value))
-    return names, hidden
+            for name in value.split():
+                f, c = _means([w.lower() for w in _NAME.findall(name)])
+                furniture, main = furniture or f, main or c
+    return furniture, main, hidden
+
+
+def _means(words: list[str]) -> tuple[bool, bool]:
+    """Whether a name tells furniture; main content."""
+    if not words or words[0] in DENIALS:
+        return False, False
+    ends = {words[0], words[-1]} if len(words) > 1 else set()
+    return words == [words[0]] and words[0] in FURNITURE_WORDS or bool(ends & (FURNITURE_WORDS - ALONE_WORDS)), any(w in MAIN_WORDS for w in words)
+
+
+def _inherit(tag: str, said: tuple[bool, bool, bool], furniture: bool, named: bool, main: bool) -> tuple[bool, bool, bool]:
+    """Flags of an element (in furniture, named so, in main content) from its own names and those around it."""
+    called, content, hidden = said
+    if tag in ("article", "main") and content:
+        called = False
+    if tag == "main" and not furniture:
+        named = False
+    main = main or tag in ("article", "main") or content
+    furniture = furniture or tag in FURNITURE_TAGS or (tag == "header" and not main)
+    return furniture, named or hidden or (called and tag not in ("body", "html", "main")), main
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, white space folded, references decoded."""
-    # open elements: tag, in furniture, named like furniture, in main content
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    # open elements: tag, in furniture, named like furniture, in main content, number of the form around
+    stack: list[tuple[str, bool, bool, bool, int]] = [("", False, False, False, 0)]
+    forms = [[0, 0]]  # per form: fields, words
     out: list[Block] = []
+    form_of: list[int] = []
     parts: list[tuple[str, bool]] = []
     link_from = 0  # stack depth at which a link was opened, 0: none
 
@@ -94,7 +130,9 @@ def blocks(page: str) -> list[Block]:
         text = " ".join(entities.unescape("".join(t for t, _ in parts)).split())
         if text:
             linked = sum(len(entities.unescape(t).split()) for t, inside in parts if inside)
-            tag, furniture, named, main = stack[-1]
+            tag, furniture, named, main, form = stack[-1]
+            form_of.append(form)
+            forms[form][1] += len(text.split(" "))
             out.append(Block(text, len(text.split(" ")), linked, tag, furniture, named, main))
         parts.clear()
 
@@ -115,6 +153,8 @@ def blocks(page: str) -> list[Block]:
         if m["tag"] is None:
             continue
         tag, end = m["tag"].lower(), bool(m["end"])
+        if tag in FIELD_TAGS and not end:
+            forms[stack[-1][4]][0] += 1
         if tag in RAW_TAGS:
             if not end and not m["attrs"].endswith("/"):
                 stop = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
@@ -142,15 +182,22 @@ def blocks(page: str) -> list[Block]:
                     if depth:
                         del stack[depth:]
                 if tag not in VOID_TAGS:
-                    _, furniture, named, main = stack[-1]
-                    names, hidden = _names(m["attrs"]) if m["attrs"] else ((), False)
-                    main = main or tag in ("article", "main") or any(w in MAIN_WORDS for w in names)
-                    furniture = furniture or tag in FURNITURE_TAGS or (tag == "header" and not main)
-                    named = named or hidden or (tag not in ("body", "html") and any(w in FURNITURE_WORDS for w in names))
-                    stack.append((tag, furniture, named, main))
+                    _, *flags, form = stack[-1]
+                    if tag in FORM_TAGS and not form:
+                        form = len(forms)
+                        forms.append([0, 0])
+                    elif tag in ("article", "main"):
+                        form = 0
+                    said = _names(m["attrs"]) if m["attrs"] else (False, False, False)
+                    if tag in FORM_TAGS:  # a form's name says no more than that it is one
+                        said = (False, *said[1:])
+                    stack.append((tag, *_inherit(tag, said, *flags), form))
             if link_from > len(stack):
                 link_from = 0
     flush()
+    for block, form in zip(out, form_of):
+        fields, words = forms[form]
+        block.furniture = block.furniture or (form > 0 and words < WORDS_PER_FIELD * (fields + 1))
     return out
 
 
@@ -183,6 +230,18 @@ LABELLED: list[list[tuple[str, int, int, int]]] = [
      ("div.related h3", 2, 0, 0), ("div.related ul li", 6, 6, 0), ("footer div", 3, 0, 0), ("footer ul li", 1, 1, 0)],
     [("div h2", 2, 0, 0), ("div ul li", 3, 3, 0), ("div ul li", 4, 4, 0), ("div ul li", 2, 2, 0), ("div p", 3, 0, 0), ("div ul li", 5, 5, 0)],
     [("body", 40, 0, 1), ("body", 95, 2, 1), ("p", 20, 0, 1), ("p", 60, 0, 1)],
+    [("div ul li", 2, 2, 0), ("div ul li", 3, 3, 0), ("div h1", 1, 0, 1), ("div p", 58, 0, 1), ("div p", 1, 0, 1), ("div p", 66, 1, 1), ("div p", 3, 0, 1),
+     ("div p", 72, 2, 1), ("div p", 2, 0, 1), ("div p", 50, 0, 1), ("div", 3, 3, 0), ("div", 4, 1, 0)],
+    [("nav ul li", 1, 1, 0), ("article p", 2, 0, 1)], [("ul li", 3, 3, 0), ("main p", 9, 0, 1)], [("nav p", 4, 4, 0), ("article h1", 4, 0, 1), ("article p", 30, 1, 1)],
+    [("article p", 4, 0, 1)], [("main p", 3, 0, 1), ("main aside p", 1, 0, 0), ("main p", 5, 0, 1)], [("article p", 1, 0, 1), ("div.cookie p", 3, 0, 0)],
+    [("article p", 2, 0, 1), ("article p", 2, 0, 1)], [("div", 3, 0, 0), ("div ul li", 2, 2, 0), ("article p", 5, 0, 1), ("div", 3, 0, 0)],
+    # nothing but densities tells the parts of these
+    [("div", 14, 14, 0), ("div", 12, 11, 0), ("div p", 31, 30, 0), ("div p", 36, 2, 1), ("div p", 85, 7, 1), ("div p", 40, 1, 1), ("div p", 42, 40, 0),
+     ("div", 18, 17, 0), ("div p", 60, 55, 0)],
+    [("td", 22, 22, 0), ("td", 35, 31, 0), ("td", 52, 3, 1), ("td", 110, 9, 1), ("td", 38, 0, 1), ("td", 24, 24, 0), ("td", 48, 44, 0)],
+    [("section p", 26, 24, 0), ("section p", 33, 33, 0), ("section h2", 6, 0, 1), ("section p", 34, 4, 1), ("section p", 27, 0, 1), ("section p", 70, 2, 1),
+     ("section p", 29, 27, 0), ("section p", 65, 61, 0)],
+    [("div.content-has p", 50, 2, 1), ("main.content p", 45, 0, 1), ("main.content p", 2, 0, 1), ("main.content p", 9, 9, 1), ("main.content div.comments p", 95, 0, 0)],
     [("div.newsletter p", 30, 0, 0), ("form label", 3, 0, 0), ("div.banner", 12, 2, 0), ("main h1", 10, 0, 1), ("main p", 4, 4, 1), ("main p", 200, 10, 1),
      ("main div.related p", 24, 0, 0), ("main nav ul li", 2, 2, 0), ("footer", 20, 0, 0)],
 ]
@@ -196,9 +255,8 @@ def labelled() -> tuple[np.ndarray, np.ndarray]:
             tag, furniture, named, main = "", False, False, False
             for element in path.split():
                 tag, _, name = element.partition(".")
-                main = main or tag in ("article", "main") or name in MAIN_WORDS
-                furniture = furniture or tag in FURNITURE_TAGS or (tag == "header" and not main)
-                named = named or name in FURNITURE_WORDS
+                furniture, named, main = _inherit(tag, (*_means(name.split("-") if name else []), False), furniture, named, main)
+                furniture = furniture or tag in FORM_TAGS
             rows.append(Block("", words, linked, tag, furniture, named, main))
             ys.append(label)
         xs.append(features(rows))
@@ -223,7 +281,7 @@ class Tree:
         return out
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 6, least: int = 2) -> Tree:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = 9, least: int = 1) -> Tree:
     """Gini splits; flags, being the last features, win ties for their generality."""
     label = int(2 * y.sum() >= len(y))
     if not depth or len(set(y.tolist())) < 2 or len(y) < 2 * least:
