@@ -19,7 +19,7 @@ from tidemark.session import work_dir
 from tidemark.sources import landing, tables
 from tidemark.sources.tables import ControlStore, KeyedTable
 from tidemark.spec import CLAIMS
-from tidemark.streaming.ingest import dedup_stream, ingest, read_deduplicated, upsert_stream
+from tidemark.streaming.ingest import dedup_stream, ingest, ingest_days, read_deduplicated, upsert_stream
 
 _EVENT_FIELDS = {"event_id": ("event_id", "bigint"), "user_id": ("user_id", "bigint"),
                  "event_type": ("event_type", "string"), "value": ("value", "double"),
@@ -74,13 +74,23 @@ def src04_path_columns(t: Lake):
                                              "none": ("nothing", "string")})
 
 
-@query("src05_lineage", "files_are_parts:b every_row_has_file:b row_count:l",
-       "SELECT true AS files_are_parts, true AS every_row_has_file, count(*) AS row_count FROM events")
+def _lake_by_day(t: Lake) -> str:
+    """Events in a folder for each day and run."""
+    root = work_dir(t.spark, "lake")
+    days = t.events.withColumn("dt", F.to_date("ts")).withColumn("run", F.concat(F.lit("run-"), F.date_format("ts", "yyyyMMdd")))
+    days.hint("rebalance", "dt", "run").write.partitionBy("dt", "run").option("compression", "gzip").json(root)
+    return root
+
+
+@query("src05_lineage", "business_date:D run_id:s files_are_parts:b first_event:l row_count:l",
+       """SELECT CAST(ts AS DATE) AS business_date, 'run-' || strftime(ts, '%Y%m%d') AS run_id, true AS files_are_parts,
+          min(event_id) AS first_event, count(*) AS row_count FROM events GROUP BY 1, 2""")
 def src05_lineage(t: Lake):
-    rows = landing.read_landing(t.spark, _lake_of_events(t) + "/events")
-    return rows.agg(F.bool_and(F.col("source_file").rlike(landing.NDJSON_PARTS)).alias("files_are_parts"),
-                    F.bool_and(F.col("source_file").isNotNull()).alias("every_row_has_file"),
-                    F.count(F.lit(1)).alias("row_count"))
+    """Every row knows the day, run and file it came from."""
+    rows = landing.read_landing(t.spark, _lake_by_day(t))
+    return rows.groupBy("business_date", "run_id").agg(
+        F.bool_and(F.col("source_file").rlike(landing.NDJSON_PARTS)).alias("files_are_parts"),
+        F.min(F.variant_get("record", "$.event_id", "bigint")).alias("first_event"), F.count(F.lit(1)).alias("row_count"))
 
 
 @query("src06_row_in_file", "day:s event_id:l file_row:l",
@@ -96,12 +106,16 @@ def src06_row_in_file(t: Lake):
                         F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id"), "file_row")
 
 
-@query("src07_load_time", "one_load_time:b row_count:l",
-       "SELECT true AS one_load_time, count(*) AS row_count FROM events")
+@query("src07_load_time", "business_date:D load_times:l row_count:l",
+       "SELECT CAST(ts AS DATE) AS business_date, 1 AS load_times, count(*) AS row_count FROM events GROUP BY 1")
 def src07_load_time(t: Lake):
-    rows = landing.read_landing(t.spark, _lake_of_events(t) + "/events")
-    return rows.agg((F.min("loaded_at") == F.max("loaded_at")).alias("one_load_time"),
-                    F.count(F.lit(1)).alias("row_count"))
+    """One load has one time, whatever the day and file of a row."""
+    rows = landing.read_landing(t.spark, _lake_by_day(t))
+    whole = tables.stored(t.spark, rows)
+    newest = whole.agg(F.max("loaded_at").alias("at"))
+    return whole.groupBy("business_date").agg(
+        F.count_distinct(F.when(F.col("loaded_at") == newest.scalar(), F.col("loaded_at"))).alias("load_times"),
+        F.count_if(F.col("loaded_at") == newest.scalar()).alias("row_count"))
 
 
 @query("src08_inline_values", "o_orderkey:l label:s",
@@ -567,6 +581,18 @@ def str03_once_per_file(t: Lake):
     return typed(_streamed(t, "ndjson", _lake_of_events(t) + "/events", again=2), _EVENT_FIELDS)
 
 
+@query("str03_open_days", _EVENT, "SELECT * FROM events")
+def str03_open_days(t: Lake):
+    """Day folders as streams: all days, then files that come late for the open ones; closed days are not listed again."""
+    root, table, checkpoint = work_dir(t.spark, "lake"), work_dir(t.spark, "landing"), work_dir(t.spark, "checkpoint")
+    late = (F.to_date("ts") >= F.lit("2024-01-25").cast("date")) & (F.col("event_id") % 2 == 0)
+    days = [r.day for r in t.events.select(F.date_format("ts", "yyyy-MM-dd").alias("day")).distinct().orderBy("day").collect()]  # of a month
+    for part, opened in ((~late, days), (late, [d for d in days if d >= "2024-01-25"])):
+        t.events.filter(part).withColumn("dt", F.to_date("ts")).hint("rebalance", "dt").write.mode("append").partitionBy("dt").option("timestampNTZFormat", landing.ISO_MICROS).json(root)
+        ingest_days(t.spark, root, table, checkpoint, opened)
+    return typed(t.spark.read.parquet(table), _EVENT_FIELDS)
+
+
 @query("str04_high_watermark", "entity:s high_watermark:t", "SELECT * FROM watermarks", "watermarks")
 def str04_high_watermark(t: Lake):
     """Runs that see more and more of the feed move the watermark to its end."""
@@ -661,11 +687,7 @@ def str09_gap_catch_up(t: Lake):
        """SELECT 'run-' || strftime(ts, '%Y%m%d') AS run_id, count(*) AS row_count FROM events GROUP BY 1""")
 def str10_backlog(t: Lake):
     """Files that landed before the stream existed are loaded by its first start."""
-    root = work_dir(t.spark, "lake")
-    days = t.events.withColumn("dt", F.to_date("ts")).withColumn(
-        "run", F.concat(F.lit("run-"), F.date_format("ts", "yyyyMMdd")))
-    (days.hint("rebalance", "dt", "run").write.partitionBy("dt", "run").option("compression", "gzip").json(root))
-    return _streamed(t, "ndjson", root).groupBy("run_id").agg(F.count(F.lit(1)).alias("row_count"))
+    return _streamed(t, "ndjson", _lake_by_day(t)).groupBy("run_id").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 @query("dq14_reconcile_manifest", "entity:s expected_rows:l loaded_rows:l status:s files_agree:b",
