@@ -82,3 +82,35 @@ def test_whole_copies_meet_the_target_at_every_block_size(spark, monkeypatch):
             (x["doc_id"] or -1, x["size"], x["copies"]) for x in again)
         whole = {x["source"]: x["n"] for x in mixing.repeated(docs, mixture).groupBy("source").count().withColumnRenamed("count", "n").collect()}
         assert whole == {n: sum(x["copies"] for x in found if x["source"] == n) for n in "abc"}
+
+
+def test_null_ids_are_dealt_over_shards(spark):
+    """Ten thousand texts without an id: no shard has much more than its share."""
+    docs = make_docs(spark, [(None, "w " * (1 + k % 40) + str(k), "en", "s") for k in range(10_000)])
+    mixed = mixing.mix(docs)
+    assert mixed.count() == 10_000 and mixed.where("taken > 2 * size").isEmpty()
+    total = mixed.agg({"taken": "sum"}).first()[0]
+    assert total == pytest.approx(mixed.first()["target"], rel=0.01)
+    dealt = docs.selectExpr("pmod(xxhash64(xxhash64(doc_id, coalesce(text, '')), 20240229), 8) AS shard").groupBy("shard").count()
+    assert {r["shard"] for r in dealt.collect()} == set(range(8)) and dealt.agg({"count": "max"}).first()[0] < 1500
+
+
+def test_taken_block_by_block(spark):
+    """One source, one shard: blocks laid over the documents in their order, each taken as often as the quota says."""
+    docs = make_docs(spark, [(k, "w " * (1 + (k * 37) % 90), "en", "s") for k in range(120)])
+    mixture = mixing.Mixture(share=0.7)
+    rows = mixing.mix(docs, mixture, block=16).collect()
+    total = sum(r["size"] for r in rows)
+    assert total < mixing.BLOCKS_PER_SHARD * 16 * 1.5  # one shard
+    order = docs.selectExpr("doc_id", "xxhash64(xxhash64(doc_id, text), 20240230) AS at", "xxhash64(doc_id, text) AS key").orderBy("at", "key").collect()
+    size = {r["doc_id"]: r["size"] for r in rows}
+    words = [r["doc_id"] for r in order for _ in range(size[r["doc_id"]])]
+    n = round(total / 16)
+    quota = round(0.7 * total * n / total)
+    stride, shift = mixing._stride(n, mixture.seed), (mixture.seed * 31) % n
+    taken = dict.fromkeys(size, 0)
+    for j in range(n):
+        times = quota // n + ((j * stride + shift) % n < quota % n)
+        for x in words[j * total // n : (j + 1) * total // n]:
+            taken[x] += times
+    assert {r["doc_id"]: r["taken"] for r in rows} == taken

@@ -23,8 +23,9 @@ are ignored, whatever their names.
 At scale: one pass over the texts yields (id, source, size); all that follows
 moves those small rows. The driver sees one row per source (a mixture names its
 sources) and at most MAX_SHARDS + sources shard sizes; for whole copies one sum for
-each shard and size class (four to a doubling). Shards have similar sizes
-however hot their source is, so no window is larger than total / MAX_SHARDS.
+each shard and size class (four to a doubling). Rows are dealt into shards by id and text, so shards
+have similar sizes however hot their source is, also where ids are null or repeat: a window is about total / MAX_SHARDS,
+or one row's copies in every column.
 """
 
 from __future__ import annotations
@@ -43,8 +44,8 @@ from tidemark.llm.common import stored, text_of, word_count
 
 WEIGHTS = (5, 2, 1)
 MAX_SHARDS = 4096
-BLOCKS_PER_SHARD = 256
-MAX_BLOCK = 1024
+BLOCKS_PER_SHARD = 1024
+BLOCK_WORDS = 16  # words of a block, at any size of the input
 
 
 @dataclass(frozen=True)
@@ -118,7 +119,7 @@ def _stride(n: int, seed: int) -> int:
 
 
 def mix(docs: DataFrame, mixture: Mixture = Mixture(), *, id: str = "doc_id", text: str = "text",
-        source: str = "source", carry: bool = False, whole: bool = True) -> DataFrame:
+        source: str = "source", carry: bool = False, whole: bool = True, block: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, size, source_size, target, taken, copies per document.
 
     ``copies`` is for users who repeat whole documents: taken / size, rounded down or up
@@ -127,8 +128,8 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture(), *, id: str = "doc_id", te
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id).alias("doc_id"), F.col(source).cast("string").alias("src"),
-                       word_count(text_of(text)).alias("size"), *([F.struct("*").alias("row")] if carry else []))
-    light = stored(base.select("doc_id", "src", "size"), "mix-sizes")
+                       word_count(text_of(text)).alias("size"), F.xxhash64(F.col(id), text_of(text)).alias("key"), *([F.struct("*").alias("row")] if carry else []))
+    light = stored(base.select("doc_id", "src", "size", "key"), "mix-sizes")
     if not carry:
         base = light
     found = {r["src"]: int(r["n"]) for r in light.groupBy("src").agg(F.sum("size").alias("n")).collect()}
@@ -137,7 +138,6 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture(), *, id: str = "doc_id", te
     weights = [mixture.weights[i % len(mixture.weights)] for i in range(len(names))]
     targets = source_targets(sizes, weights, mixture.share, mixture.max_repeats)
     total = sum(sizes)
-    block = max(1, min(MAX_BLOCK, total // (MAX_SHARDS * 64)))
     per_shard = max(BLOCKS_PER_SHARD * block, -(-total // MAX_SHARDS))
     shards = [max(1, round(s / per_shard)) for s in sizes]
     plan = spark.createDataFrame(
@@ -145,19 +145,22 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture(), *, id: str = "doc_id", te
         "src_no int, src_name string, source_size long, n_shards long, target double")
 
     def dealt(df: DataFrame) -> DataFrame:
-        # one row per source on the right: the mixture's own table
-        return df.join(F.broadcast(plan), F.col("src").eqNullSafe(F.col("src_name"))).withColumn(
-            "shard", F.pmod(F.xxhash64("doc_id", F.lit(mixture.seed)), F.col("n_shards")))
+        # one row per source on the right; id and text deal the rows, so that one id for many texts is no hot shard
+        return df.join(plan, F.col("src").eqNullSafe(F.col("src_name"))).withColumn(
+            "shard", F.pmod(F.xxhash64("key", F.lit(mixture.seed)), F.col("n_shards")))
 
     found_shards = dealt(light).groupBy("src_no", "shard").agg(F.sum("size").alias("n")).collect()
     cells = sorted((r["src_no"], r["shard"], int(r["n"])) for r in found_shards)
     blocks = {(i, k): max(1, round(n / block)) if n else 0 for i, k, n in cells}
-    in_source = [sum(v for (i, _), v in blocks.items() if i == j) for j in range(len(names))]
+    in_source = [0] * len(names)
+    for (i, _), v in blocks.items():
+        in_source[i] += v
     own = [t * n / s if s else 0.0 for t, n, s in zip(targets, in_source, sizes)]
     seats = apportion(own, round(sum(own)), [mixture.max_repeats * n for n in in_source])
     quotas = []
+    bounds = np.searchsorted(np.array([i for i, _, _ in cells], np.int64), np.arange(len(names) + 1)) if cells else np.zeros(len(names) + 1, int)
     for j in range(len(names)):
-        mine = [c for c in cells if c[0] == j]
+        mine = cells[bounds[j] : bounds[j + 1]]
         counts = [blocks[j, k] for _, k, _ in mine]
         for (_, k, n), m, q in zip(mine, counts, apportion(counts, int(seats[j]), [mixture.max_repeats * c for c in counts])):
             quotas.append((j, k, n, m, int(q), _stride(m, mixture.seed + j) if m else 1, (mixture.seed * 31 + j * 17 + k) % max(m, 1)))
@@ -165,7 +168,7 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture(), *, id: str = "doc_id", te
         quotas, "q_src int, q_shard long, shard_size long, n_blocks long, quota long, stride long, shift long")
 
     order = Window.partitionBy("src_no", "shard").orderBy(
-        F.xxhash64("doc_id", F.lit(mixture.seed + 1)), "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+        F.xxhash64("key", F.lit(mixture.seed + 1)), "key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
 
     def taken(df: DataFrame) -> DataFrame:
         placed = dealt(df).withColumn("lo", F.coalesce(F.sum("size").over(order), F.lit(0)))
@@ -197,7 +200,7 @@ def _with_copies(mixed: DataFrame, light: DataFrame, seed: int) -> DataFrame:
     starts = mixed.sparkSession.createDataFrame(
         pa.table({"s_src": src, "s_class": size_class, "s_shard": shard, "start": start}))
     order = Window.partitionBy("src_no", "shard", "size_class").orderBy(
-        F.xxhash64("doc_id", F.lit(seed + 2)), "doc_id", "size", "taken").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        F.xxhash64("key", F.lit(seed + 2)), "key", "doc_id", "size", "taken").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # at most one row per shard and size class on the right
     placed = split(mixed).join(F.broadcast(starts), (F.col("src_no") == F.col("s_src")) & (F.col("size_class") == F.col("s_class"))
                                & (F.col("shard") == F.col("s_shard")), "left")
