@@ -252,3 +252,36 @@ def test_marks_beyond_the_first_scripts_are_no_letters(spark):
     for k in range(len(MARKS)):
         assert (found[100 + k]["lang_pred"], found[100 + k]["score"], found[100 + k]["accepted"]) == ("und", 0.0, False)
     assert [found[k]["lang_pred"] for k in (200, 201, 202)] == ["zh", "ja", "ko"]
+
+
+def test_samples_take_copies_one_by_one(spark):
+    """A language whose texts are one text: a sample of it is neither empty nor all of it."""
+    rows = [(k, prose(1, 60), "aa", "s") for k in range(400)] + [(k, prose(k, 60), "bb", "s") for k in range(400, 480)]
+    model = langid.fit(make_docs(spark, rows), max_texts=60)
+    assert model.languages == ["aa", "bb"] and np.isfinite(model.mean).all()
+    held = {r["lang_pred"] for r in langid.predict(make_docs(spark, rows[:3]), model).collect()}
+    assert held == {"aa"}
+
+
+def test_ratios_and_counts_by_hand(spark):
+    """Every feature's weight starts from the log ratio of its add-one shares; scores are the logistic of their sum."""
+    texts = {k: ("vile curs " if k % 3 == 0 else "kind word ") + prose(k, 8) for k in range(60)}
+    docs = make_docs(spark, [(k, t, "en", "s") for k, t in texts.items()])
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in texts], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    table, ids = toxicity.fold_table(), list(texts)
+    held = {}
+    for doc, bucket in toxicity.presence([texts[k] for k in ids], table, None):
+        for d, b in zip(doc.tolist(), bucket.tolist()):
+            held.setdefault(b, [0, 0])[int(ids[d] % 3 == 0)] += 1
+    n = [sum(k % 3 != 0 for k in ids), sum(k % 3 == 0 for k in ids)]
+    want = set()
+    for b, (clean, toxic) in held.items():
+        ratio = math.log((toxic + 1) / (n[1] + 2) / ((clean + 1) / (n[0] + 2)))
+        if clean + toxic >= toxicity.MIN_TEXTS and abs(ratio) >= max(toxicity.MIN_RATIO, toxicity.MIN_Z * math.sqrt(1 / (clean + 1) + 1 / (toxic + 1))):
+            want.add(b)
+    assert set(np.flatnonzero(model.feature).tolist()) == want and want
+    for r in toxicity.score(docs.limit(10), model).collect():
+        features = {int(model.feature[b]) for _, bucket in toxicity.presence([texts[r["doc_id"]]], table, None) for b in bucket.tolist()} - {0}
+        z = model.bias + sum(model.weight[f] for f in features)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)

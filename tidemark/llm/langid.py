@@ -157,14 +157,16 @@ def entropies(model: Model, texts: list[str | None], table: np.ndarray) -> tuple
 
 def fit(docs: DataFrame, *, text: str = "text", lang: str = "lang", max_texts: int = MAX_TEXTS, seed: int = 5) -> Model | None:
     """A model from the rows given (held-out ones must be gone already)."""
-    rows = docs.select(text_of(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang IS NOT NULL AND text != ''")
+    rows = docs.select(text_of(text).alias("text"), F.col(lang).cast("string").alias("lang"), F.monotonically_increasing_id().alias("row")).where(
+        "lang IS NOT NULL AND text != ''")
     totals = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not totals:
         return None
     shares = docs.sparkSession.createDataFrame([(k, min(1.0, max_texts / n)) for k, n in totals.items()], "of_lang string, share double")
     # one row per language on the right
+    # by text and number of the row: copies of a text are chosen one by one
     rows = rows.join(F.broadcast(shares), F.col("lang") == F.col("of_lang")).where(
-        F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+        F.pmod(F.xxhash64("text", "row", F.lit(seed)), F.lit(1 << 30)) < F.col("share") * (1 << 30))
     sample = stored(rows.select("lang", "text"), "lang-sample")
     languages = sorted(totals)
 

@@ -114,7 +114,9 @@ def ordered(docs: DataFrame, rules: tuple[Rule, ...] = BASE + RULES, *, text: st
     share = min(1.0, sample_rows / total)
     some = docs.select(F.expr(f"coalesce({text}, '')").alias("text"))
     if share < 1:
-        some = some.where(F.pmod(F.xxhash64("text", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
+        # by the number of the row as well: copies of a text are chosen one by one
+        some = some.withColumn("row", F.monotonically_increasing_id())
+        some = some.where(F.pmod(F.xxhash64("text", "row", F.lit(seed)), F.lit(1 << 40)) < int(share * (1 << 40))).drop("row")
     some = stored(some, "rule-sample")
 
     def seconds(condition: str) -> float:

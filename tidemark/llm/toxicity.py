@@ -9,7 +9,7 @@ character and order, and only the few n-grams left count, each once per text.
 
 Training labels come from at most ``max_rows`` labelled texts (a parameter; chosen
 by hash, all of them where there are fewer). Counting runs as Spark tasks; the
-driver gets one row per feature kept, at most ``max_features``, and the sparse
+driver gets one row per feature kept, whose number the sample bounds, and the sparse
 presence rows of the sample.
 
 Defined cases: a null or empty text has no n-grams and gets the score of the bias;
@@ -33,8 +33,7 @@ from tidemark.llm.common import id_remainder, stored, text_of
 
 ORDERS = (3, 4, 5, 6)
 BITS = 22
-MAX_ROWS = 60_000
-MAX_FEATURES = 1 << 16
+MAX_ROWS = 20_000
 MIN_TEXTS = 5
 MIN_RATIO = 0.5
 MIN_Z = 4.0
@@ -144,11 +143,11 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
     q = (F.col("clean") + SMOOTH) / (n[0] + 2 * SMOOTH)
     deviation = F.sqrt(1 / (F.col("clean") + SMOOTH) + 1 / (F.col("toxic") + SMOOTH))
     kept = counts.where(F.col("clean") + F.col("toxic") >= MIN_TEXTS).withColumn("ratio", F.log(p / q)).where(
-        (F.abs("ratio") >= MIN_RATIO) & (F.abs("ratio") >= MIN_Z * deviation)).orderBy(F.desc(F.abs("ratio") * F.sqrt(F.col("clean") + F.col("toxic"))), "bucket").limit(MAX_FEATURES)
-    chosen = sorted((int(r["bucket"]), float(r["ratio"])) for r in kept.select("bucket", "ratio").collect())
+        (F.abs("ratio") >= MIN_RATIO) & (F.abs("ratio") >= MIN_Z * deviation))
+    chosen = kept.select("bucket", "ratio").toArrow().sort_by("bucket")
     feature = np.zeros(1 << BITS, np.int32)
-    feature[[b for b, _ in chosen]] = np.arange(1, len(chosen) + 1)
-    ratio = np.array([0.0] + [r for _, r in chosen])
+    feature[chosen.column("bucket").to_numpy()] = np.arange(1, len(chosen) + 1)
+    ratio = np.append(0.0, chosen.column("ratio").to_numpy())
 
     def held_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,8 +159,9 @@ def fit(docs: DataFrame, labels: DataFrame, *, id: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), pa.array([np.asarray(f, np.int32).tobytes() for f in found], pa.binary())], ["y", "found"])
 
-    sample = rows.mapInArrow(held_features, "y int, found binary").collect()
-    weight, bias = _fit([np.frombuffer(r["found"], np.int32) for r in sample], np.array([r["y"] for r in sample], float), ratio)
+    sample = rows.mapInArrow(held_features, "y int, found binary").toArrow()
+    found = [np.frombuffer(f.as_buffer(), np.int32) for f in sample.column("found")]
+    weight, bias = _fit(found, sample.column("y").to_numpy().astype(float), ratio)
     return Model(feature, weight, bias)
 
 
