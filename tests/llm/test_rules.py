@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 from llm_samples import make_docs, prose
+from pyspark.sql import functions as F
 
 from tidemark.llm import rules
 
@@ -24,8 +25,6 @@ def as_tuples(df):
 
 
 def test_measures_and_verdict(spark, odd, odd_rows):
-    from conftest import make_docs, prose
-
     more = [(20, "a b c " * 40, "en", "s"), (21, "x y z a b x y z", "en", "s"), (22, prose(5, 80).upper(), "en", "s"),
             (23, "### " + prose(6, 60).replace(" ", "# "), "en", "s"), (24, (prose(7, 60, 20) + "\n") * 2, "en", "s"), (25, "a a a a", "en", "s")]
     rows = odd_rows + more
@@ -47,3 +46,11 @@ def test_cascade_keeps_what_no_rule_fails(odd, none, odd_rows, documents):
 def test_no_python_in_the_plan(documents):
     plan = rules.judged(documents)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_sample_of_copies_is_neither_empty_nor_everything(spark):
+    docs = make_docs(spark, [(k, prose(1, 70), "en", "s") for k in range(3000)])
+    some = docs.withColumn("row", F.monotonically_increasing_id())
+    assert {e.rule for e in rules.ordered(docs, sample_rows=100)} == {*rules.BASE, *rules.RULES}
+    share = some.where(F.pmod(F.xxhash64("text", "row", F.lit(7)), F.lit(1 << 40)) < int(100 / 3000 * (1 << 40))).count()
+    assert 40 < share < 200

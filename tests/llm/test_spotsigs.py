@@ -72,3 +72,31 @@ def test_near_duplicates_equal_brute_force(spark, none):
     got = {r["doc_id"]: r["n_links"] for r in spotsigs.near_duplicates(make_docs(spark, rows)).collect()}
     assert got == {i: sum(near(s, t) for j, t in sets.items() if j != i) for i, s in sets.items()}
     assert spotsigs.near_duplicates(none).collect() == []
+
+
+def test_ranges_cut_hot_keys_by_ties():
+    r = np.random.default_rng(5)
+    key = np.where(r.random(20_000) < 0.4, -1, r.integers(0, 50, 20_000))
+    tie = r.integers(-(2**63), 2**63 - 1, 20_000)
+    splits = np.sort(key)[np.arange(1, 40) * 500]  # as quantiles are
+    own = spotsigs.range_of(splits, key, tie)
+    order = np.lexsort([tie, key])
+    assert (np.diff(own[order]) >= 0).all()  # ranges follow the order
+    assert np.bincount(own).max() < 1300 and own.min() >= 0 and own.max() <= len(splits)
+    assert spotsigs.range_of(np.zeros(0, np.int64), key[:3], tie[:3]).tolist() == [0, 0, 0]
+
+
+def test_many_rows_without_an_id(spark, monkeypatch):
+    """A third of the rows have no id: their next ones follow by the hash of their texts, over all ranges."""
+    import hashlib
+
+    rows = [(None if k % 3 == 0 else k, prose(k, 5 + k % 30), "en", "s") for k in range(900)]
+    docs = make_docs(spark, rows).repartition(3)
+    monkeypatch.setattr(spotsigs, "ROWS_PER_RANGE_CHARS", 5000)
+    got = sorted((r["doc_id"] or -1, r["n_chars"], r["edited_sha256"]) for r in spotsigs.edited(docs).collect())
+    order = docs.selectExpr("doc_id", "text", "xxhash64(text) AS h").orderBy("doc_id", "h").collect()[::-1]
+    want = []
+    for a, b in zip(order, order[1:] + order[:1]):
+        cut = len(a["text"]) // 3
+        want.append((a["doc_id"] or -1, len(a["text"]), hashlib.sha256((a["text"][: len(a["text"]) - cut] + b["text"][:cut]).encode()).hexdigest()))
+    assert got == sorted(want)
