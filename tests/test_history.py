@@ -370,3 +370,22 @@ def test_report_by_deltas_equals_the_full_report(spark):
     undone = facts.report_delta(frame(table.values()), frame([]), keys, ["v"])
     left = facts.apply_delta(report.filter("g <> 'c'"), undone, keys, ["v"])
     assert left.isEmpty()  # groups without rows are gone
+
+
+def test_newest_load_is_read_from_one_partition(spark, tmp_path):
+    from tidemark.operators import selection
+
+    rows = spark.range(40).select("id", F.expr("timestamp_ntz'2026-01-01 12:00:00' + make_dt_interval(cast(id div 4 as int))").alias("loaded_at"))
+    path = str(tmp_path / "target")
+    rows.withColumn("load_day", F.to_date("loaded_at")).write.partitionBy("load_day").parquet(path)
+    target = spark.read.parquet(path)
+    more = rows.unionByName(rows.select((F.col("id") + 100).alias("id"), (F.col("loaded_at") + F.expr("INTERVAL 9 DAYS 22 HOURS")).alias("loaded_at")))
+    got = selection.incremental(more, target, target_day="load_day")
+    assert rows_of(got) == rows_of(selection.incremental(more, target)) and got.count() > 4
+    newest = target.filter(F.col("load_day") == target.agg(F.max("load_day")).scalar()).agg(F.max("loaded_at"))
+    assert months_read(newest) == 1
+    assert selection.incremental(more, target.filter("id < 0"), target_day="load_day").count() == 80
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())

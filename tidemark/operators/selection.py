@@ -122,16 +122,21 @@ def incremental(
     target_loaded_at: str | None = None,
     lookback: str = LOOKBACK,
     load_day: str | None = None,
+    target_day: str | None = None,
 ) -> DataFrame:
     """Source rows loaded after the newest load in the target, minus a lookback.
 
     No target or an empty one selects everything. The bound is a scalar
     subquery: one pass over the target's load times, then a plain comparison
-    that the source scan can use to skip row groups.
+    that the source scan can use to skip row groups. ``target_day`` names a partition
+    column of the target that grows with its load times: then only its newest
+    partition is read for the bound.
     """
     if target is None:
         return source
     lowest = F.lit("0001-01-01 00:00:00").cast(source.schema[loaded_at].dataType)
+    if target_day:  # the first subquery asks for partition values only
+        target = target.filter(F.col(target_day) == target.agg(F.max(target_day).alias("latest")).scalar())
     newest = F.max(target_loaded_at or loaded_at) - F.expr(lookback)
     bound = target.agg(F.coalesce(newest, lowest).alias("bound"))
     recent = source.filter(F.col(loaded_at) > bound.scalar())
@@ -147,9 +152,10 @@ def changed_keys(
     loaded_at: str = "loaded_at",
     target_loaded_at: str = "last_loaded_at",
     lookback: str = LOOKBACK,
+    target_day: str | None = None,
 ) -> DataFrame:
     """Keys with events newer than the target."""
-    recent = incremental(events, target, loaded_at, target_loaded_at, lookback)
+    recent = incremental(events, target, loaded_at, target_loaded_at, lookback, target_day=target_day)
     return recent.select(key).distinct()
 
 

@@ -8,6 +8,7 @@ from tidemark.operators import selection, skew
 from tidemark.operators.facts import accumulate
 from tidemark.plans import models
 from tidemark.queries import feeds
+from tidemark.session import work_dir
 from tidemark.queries.registry import Lake, cte, query
 
 _EVENT = "event_id:l user_id:l ts:t event_type:s value:d"
@@ -148,6 +149,24 @@ def win10_incremental_read(t: Lake):
     return selection.incremental(rows, target)
 
 
+def _by_load_day(t: Lake, df, loaded_at: str):
+    """A table stored in partitions by the day of its loads."""
+    path = work_dir(t.spark, "by-load-day")
+    df.withColumn("load_day", F.to_date(loaded_at)).hint("rebalance", "load_day").write.partitionBy("load_day").parquet(path)
+    return t.spark.read.parquet(path)
+
+
+@query("win10_newest_partition", "claim_id:s source_file:s loaded_at:t",
+       f"""SELECT claim_id, source_file, loaded_at FROM claims_d WHERE loaded_at > (
+            SELECT max(loaded_at) - INTERVAL 3 HOUR FROM claims_d
+            WHERE loaded_at <= TIMESTAMP '{_SPLIT}')""", "claims_d")
+def win10_newest_partition(t: Lake):
+    """The newest load is looked for in the target's newest partition only."""
+    rows = feeds.claim_rows(t)
+    target = _by_load_day(t, rows.filter(F.col("loaded_at") <= F.lit(_SPLIT).cast("timestamp_ntz")), "loaded_at")
+    return selection.incremental(rows, target, target_day="load_day")
+
+
 @query("win10_incremental_empty_target", "claim_id:s source_file:s loaded_at:t",
        "SELECT claim_id, source_file, loaded_at FROM claims_d", "claims_d")
 def win10_incremental_empty_target(t: Lake):
@@ -174,6 +193,12 @@ def win11_changed_keys(t: Lake):
     return selection.changed_keys(events, facts, "claim_id")
 
 
+@query("win11_newest_partition", "claim_id:s", "SELECT claim_id FROM changed_claims", "changed_claims")
+def win11_newest_partition(t: Lake):
+    events, facts = _events_and_facts(t)
+    return selection.changed_keys(events, _by_load_day(t, facts, "last_loaded_at"), "claim_id", target_day="load_day")
+
+
 @query("win12_events_of_changed_keys", "claim_id:s claim_status:s updated_at:t",
        "SELECT e.* FROM slv_claims e JOIN changed_claims c ON c.claim_id = e.claim_id",
        "slv_claims changed_claims")
