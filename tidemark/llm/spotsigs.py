@@ -205,6 +205,15 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(likeness(own, changed)), pa.array(likeness(own, nxt))], [c.split()[0] for c in _EDITED.split(", ")])
 
 
+def range_of(splits: np.ndarray, key: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Number of the range of (key, tie), ascending. A key that is a cut point m times is itself cut into
+    m - 1 ranges by its ties."""
+    low, high = np.searchsorted(splits, key, "left"), np.searchsorted(splits, key, "right")
+    times = high - low
+    own = np.floor((tie / 2.0**64 + 0.5) * np.maximum(times - 1, 0)).astype(np.int64)
+    return np.where(times == 0, low, low + 1 + np.minimum(own, np.maximum(times - 2, 0)))
+
+
 def edited(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of every text and of the text with its last third taken from the next document."""
     spark = docs.sparkSession
@@ -212,15 +221,15 @@ def edited(docs: DataFrame, *, id: str = "doc_id", text: str = "text") -> DataFr
     total = rows.agg(F.sum(F.length("text") + 100)).first()[0] or 0
     ranges = int(min(MAX_RANGES, max(1, total // ROWS_PER_RANGE_CHARS)))
     cuts = rows.agg(F.percentile_approx("key", [k / ranges for k in range(1, ranges)], max(10_000, 4 * ranges))).first()[0] if ranges > 1 else []
-    splits = np.unique(np.array(cuts or [], np.int64))
+    splits = np.array(cuts or [], np.int64)  # a key that fills several ranges stands here several times
 
     @F.pandas_udf("long")
-    def part_of(key):
+    def part_of(key, tie):
         import pandas as pd
 
-        return pd.Series(len(splits) - np.searchsorted(splits, key.to_numpy()))
+        return pd.Series(len(splits) + 1 - range_of(splits, key.to_numpy(), tie.to_numpy()))
 
-    rows = rows.withColumn("part", part_of("key")).withColumn("tie", F.xxhash64("text"))
+    rows = rows.withColumn("tie", F.xxhash64("text")).withColumn("part", part_of("key", "tie"))
     # one row per range, so at most MAX_RANGES: who comes first in it, and which range lies before
     firsts = rows.groupBy("part").agg(F.max(F.struct("key", "tie")).alias("f"))
     order = Window.orderBy("part")
