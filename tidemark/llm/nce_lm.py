@@ -55,7 +55,7 @@ BATCH = 8192
 RATE = 0.05
 ROUNDS = 6
 TASK_TOKENS = 1 << 20
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 BUCKET_CHARS = 1 << 25
 LEAST_CHARS = 1 << 21
 END = 0
@@ -260,7 +260,10 @@ class Model:
         p = self.parameters
         one, two = p.one @ p.out.T + p.bias, p.two @ p.out.T
         top_one, top_two = one.max(1, keepdims=True), two.max(1, keepdims=True)
-        log_norm = np.log(np.exp(one - top_one) @ np.exp(two - top_two).T) + top_one + top_two.T
+        second, log_norm = np.exp(two - top_two).T, np.empty((len(one), len(two)), np.float32)
+        for lo in range(0, len(one), 256):  # some rows at a time, for the memory of a task
+            own = slice(lo, lo + 256)
+            log_norm[own] = np.log(np.exp(one[own] - top_one[own]) @ second) + top_one[own] + top_two.T
         return one, two, log_norm
 
     def log10_classes(self, w: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
