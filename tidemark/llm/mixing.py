@@ -45,6 +45,7 @@ from tidemark.llm.common import stored, text_of, word_count
 WEIGHTS = (5, 2, 1)
 MAX_SHARDS = 4096
 BLOCKS_PER_SHARD = 1024
+FEW_SOURCES = 100_000
 BLOCK_WORDS = 16  # words of a block, at any size of the input
 
 
@@ -145,8 +146,9 @@ def mix(docs: DataFrame, mixture: Mixture = Mixture(), *, id: str = "doc_id", te
         "src_no int, src_name string, source_size long, n_shards long, target double")
 
     def dealt(df: DataFrame) -> DataFrame:
-        # one row per source on the right; id and text deal the rows, so that one id for many texts is no hot shard
-        return df.join(plan, F.col("src").eqNullSafe(F.col("src_name"))).withColumn(
+        # one row per source on the right, broadcast if they are few; id and text deal the rows, so that one id for
+        # many texts is no hot shard
+        return df.join(F.broadcast(plan) if len(names) <= FEW_SOURCES else plan, F.col("src").eqNullSafe(F.col("src_name"))).withColumn(
             "shard", F.pmod(F.xxhash64("key", F.lit(mixture.seed)), F.col("n_shards")))
 
     found_shards = dealt(light).groupBy("src_no", "shard").agg(F.sum("size").alias("n")).collect()
