@@ -11,6 +11,10 @@ from tidemark.functions.keys import SECONDS, open_end, version_key
 from tidemark.operators import skew
 
 
+# So many keys fit a broadcast.
+FEW_KEYS = 100_000
+
+
 def scd2_windows(
     log: DataFrame,
     key: str,
@@ -153,19 +157,24 @@ def rekeyed(
     sk: str,
     period: str | None = None,
     pieces: skew.Pieces | str | None = None,
+    replaced: str | None = None,
 ) -> DataFrame:
     """The stored facts whose time falls into an arrived window, with that window's key.
 
-    ``owners`` maps a fact's ``on`` to the dimension's ``key``, each once. Only owners with arrived
-    windows meet the facts. ``period`` names a partition column of the facts with the first day of the
+    ``owners`` maps a fact's ``on`` to the dimension's ``key``, each once. Where few keys arrived (a count
+    of its own), only their owners meet the facts, which then need not be shuffled; many would shuffle the owners
+    once more than the lookup does. ``replaced`` adds a column with the key a fact had before. ``period`` names a partition column of the facts with the first day of the
     month of their time: months outside the arrived windows are not read.
     """
     if period:
         bounds = [arrived.agg(F.trunc(F.min("valid_from"), "MM")).scalar(), arrived.agg(F.max("valid_to").cast("date")).scalar()]
         facts = facts.filter((F.col(period) >= bounds[0]) & (F.col(period) <= bounds[1]))
-    mine = owners.join(arrived.select(key).distinct(), key, "left_semi").select(on, key)
-    rows = point_in_time(facts.drop(sk).join(mine, on), arrived, key, ts, [sk], how="inner", pieces=pieces)
-    return rows.select(*facts.columns)
+    keys = arrived.select(key).distinct()
+    if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS:
+        owners = owners.join(F.broadcast(keys), key, "left_semi")
+    before = facts.withColumnRenamed(sk, replaced) if replaced else facts.drop(sk)
+    rows = point_in_time(before.join(owners.select(on, key), on), arrived, key, ts, [sk], how="inner", pieces=pieces)
+    return rows.select(*facts.columns, *([replaced] if replaced else []))
 
 
 def current_only(dim: DataFrame, is_current: str = "is_current") -> DataFrame:
