@@ -339,7 +339,7 @@ def snk18_schema_change(t: Lake):
 @query("snk08_null_version_refused", _VERSION, "SELECT * FROM slv_claims", "slv_claims")
 def snk08_null_version_refused(t: Lake):
     """Batches with NULL versions, alone or among others, change nothing and block nothing."""
-    claims = models.slv_claim_events(feeds.claims(t))
+    claims = tables.stored(t.spark, models.slv_claim_events(feeds.claims(t)))  # four batches come from it
     table = KeyedTable(t.spark, work_dir(t.spark, "table"), ["claim_id", "updated_at"], tables.month_of("updated_at"))
     broken = claims.withColumn("updated_at", F.lit(None).cast("timestamp_ntz")).dropDuplicates(["claim_id"])
     table.upsert(claims.filter(F.col("claim_status") == "OPEN"))
