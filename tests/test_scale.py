@@ -90,3 +90,35 @@ def test_lines_of_named_files_are_not_shuffled(spark, tmp_path):
         assert sorted((r.value, r.file_row) for r in lines.collect()) == [('{"a": 1}', 1), ('{"a": 2}', 3)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_stored_star_has_what_claims_read_and_gives_the_same_facts(lake):
+    from tidemark.queries.model_queries import claim_facts, narrow_star, star
+
+    narrow = narrow_star(lake)
+    assert narrow["policies"].columns == ["policy_id", "policyholder_id"] and narrow["dim_policy"].columns == ["policy_sk", "policy_id"]
+    assert narrow["dim_holder"].columns == ["policyholder_sk", "policyholder_id", "valid_from", "valid_to"]
+    got, want = (sorted(map(str, claim_facts(lake, s).collect())) for s in (narrow, star(lake)))
+    assert got and got == want
+
+
+def test_late_batches_replace_each_other_before_the_facts(lake, spark):
+    from tidemark.queries.model_queries import _with_late_keys
+
+    base = spark.createDataFrame([(n, "old") for n in "abcd"], "id string, sk string")
+    met = []
+
+    def rekey(facts_, batch):
+        met.append(facts_)
+        return facts_.filter(F.col("id").isin(*batch)).withColumn("sk", F.lit(batch))
+
+    out = _with_late_keys(lake, base, rekey, ["ab", "bc"], "id")
+    assert {r["id"]: r["sk"] for r in out.collect()} == {"a": "ab", "b": "bc", "c": "bc", "d": "old"}
+    assert all(m is base for m in met) and out.count() == 4
+
+
+def test_times_travel_as_iso_text(spark):
+    row = spark.range(1).select(F.lit("2024-01-05 22:30:00").cast("timestamp_ntz").alias("a"), F.lit("2024-01-05 22:30:00.5").cast("timestamp").alias("b"),
+                                F.lit(None).cast("timestamp_ntz").alias("c"), F.lit("2024-01-05").cast("date").alias("d"))
+    out = landing.to_records(row).select(F.to_json("record").alias("j")).first()["j"]
+    assert '"a":"2024-01-05T22:30:00"' in out and '"b":"2024-01-05T22:30:00.5"' in out and '"d":"2024-01-05"' in out

@@ -13,7 +13,7 @@ from tidemark.operators.calendar import describe_days, spine_over
 from tidemark.operators.versions import latest_per, typed
 from tidemark.plans import models
 from tidemark.queries import feeds
-from tidemark.queries.model_queries import claim_facts, dim_holder, star
+from tidemark.queries.model_queries import claim_facts, dim_holder, narrow_star, star
 from tidemark.queries.registry import Lake, query
 from tidemark.sources.landing import to_records
 from tidemark.spec import CLAIMS, POLICIES, POLICYHOLDERS
@@ -89,7 +89,7 @@ def prj08_predicates(t: Lake):
         (c("loss_date_key") < c("reported_date_key")) & c("approved_date_key").isNotNull()
         & (c("current_status") != "OPEN") & (c("claim_amount") >= 20) & ~(c("paid_date_key") > 20240115)
     )
-    return quality.rule(claim_facts(t, star(t)), broken)
+    return quality.rule(claim_facts(t, narrow_star(t)), broken)
 
 
 @query("prj09_like", "o_orderkey:l o_orderpriority:s",
@@ -227,7 +227,7 @@ def jn01_inner_lookup(t: Lake):
           LEFT JOIN slv_policies p ON p.policy_id = c.policy_id
           LEFT JOIN dim_policy dp ON dp.policy_id = c.policy_id""", "claim_states slv_policies dim_policy")
 def jn02_left_lookups(t: Lake):
-    s = star(t)
+    s = narrow_star(t)
     claims = models.slv_claim_events(feeds.claims(t)).groupBy("claim_id").agg(
         F.max("policy_id").alias("policy_id"))
     owned = facts.lookup(claims, s["policies"], "policy_id", ["policyholder_id"])
@@ -274,7 +274,7 @@ def jn03_point_in_time_pieces(t: Lake):
             AND CAST(c.loss_date AS TIMESTAMP) >= h.valid_from AND CAST(c.loss_date AS TIMESTAMP) < h.valid_to""",
        "claim_states slv_policies dim_holder")
 def jn04_point_in_time_on_date(t: Lake):
-    s = star(t)
+    s = narrow_star(t, more_of_holder=("city",))
     claims = models.slv_claim_events(feeds.claims(t)).groupBy("claim_id").agg(
         F.max("policy_id").alias("policy_id"), F.max("loss_date").alias("loss_date"))
     owned = facts.lookup(claims, s["policies"], "policy_id", ["policyholder_id"])
@@ -335,7 +335,7 @@ _ROLES = ("loss", "reported", "approved", "rejected", "paid")
        "SELECT claim_id, " + ", ".join(f"strptime(CAST({r}_date_key AS VARCHAR), '%Y%m%d') AS {r}_date_day"
                                        for r in _ROLES) + " FROM fct_claims", "fct_claims")
 def jn09_role_playing_dates(t: Lake):
-    fct = claim_facts(t, star(t))
+    fct = claim_facts(t, narrow_star(t))
     span = t.orders.select("o_orderdate").union(t.events.select("ts"))
     calendar = describe_days(spine_over(span, "o_orderdate"))
     return facts.role_play(fct, calendar, {r: f"{r}_date_key" for r in _ROLES})

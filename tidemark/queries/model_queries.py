@@ -309,9 +309,16 @@ _FCT_CLAIMS = ("claim_id:s policy_sk:s policyholder_sk:s loss_date_key:i reporte
                "claim_amount:d days_to_settle:d last_updated_at:t last_loaded_at:t")
 
 
-def _policies(t: Lake):
-    """Silver policies as a stored table; no fact or dimension has their lineage."""
-    return stored(t.spark, models.slv_policies(feeds.policies(t)).drop(*models.LINEAGE))
+# what facts read of silver policies and of the customer dimension
+_OF_WRITTEN = ("policy_id", "policyholder_id", "annual_premium", "effective_date", "issued_at")
+_OF_CLAIMS = ("policy_id", "policyholder_id")
+_OF_HOLDER = ("policyholder_sk", "policyholder_id", "valid_from", "valid_to")
+
+
+def _policies(t: Lake, columns=None):
+    """Silver policies as a stored table, whole or with some columns; no fact or dimension has their lineage."""
+    silver = models.slv_policies(feeds.policies(t)).drop(*models.LINEAGE)
+    return stored(t.spark, silver.select(*columns) if columns else silver)
 
 
 def star(t: Lake) -> dict:
@@ -322,6 +329,14 @@ def star(t: Lake) -> dict:
             "pieces": feeds.holder_pieces(t)}
 
 
+def narrow_star(t: Lake, policy=_OF_CLAIMS, more_of_holder=()) -> dict:
+    """The star with all its rows and the columns that a query reads: a stored table hides from Spark which these are."""
+    silver = _policies(t, policy)
+    holder = stored(t.spark, dim_holder(t).select(*_OF_HOLDER, *more_of_holder))
+    return {"policies": silver, "dim_policy": models.dim_policy(silver, ()), "dim_holder": holder,
+            "pieces": feeds.holder_pieces(t)}
+
+
 def written(t: Lake, s: dict):
     return models.fct_policies_written(s["policies"], s["dim_policy"], s["dim_holder"], pieces=s["pieces"])
 
@@ -334,18 +349,18 @@ def claim_facts(t: Lake, s: dict, events=None, target=None):
 
 @query("md13_fct_policies_written", _WRITTEN, "SELECT * FROM fct_written", "fct_written")
 def md13_fct_policies_written(t: Lake):
-    return written(t, star(t))
+    return written(t, narrow_star(t, _OF_WRITTEN))
 
 
 @query("md14_accumulating_full", _FCT_CLAIMS, "SELECT * FROM fct_claims", "fct_claims")
 def md14_accumulating_full(t: Lake):
-    return claim_facts(t, star(t))
+    return claim_facts(t, narrow_star(t))
 
 
 @query("md14_accumulating_incremental", _FCT_CLAIMS, "SELECT * FROM fct_claims", "fct_claims")
 def md14_accumulating_incremental(t: Lake):
     """The first half of the deliveries, then the claims that changed since: equals the full build."""
-    s = star(t)
+    s = narrow_star(t)
     landing = feeds.claims(t)
     events = stored(t.spark, models.slv_claim_events(landing))
     early = landing.filter(F.col("loaded_at") <= F.lit("2024-01-15").cast("timestamp_ntz"))
@@ -368,7 +383,7 @@ def _on_time(versions):
 
 def repaired_dim(t: Lake):
     """(dimension before, after) two late batches, and the windows that arrived with them."""
-    versions = stored(t.spark, models.slv_policyholder_versions(feeds.holders(t)))
+    versions = stored(t.spark, models.slv_policyholder_versions(feeds.holders(t)).drop(*models.LINEAGE))
     first = dim = stored(t.spark, models.dim_policyholder(_on_time(versions), pieces=None))
     all_arrived = []
     for n in (0, 1):
@@ -384,33 +399,44 @@ def md10_late_versions(t: Lake):
     return repaired_dim(t)[1]
 
 
-def _late_star(t: Lake):
+def _late_star(t: Lake, policy):
     first, dim, arrived = repaired_dim(t)
-    policies = _policies(t)
-    return {"policies": policies, "dim_policy": models.dim_policy(policies), "dim_holder": first, "pieces": feeds.holder_pieces(t)}, arrived
+    policies = _policies(t, policy)
+    return {"policies": policies, "dim_policy": models.dim_policy(policies, ()), "dim_holder": first, "pieces": feeds.holder_pieces(t)}, arrived
+
+
+def _with_late_keys(t: Lake, stored_facts, rekey, arrived, key: str):
+    """Stored facts under the keys of all batches. Only their key changes, so each batch is re-keyed from them as
+    they were stored; batches replace each other first, and the facts are met by all of them at once."""
+    late = None
+    for windows in arrived:
+        changed = stored(t.spark, rekey(stored_facts, windows))
+        late = changed if late is None else stored(t.spark, merged(late, changed, [key]))
+    return merged(stored_facts, late, [key])
 
 
 @query("md13_late_versions", _WRITTEN, "SELECT * FROM fct_written", "fct_written")
 def md13_late_versions(t: Lake):
     """Facts stored by month before the versions arrived; only policies issued within their windows are written again."""
-    s, arrived = _late_star(t)
+    s, arrived = _late_star(t, _OF_WRITTEN)
     path = work_dir(t.spark, "written-by-month")
-    written(t, s).withColumn("month", F.to_date(F.trunc("issued_at", "MM"))).write.partitionBy("month").parquet(path)
-    facts_ = t.spark.read.parquet(path)
-    for windows in arrived:
-        changed = stored(t.spark, models.rekeyed_policies_written(facts_, s["policies"], windows, period="month", pieces=s["pieces"]))
-        facts_ = merged(facts_, changed, ["policy_id"])
-    return facts_
+    by_month = written(t, s).withColumn("month", F.to_date(F.trunc("issued_at", "MM")))
+    by_month.write.option("compression", "zstd").partitionBy("month").parquet(path)
+
+    def rekey(facts_, windows):
+        return models.rekeyed_policies_written(facts_, s["policies"], windows, period="month", pieces=s["pieces"])
+
+    return _with_late_keys(t, t.spark.read.parquet(path), rekey, arrived, "policy_id")
 
 
 @query("md14_late_versions", _FCT_CLAIMS, "SELECT * FROM fct_claims", "fct_claims")
 def md14_late_versions(t: Lake):
-    s, arrived = _late_star(t)
-    facts_ = stored(t.spark, claim_facts(t, s))
-    for windows in arrived:
-        changed = stored(t.spark, models.rekeyed_claims(facts_, s["policies"], windows, pieces=s["pieces"]))
-        facts_ = merged(facts_, changed, ["claim_id"])
-    return facts_
+    s, arrived = _late_star(t, _OF_CLAIMS)
+
+    def rekey(facts_, windows):
+        return models.rekeyed_claims(facts_, s["policies"], windows, pieces=s["pieces"])
+
+    return _with_late_keys(t, stored(t.spark, claim_facts(t, s)), rekey, arrived, "claim_id")
 
 
 # ------------------------------------------------------------ reports
@@ -470,7 +496,7 @@ def md17_premium_by_delta(t: Lake):
           CAST(sum(days_to_settle) AS DOUBLE) / count(days_to_settle) AS avg_days_to_settle
           FROM fct_claims GROUP BY 1""", "fct_claims")
 def md18_claims_by_status(t: Lake):
-    return reports.claims_by_status(claim_facts(t, star(t)))
+    return reports.claims_by_status(claim_facts(t, narrow_star(t)))
 
 
 @query("md19_city_then_and_now", "claim_id:s policyholder_sk:s city_then:s city_now:s",
@@ -479,7 +505,7 @@ def md18_claims_by_status(t: Lake):
           JOIN dim_holder b ON b.policyholder_id = a.policyholder_id AND b.is_current""",
        "fct_claims dim_holder")
 def md19_city_then_and_now(t: Lake):
-    s = star(t)
+    s = narrow_star(t, more_of_holder=("city", "is_current"))
     return reports.city_then_and_now(claim_facts(t, s), s["dim_holder"])
 
 

@@ -8,7 +8,7 @@ from tidemark.operators import quality as q
 from tidemark.operators.versions import typed
 from tidemark.plans import checks, models
 from tidemark.queries import feeds
-from tidemark.queries.model_queries import claim_facts, dim_holder, star, written
+from tidemark.queries.model_queries import claim_facts, dim_holder, narrow_star, star, written
 from tidemark.queries.registry import Lake, query
 from tidemark.spec import POLICIES, contract
 
@@ -21,7 +21,7 @@ def dq01_unique(t: Lake):
 
 @query("dq02_not_null", "claim_id:s", "SELECT claim_id FROM fct_claims WHERE paid_date_key IS NULL", "fct_claims")
 def dq02_not_null(t: Lake):
-    return q.not_null(claim_facts(t, star(t)), "paid_date_key")
+    return q.not_null(claim_facts(t, narrow_star(t)), "paid_date_key")
 
 
 @query("dq03_accepted_values", "o_orderpriority:s occurrences:l",
@@ -46,7 +46,7 @@ def dq04_relationships(t: Lake):
 def dq04_date_keys(t: Lake):
     days = t.events.filter("event_type = 'signup' AND value > 150").select(
         F.date_format("ts", "yyyyMMdd").cast("int").alias("date_key"))
-    return q.relationships(claim_facts(t, star(t)), "paid_date_key", days, "date_key")
+    return q.relationships(claim_facts(t, narrow_star(t)), "paid_date_key", days, "date_key")
 
 
 @query("dq05_unique_combination", "l_orderkey:l l_linenumber:i occurrences:l",
@@ -110,14 +110,14 @@ _KEYS = "claim_id:s loss_date_key:d reported_date_key:d approved_date_key:d reje
           WHERE least(approved_date_key, rejected_date_key, paid_date_key) < reported_date_key
             OR reported_date_key < loss_date_key OR approved_date_key + rejected_date_key IS NOT NULL""", "fct_claims")
 def dq08_milestones_in_order(t: Lake):
-    return q.rule(claim_facts(t, star(t)), checks.milestones_out_of_order())
+    return q.rule(claim_facts(t, narrow_star(t)), checks.milestones_out_of_order())
 
 
 @query("dq09_paid_without_approval", _KEYS + " current_status:s",
        """SELECT * FROM fct_claims WHERE paid_date_key > 0
           EXCEPT ALL SELECT * FROM fct_claims WHERE approved_date_key > 0 AND rejected_date_key IS NULL""", "fct_claims")
 def dq09_paid_without_approval(t: Lake):
-    return q.rule(claim_facts(t, star(t)), checks.paid_without_approval())
+    return q.rule(claim_facts(t, narrow_star(t)), checks.paid_without_approval())
 
 
 _TOTALS = "gold_policies:l silver_policies:l gold_premium:d silver_premium:d"
