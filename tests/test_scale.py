@@ -122,3 +122,32 @@ def test_times_travel_as_iso_text(spark):
                                 F.lit(None).cast("timestamp_ntz").alias("c"), F.lit("2024-01-05").cast("date").alias("d"))
     out = landing.to_records(row).select(F.to_json("record").alias("j")).first()["j"]
     assert '"a":"2024-01-05T22:30:00"' in out and '"b":"2024-01-05T22:30:00.5"' in out and '"d":"2024-01-05"' in out
+
+
+def test_folders_and_pattern_are_looked_at_per_block(spark, tmp_path):
+    folder = tmp_path / "dt=2024-01-05" / "run=r1"
+    folder.mkdir(parents=True)
+    (folder / "part-0.json").write_text('{"a": 1}\r\n\n{"a": 2}\n')
+    (folder / "other.json").write_text('not a record\n')
+    rows = landing.read_landing(spark, [str(folder / name) for name in ("part-0.json", "other.json")])
+    got = sorted((str(r.business_date), r.run_id, r.file_row) for r in rows.select("business_date", "run_id", "file_row").collect())
+    assert got == [("2024-01-05", "r1", 1), ("2024-01-05", "r1", 3)]
+    plan = plan_of(rows).lower()
+    lines, blocks = plan.split("broadcastexchange", 1)
+    for asked in ("stringsplitsql", "rlike"):
+        assert asked not in lines and asked in blocks
+    counted = blocks.index("hashaggregate")  # the top of a plan comes first
+    assert blocks.index("rlike") < counted and "rlike" not in blocks[counted:]
+
+
+def test_first_batch_of_a_table_is_written_once_before_it_is_published(spark, tmp_path, monkeypatch):
+    from tidemark.sources import tables
+
+    monkeypatch.setattr(tables, "work_dir", lambda spark, name: f"{tmp_path}/work")
+    table = tables.KeyedTable(spark, f"{tmp_path}/t", ["id"], tables.bucket_of(["id"], 4))
+    table.upsert(spark.range(20).select("id", F.lit("a").alias("x")))
+    assert [p.name for p in (tmp_path / "work").iterdir()] == ["batch"]
+    assert table.read().count() == 20 and table.stored().schema[tables.PART].dataType.typeName() == "integer"
+    monkeypatch.setattr(tables, "work_dir", lambda spark, name: f"{tmp_path}/work2")
+    table.upsert(spark.range(15, 25).select("id", F.lit("b").alias("x")))
+    assert {r.id: r.x for r in table.read().collect()} == {n: "a" if n < 15 else "b" for n in range(25)}
