@@ -151,3 +151,50 @@ def test_first_batch_of_a_table_is_written_once_before_it_is_published(spark, tm
     monkeypatch.setattr(tables, "work_dir", lambda spark, name: f"{tmp_path}/work2")
     table.upsert(spark.range(15, 25).select("id", F.lit("b").alias("x")))
     assert {r.id: r.x for r in table.read().collect()} == {n: "a" if n < 15 else "b" for n in range(25)}
+
+
+def test_packed_keys_are_equal_for_equal_keys_only(spark):
+    from tidemark.functions.keys import packed_key, unpacked_key
+
+    md5 = "0123456789abcdef0123456789abcdef"
+    texts = [md5, md5.upper(), md5 + "\n", md5[:31], md5 + "0", "-1", "", "é" * 16, "x" * 16, "\0" * 17, None]
+    df = spark.createDataFrame([(x,) for x in texts], "k string").withColumn("p", packed_key("k"))
+    rows = df.withColumn("back", unpacked_key("p")).collect()
+    assert all(r.k == r.back for r in rows) and len({r.p for r in rows}) == len(texts)
+    assert len(next(r.p for r in rows if r.k == md5)) == 16
+
+
+def test_written_facts_and_the_report_shuffle_packed_keys(spark):
+    from tidemark.plans import reports
+
+    at = dt.datetime(2024, 1, 5)
+    policies = spark.createDataFrame([("p1", 1, 10.0, at), ("p2", 2, 20.0, at), (None, 1, 5.0, at), ("p1", 1, 30.0, at)],
+                                     "policy_id string, policyholder_id bigint, annual_premium double, issued_at timestamp_ntz")
+    policies = policies.select("*", F.to_date("issued_at").alias("effective_date"), F.lit("AUTO").alias("product_line"))
+    dim_policy = models.dim_policy(policies.dropDuplicates(["policy_id"]), ("product_line",))
+    versions = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "Pune")], "policyholder_id bigint, updated_at timestamp_ntz, city string")
+    dim = models.dim_policyholder(versions, ("city",), pieces=None)
+    assert "first_name" not in dim.columns
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fct = models.fct_policies_written(policies, dim_policy, dim, pieces=None, keep=["policyholder_id"])
+        days = policies.select(F.lit(20240105).alias("date_key"), F.lit(1).alias("calendar_month")).distinct()
+        report = reports.premium_by_month_city_product(fct, dim_policy, dim, days)
+        assert "unhex" in plan_of(report)
+        keys = {(r.policy_id, r.annual_premium): (r.policy_sk, r.policyholder_sk, r.policyholder_id) for r in fct.collect()}
+        sk, holder = {r.policy_id: r.policy_sk for r in dim_policy.collect()}, dim.filter("policyholder_id = 1").first().policyholder_sk
+        assert keys == {("p1", 10.0): (sk["p1"], holder, 1), ("p1", 30.0): (sk["p1"], holder, 1), ("p2", 20.0): (sk["p2"], "-1", 2)}
+        assert {(r.city, r.premium) for r in report.collect()} == {("Pune", 40.0), ("Unknown", 20.0)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rekeyed_facts_with_their_customer_do_not_meet_the_owners(spark):
+    at = dt.datetime
+    md5 = "0123456789abcdef0123456789abcdef"
+    facts = spark.createDataFrame([("p1", 1, at(2024, 1, 2), "-1", md5), ("p2", 1, at(2024, 1, 9), "-1", "k2")],
+                                  "policy string, id bigint, at timestamp_ntz, sk string, other_sk string")
+    arrived = spark.createDataFrame([(md5, 1, at(2024, 1, 1), at(2024, 1, 5))], "sk string, id bigint, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    rows = history.rekeyed(facts, None, arrived, "policy", "id", "at", "sk", replaced="before", packed=("other_sk",))
+    assert [tuple(r) for r in rows.collect()] == [("p1", 1, at(2024, 1, 2), md5, md5, "-1")]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import SECONDS, open_end, version_key
+from tidemark.functions.keys import SECONDS, open_end, unpacked_key, version_key, with_packed
 from tidemark.operators import skew
 
 
@@ -158,10 +158,12 @@ def rekeyed(
     period: str | None = None,
     pieces: skew.Pieces | str | None = None,
     replaced: str | None = None,
+    packed: Sequence[str] = (),
 ) -> DataFrame:
     """The stored facts whose time falls into an arrived window, with that window's key.
 
-    ``owners`` maps a fact's ``on`` to the dimension's ``key``, each once. Where few keys arrived (a count
+    ``owners`` maps a fact's ``on`` to the dimension's ``key``, each once; facts that hold ``key`` already are not joined with it. ``packed``
+    names other md5 keys of the facts, which are packed on the way as the dimension's are. Where few keys arrived (a count
     of its own), only their owners meet the facts, which then need not be shuffled; many would shuffle the owners
     once more than the lookup does. ``replaced`` adds a column with the key a fact had before. ``period`` names a partition column of the facts with the first day of the
     month of their time: months outside the arrived windows are not read.
@@ -169,11 +171,18 @@ def rekeyed(
     if period:
         bounds = [arrived.agg(F.trunc(F.min("valid_from"), "MM")).scalar(), arrived.agg(F.max("valid_to").cast("date")).scalar()]
         facts = facts.filter((F.col(period) >= bounds[0]) & (F.col(period) <= bounds[1]))
-    keys = arrived.select(key).distinct()
-    if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS:
-        owners = owners.join(F.broadcast(keys), key, "left_semi")
     before = facts.withColumnRenamed(sk, replaced) if replaced else facts.drop(sk)
-    rows = point_in_time(before.join(owners.select(on, key), on), arrived, key, ts, [sk], how="inner", pieces=pieces)
+    keyed = [*packed, *([replaced] if replaced else [])]
+    before = with_packed(before, *keyed)
+    if key not in facts.columns:
+        keys = arrived.select(key).distinct()
+        if keys.limit(FEW_KEYS + 1).count() <= FEW_KEYS:
+            owners = owners.join(F.broadcast(keys), key, "left_semi")
+        before = before.join(owners.select(on, key), on)
+    if pieces == skew.AUTO:  # looked for in the windows as they are stored
+        pieces = skew.find_pieces(arrived, key, "valid_from")
+    rows = point_in_time(before, with_packed(arrived, sk), key, ts, [sk], how="inner", pieces=pieces)
+    rows = rows.withColumns({c: unpacked_key(c) for c in (sk, *keyed)})
     return rows.select(*facts.columns, *([replaced] if replaced else []))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import with_packed
 from tidemark.operators.history import current_only
 
 
@@ -13,10 +14,10 @@ def premium_by_month_city_product(
 ) -> DataFrame:
     """Premium per month, city at the time of sale and product."""
     return (
-        fct.join(F.broadcast(dim_date.select("date_key", "calendar_month")),
+        with_packed(fct, "policy_sk", "policyholder_sk").join(F.broadcast(dim_date.select("date_key", "calendar_month")),
                  F.col("issue_date_key") == F.col("date_key"))
-        .join(dim_policy.select("policy_sk", "product_line"), "policy_sk")
-        .join(dim_holder.select("policyholder_sk", "city"), "policyholder_sk")
+        .join(with_packed(dim_policy, "policy_sk").select("policy_sk", "product_line"), "policy_sk")
+        .join(with_packed(dim_holder, "policyholder_sk").select("policyholder_sk", "city"), "policyholder_sk")
         .groupBy("calendar_month", "city", "product_line")
         .agg(F.sum("annual_premium").alias("premium"))
     )

@@ -329,11 +329,11 @@ def star(t: Lake) -> dict:
             "pieces": feeds.holder_pieces(t)}
 
 
-def narrow_star(t: Lake, policy=_OF_CLAIMS, more_of_holder=()) -> dict:
+def narrow_star(t: Lake, policy=_OF_CLAIMS, more_of_holder=(), of_dim_policy=()) -> dict:
     """The star with all its rows and the columns that a query reads: a stored table hides from Spark which these are."""
     silver = _policies(t, policy)
     holder = stored(t.spark, dim_holder(t).select(*_OF_HOLDER, *more_of_holder))
-    return {"policies": silver, "dim_policy": models.dim_policy(silver, ()), "dim_holder": holder,
+    return {"policies": silver, "dim_policy": models.dim_policy(silver, of_dim_policy), "dim_holder": holder,
             "pieces": feeds.holder_pieces(t)}
 
 
@@ -448,7 +448,7 @@ def md14_late_versions(t: Lake):
           JOIN dim_holder h ON f.policyholder_sk = h.policyholder_sk GROUP BY 1, 2, 3""",
        "fct_written dim_policy dim_holder")
 def md17_premium_by_month_city_product(t: Lake):
-    s = star(t)
+    s = narrow_star(t, (*_OF_WRITTEN, "product_line"), ("city",), ("product_line",))
     calendar = describe_days(spine_over(t.lineitem, "l_shipdate"))
     return reports.premium_by_month_city_product(written(t, s), s["dim_policy"], s["dim_holder"], calendar)
 
