@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import MICROS, or_unknown
+from tidemark.functions.keys import MICROS, or_unknown, with_packed
 from tidemark.operators import facts, history, selection, skew
 from tidemark.operators.calendar import describe_days, spine_over
 from tidemark.operators.upsert import merged
@@ -381,13 +381,16 @@ def _on_time(versions):
     return versions.filter(F.pmod(F.xxhash64("policyholder_id", "updated_at"), F.lit(7)) > 1)
 
 
-def repaired_dim(t: Lake):
+def repaired_dim(t: Lake, **attributes):
     """(dimension before, after) two late batches, and the windows that arrived with them."""
-    versions = stored(t.spark, models.slv_policyholder_versions(feeds.holders(t)).drop(*models.LINEAGE))
-    first = dim = stored(t.spark, models.dim_policyholder(_on_time(versions), pieces=None))
+    versions = models.slv_policyholder_versions(feeds.holders(t)).drop(*models.LINEAGE)
+    if attributes:  # a stored table hides which columns are read
+        versions = versions.select("policyholder_id", "updated_at", *attributes["attributes"])
+    versions = stored(t.spark, versions)
+    first = dim = stored(t.spark, models.dim_policyholder(_on_time(versions), pieces=None, **attributes))
     all_arrived = []
     for n in (0, 1):
-        arrived, closed = (stored(t.spark, part) for part in models.late_policyholders(dim, _late(versions, n), pieces=feeds.holder_pieces(t)))
+        arrived, closed = (stored(t.spark, part) for part in models.late_policyholders(dim, _late(versions, n), pieces=feeds.holder_pieces(t), **attributes))
         dim = stored(t.spark, merged(dim, arrived.unionByName(closed), ["policyholder_id", "valid_from"]))
         all_arrived.append(arrived)
     return first, dim, all_arrived
@@ -463,18 +466,21 @@ _BY_MONTH = ("calendar_month", "city", "product_line")
        "fct_written dim_policy dim_holder")
 def md17_premium_by_delta(t: Lake):
     """The report kept by three increments: all policies, then twice those that late customer versions re-keyed,
-    whose old rows are taken back. The facts are stored once; what is re-keyed is kept beside them."""
-    first, dim, arrived = repaired_dim(t)
-    policies = _policies(t)
-    dim_policy_ = models.dim_policy(policies)
+    whose old rows are taken back. The facts are stored once, with their customers; what is re-keyed is kept beside them."""
+    first, dim, arrived = repaired_dim(t, attributes=("city",))
+    policies = _policies(t, (*_OF_WRITTEN, "product_line"))
+    dim_policy_ = models.dim_policy(policies, ("product_line",))
     pieces = feeds.holder_pieces(t)
 
     def described(rows):
-        places = dim.select("policyholder_sk", "city")
-        return rows.join(dim_policy_.select("policy_sk", "product_line"), "policy_sk").join(places, "policyholder_sk").select(
+        rows = with_packed(rows, "policy_sk", "policyholder_sk")
+        products = with_packed(dim_policy_, "policy_sk").select("policy_sk", "product_line")
+        places = with_packed(dim, "policyholder_sk").select("policyholder_sk", "city")
+        return rows.join(products, "policy_sk").join(places, "policyholder_sk").select(
             F.month("issued_at").alias("calendar_month"), "city", "product_line", F.col("annual_premium").cast("decimal(12,2)").alias("premium"))
 
-    facts_ = stored(t.spark, models.fct_policies_written(policies, dim_policy_, first, pieces=pieces))
+    # both batches ask for the customer
+    facts_ = stored(t.spark, models.fct_policies_written(policies, dim_policy_, first, pieces=pieces, keep=["policyholder_id"]))
     report = stored(t.spark, facts.apply_delta(None, facts.report_delta(None, described(facts_), _BY_MONTH, ["premium"]), _BY_MONTH, ["premium"]))
     earlier = None  # facts re-keyed so far; all others are as they were stored
     for windows in arrived:
